@@ -1,10 +1,12 @@
 """Customer-grain measures over the bet fact.
 
-One catalog of named aggregate expressions (:func:`bet_measures`) serves every
-bet query: a query picks the names it needs and they are evaluated in ONE
-``groupBy(customer).agg(...)`` pass (conditional aggregation), the way the
-reference folds a dozen metrics into one GROUP BY. Catalyst then prunes the
-bet columns to what the chosen measures read.
+One catalog of named measures (:func:`base_measures` + ``DERIVED``) serves
+every bet query: a query picks the names it needs and they are evaluated in
+one aggregation per customer (conditional aggregation), the way the reference
+folds a dozen metrics into one GROUP BY. The DISTINCT counts run through
+:func:`~kpiforge.operators.grained.grained_agg` (one row copy per distinct
+grain instead of one per distinct expression). Catalyst prunes the bet
+columns to what the chosen measures read.
 
 Money sums stay ``decimal`` (exact, order independent) and are exposed as
 ``double``; ratios divide the exact sums once, in double.
@@ -17,12 +19,13 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.functions import lists
 from kpiforge.functions.measures import guarded_ratio, label
 from kpiforge.functions.predicates import (
     days_ago_at_most, on_day_before, real_money, valid_bet, within_days,
 )
 
+from kpiforge.operators.grained import Distinct, DistinctList, Plain, grained_agg
+
 KEY = "customer_uid"
 
 
@@ -39,56 +42,66 @@ def valid_bets_with_campaign(bets: DataFrame, campaigns: DataFrame) -> DataFrame
     return valid_bets(bets).join(camp, "src_campaign_id", "left")
 
 
-def _sum(c: Column) -> Column:
-    return F.sum(c)
+def bet_grains() -> dict[str, Column]:
+    """Distinct-value grains of the bet KPIs."""
+    return {"day": F.to_date("ticket_delivery_date"), "slip": F.col("src_betslip_uuid"),
+            "bet": F.col("bet_id"), "source": F.col("sportsbook_source")}
 
 
-def bet_measures(as_of) -> dict[str, Column]:
-    """Named aggregate expressions over (valid) bets for clock ``as_of``."""
+def base_measures(as_of) -> dict[str, Plain | Distinct | DistinctList]:
+    """Aggregates over (valid) bets for clock ``as_of``, before derivation."""
     tdd, kpi = "ticket_delivery_date", "kpi_date"
     day = F.to_date(tdd)
     l30 = days_ago_at_most(tdd, as_of, 30)
     rm = real_money()
     in7, in30 = within_days(kpi, as_of, 7), within_days(kpi, as_of, 30)
-    slips = F.count_distinct("src_betslip_uuid")
-    handle = F.col("handle")
-
-    def window_sum(cond, c):  # SUM(CASE WHEN cond THEN c END): NULL if none
-        return _sum(F.when(cond, F.col(c)))
-
-    def zero_sum(cond, c):  # SUM(CASE WHEN cond THEN c ELSE 0 END)
-        return _sum(F.when(cond, F.col(c)).otherwise(F.lit(0)))
-
-    m = {
-        "handle_lt": _sum(handle),
-        "ggr_lt": _sum(F.col("ggr")),
-        "bonus_cost_lt": _sum(F.col("bonus_total")),
-        "ngr_lt": _sum(F.col("ngr")),
-        "active_days_lt": F.count_distinct(day),
-        "handle_l30": window_sum(l30, "handle"),
-        "ggr_l30": window_sum(l30, "ggr"),
-        "bonus_cost_l30": window_sum(l30, "bonus_total"),
-        "ngr_l30": window_sum(l30, "ngr"),
-        "active_days_l30": F.count_distinct(F.when(l30, day)),
-        "first_sports_bet_date": F.min(day),
-        "last_sports_bet_date": F.max(day),
-        "bet_count_total": slips,
-        "turnover": F.coalesce(_sum(handle), F.lit(0)),
-        "average_bet_amount": guarded_ratio(F.coalesce(_sum(handle), F.lit(0)), slips),
-        "real_money_bet_cnt_lifetime": F.count_distinct(F.when(rm, F.col("bet_id"))),
-        "real_money_bet_cnt_last7": F.count_distinct(F.when(rm & in7, F.col("bet_id"))),
-        "real_money_bet_cnt_last30": F.count_distinct(F.when(rm & in30, F.col("bet_id"))),
-        "previous_day_ggr": zero_sum(on_day_before(kpi, as_of), "ggr"),
-        "real_money_pct_lifetime": guarded_ratio(zero_sum(rm, "handle"), _sum(handle)),
-        "real_money_pct_7": guarded_ratio(zero_sum(rm & in7, "handle"), zero_sum(in7, "handle")),
-        "real_money_pct_30": guarded_ratio(zero_sum(rm & in30, "handle"), zero_sum(in30, "handle")),
-        "sportsbook_sources": lists.distinct_sorted_join("sportsbook_source", ","),
-        "placed_a_parlay_bet": F.bool_or((F.col("wager_type") == "PARLAY") & (handle > 0)),
-        "bet_sports": F.lit(True),
+    handle, ggr, cost, ngr = F.col("handle"), F.col("ggr"), F.col("bonus_total"), F.col("ngr")
+
+    def when_null(cond, c):   # CASE WHEN cond THEN c END  (sum is NULL if none)
+        return F.when(cond, c)
+
+    def when_zero(cond, c):   # CASE WHEN cond THEN c ELSE 0 END
+        return F.when(cond, c).otherwise(F.lit(0))
+
+    return {
+        "handle_lt": Plain("sum", handle),
+        "ggr_lt": Plain("sum", ggr),
+        "bonus_cost_lt": Plain("sum", cost),
+        "ngr_lt": Plain("sum", ngr),
+        "active_days_lt": Distinct("day"),
+        "handle_l30": Plain("sum", when_null(l30, handle)),
+        "ggr_l30": Plain("sum", when_null(l30, ggr)),
+        "bonus_cost_l30": Plain("sum", when_null(l30, cost)),
+        "ngr_l30": Plain("sum", when_null(l30, ngr)),
+        "active_days_l30": Distinct("day", l30),
+        "first_sports_bet_date": Plain("min", day),
+        "last_sports_bet_date": Plain("max", day),
+        "bet_count_total": Distinct("slip"),
+        "real_money_bet_cnt_lifetime": Distinct("bet", rm),
+        "real_money_bet_cnt_last7": Distinct("bet", rm & in7),
+        "real_money_bet_cnt_last30": Distinct("bet", rm & in30),
+        "previous_day_ggr": Plain("sum", when_zero(on_day_before(kpi, as_of), ggr)),
+        "_rm_handle": Plain("sum", when_zero(rm, handle)),
+        "_handle_7": Plain("sum", when_zero(in7, handle)),
+        "_rm_handle_7": Plain("sum", when_zero(rm & in7, handle)),
+        "_handle_30": Plain("sum", when_zero(in30, handle)),
+        "_rm_handle_30": Plain("sum", when_zero(rm & in30, handle)),
+        "sportsbook_sources": DistinctList("source", ","),
+        "placed_a_parlay_bet": Plain("bool_or", (F.col("wager_type") == "PARLAY") & (handle > 0)),
     }
-    return m
 
 
+# Derived measures: name -> (base measures used, expression over them).
+DERIVED = {
+    "turnover": (["handle_lt"], lambda: F.coalesce(F.col("handle_lt"), F.lit(0))),
+    "average_bet_amount": (["handle_lt", "bet_count_total"],
+                           lambda: guarded_ratio(F.coalesce(F.col("handle_lt"), F.lit(0)), "bet_count_total")),
+    "real_money_pct_lifetime": (["_rm_handle", "handle_lt"], lambda: guarded_ratio("_rm_handle", "handle_lt")),
+    "real_money_pct_7": (["_rm_handle_7", "_handle_7"], lambda: guarded_ratio("_rm_handle_7", "_handle_7")),
+    "real_money_pct_30": (["_rm_handle_30", "_handle_30"], lambda: guarded_ratio("_rm_handle_30", "_handle_30")),
+    "bet_sports": ([], lambda: F.lit(True)),
+}
+
 # Measures whose exact decimal sum is exposed as double.
 MONEY_MEASURES = {
     "handle_lt", "ggr_lt", "bonus_cost_lt", "ngr_lt", "handle_l30", "ggr_l30",
@@ -96,25 +109,25 @@ MONEY_MEASURES = {
 }
 
 
-def customer_measures(bets: DataFrame, as_of, names: Iterable[str], key: str = KEY) -> DataFrame:
-    """``groupBy(key).agg(<named measures>)`` in one pass.
-
-    ``bet_sports`` is a constant, so it is added after the aggregate (a
-    literal inside ``agg`` would be legal but hides the intent).
-    """
+def customer_measures(bets: DataFrame, as_of, names: Iterable[str], key: str = KEY,
+                      money_as_double: bool = True) -> DataFrame:
+    """Named measures per ``key`` in one two-level aggregation
+    (:func:`kpiforge.operators.grained.grained_agg`)."""
     names = list(names)
-    cat = bet_measures(as_of)
-    aggs = [cat[n].alias(n) for n in names if n != "bet_sports"]
-    out = bets.groupBy(key).agg(*aggs)
+    base = base_measures(as_of)
+    need: list[str] = []
+    for n in names:
+        for b in (DERIVED[n][0] if n in DERIVED else [n]):
+            if b not in need:
+                need.append(b)
+    agg = grained_agg(bets, key, bet_grains(), {b: base[b] for b in need})
     cols = [F.col(key)]
     for n in names:
-        if n == "bet_sports":
-            cols.append(F.lit(True).alias(n))
-        elif n in MONEY_MEASURES:
-            cols.append(F.col(n).cast("double").alias(n))
-        else:
-            cols.append(F.col(n))
-    return out.select(*cols)
+        c = DERIVED[n][1]() if n in DERIVED else F.col(n)
+        if money_as_double and n in MONEY_MEASURES:
+            c = c.cast("double")
+        cols.append(c.alias(n))
+    return agg.select(*cols)
 
 
 # Names grouped the way the reference's CTEs group them.
@@ -168,8 +181,7 @@ def final_ratios(lt: DataFrame) -> list[Column]:
 
 def guarded_ratios(bets: DataFrame, as_of) -> DataFrame:
     """C24 per customer, computed from exact sums (decimal) before division."""
-    lt = (valid_bets(bets).groupBy(KEY)
-          .agg(*[bet_measures(as_of)[n].alias(n) for n in LIFETIME + ROLLING_30 + ACTIVE_DAYS]))
+    lt = customer_measures(valid_bets(bets), as_of, LIFETIME + ROLLING_30 + ACTIVE_DAYS, money_as_double=False)
     return lt.select(KEY, *final_ratios(lt))
 
 
