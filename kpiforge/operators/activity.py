@@ -95,7 +95,7 @@ def new_activity_keys(feed: DataFrame, second_feed: DataFrame, target: DataFrame
     """I3 + I4: months after the previous month that the target lacks.
 
     match="keys" (default, the unique key of the model): anti join on
-    (customer, month). match="month" reproduces the reference's NOT EXISTS,
+    (customer, month), NULL-safe on the customer so re-runs are idempotent. match="month" reproduces the reference's NOT EXISTS,
     whose unqualified ``customer_uid`` binds to the target itself: any target
     row with a customer in that month blocks every customer of the month.
     """
@@ -103,7 +103,11 @@ def new_activity_keys(feed: DataFrame, second_feed: DataFrame, target: DataFrame
     if match == "month":
         blocked = target.filter(F.col(KEY).isNotNull()).select(MONTH).distinct()
         return months.join(blocked, MONTH, "left_anti")
-    return months.join(target.select(KEY, MONTH), [KEY, MONTH], "left_anti")
+    # NULL-safe on the customer: a (NULL, month) row already in the target
+    # must block its re-insert, or every re-run would duplicate it.
+    t = target.select(F.col(KEY).alias("_tk"), F.col(MONTH).alias("_tm"))
+    cond = F.col(KEY).eqNullSafe(F.col("_tk")) & (F.col(MONTH) == F.col("_tm"))
+    return months.join(t, cond, "left_anti")
 
 
 def classify_increment(new_keys: DataFrame, target: DataFrame) -> DataFrame:
