@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 
 from kpiforge.functions.measures import guarded_ratio, label
 from kpiforge.functions.predicates import (
-    days_ago_at_most, on_day_before, real_money, valid_bet, within_days,
+    days_ago_at_most, on_day_before, real_money, settled_slip, valid_bet, within_days,
 )
 
 from kpiforge.operators.grained import Distinct, DistinctList, Plain, grained_agg
+from kpiforge.operators.leagues import league_group, league_scope
 
 KEY = "customer_uid"
 
@@ -42,10 +43,12 @@ def valid_bets_with_campaign(bets: DataFrame, campaigns: DataFrame) -> DataFrame
     return valid_bets(bets).join(camp, "src_campaign_id", "left")
 
 
-def bet_grains() -> dict[str, Column]:
-    """Distinct-value grains of the bet KPIs."""
+def bet_grains(as_of) -> dict[str, Column]:
+    """Distinct-value grains of the bet KPIs (``league``: the league group of
+    rows inside the 12-month league report scope)."""
     return {"day": F.to_date("ticket_delivery_date"), "slip": F.col("src_betslip_uuid"),
-            "bet": F.col("bet_id"), "source": F.col("sportsbook_source")}
+            "bet": F.col("bet_id"), "source": F.col("sportsbook_source"),
+            "league": F.when(league_scope(as_of), league_group())}
 
 
 def base_measures(as_of) -> dict[str, Plain | Distinct | DistinctList]:
@@ -88,6 +91,7 @@ def base_measures(as_of) -> dict[str, Plain | Distinct | DistinctList]:
         "_rm_handle_30": Plain("sum", when_zero(rm & in30, handle)),
         "sportsbook_sources": DistinctList("source", ","),
         "placed_a_parlay_bet": Plain("bool_or", (F.col("wager_type") == "PARLAY") & (handle > 0)),
+        "league_list": DistinctList("league", "/", descending=True, upper=True),
     }
 
 
@@ -120,7 +124,7 @@ def customer_measures(bets: DataFrame, as_of, names: Iterable[str], key: str = K
         for b in (DERIVED[n][0] if n in DERIVED else [n]):
             if b not in need:
                 need.append(b)
-    agg = grained_agg(bets, key, bet_grains(), {b: base[b] for b in need})
+    agg = grained_agg(bets, key, bet_grains(as_of), {b: base[b] for b in need})
     cols = [F.col(key)]
     for n in names:
         c = DERIVED[n][1]() if n in DERIVED else F.col(n)
@@ -220,3 +224,70 @@ def totals_by_dim_key(bets: DataFrame, customers: DataFrame) -> DataFrame:
             .agg(F.sum("ngr").cast("double").alias("ngr"), F.sum("ggr").cast("double").alias("ggr"),
                  F.min(F.to_date("ticket_delivery_date")).alias("first_sports_bet_date"),
                  F.max(F.to_date("ticket_delivery_date")).alias("last_sports_bet_date")))
+
+
+# --------------------------------------------------------------------------
+# Batches build: its bet-side inputs -- the bet summary (valid bets), the
+# parlay flags (valid bets with handle > 0), the league list (settled-status
+# bets) and the bet side of the bets x bonuses product (all bets) -- come
+# from ONE pass over the bet fact. Every measure carries its own population
+# condition; columns of a population a customer has no row in are NULL, as
+# when the reference left-joins a separate CTE that lacks the customer.
+# --------------------------------------------------------------------------
+SUMMARY_COLUMNS = ["turnover", "bet_count_total", "average_bet_amount", "cnt_real_lifetime", "cnt_real_7",
+                   "cnt_real_30", "previous_day_ggr", *REAL_MONEY_SHARE, "first_betslip_date",
+                   "last_betslip_date", "sportsbook_sources"]
+
+
+def batches_rollup(bets: DataFrame, as_of) -> DataFrame:
+    tdd, kpi = "ticket_delivery_date", "kpi_date"
+    valid = valid_bet()
+    positive = valid & (F.col("handle") > 0)
+    settled_scope = settled_slip() & league_scope(as_of)
+    rm = real_money()
+    in7, in30 = within_days(kpi, as_of, 7), within_days(kpi, as_of, 30)
+    day = F.to_date(tdd)
+    handle, ggr = F.col("handle"), F.col("ggr")
+
+    def vsum(cond, c, zero=False):
+        e = F.when(valid & cond, c)
+        return Plain("sum", e.otherwise(F.lit(0)) if zero else e)
+
+    grains = {"slip": F.col("src_betslip_uuid"), "bet": F.col("bet_id"),
+              "source": F.when(valid, F.col("sportsbook_source")),
+              "league": F.when(settled_scope, league_group())}
+    m = {
+        "_n_valid": Plain("sum", F.when(valid, F.lit(1)).otherwise(F.lit(0))),
+        "_handle": vsum(F.lit(True), handle),
+        "bet_count_total": Distinct("slip", valid),
+        "cnt_real_lifetime": Distinct("bet", valid & rm),
+        "cnt_real_7": Distinct("bet", valid & rm & in7),
+        "cnt_real_30": Distinct("bet", valid & rm & in30),
+        "previous_day_ggr": vsum(on_day_before(kpi, as_of), ggr, zero=True),
+        "_rm_handle": vsum(rm, handle, zero=True),
+        "_handle_7": vsum(in7, handle, zero=True),
+        "_rm_handle_7": vsum(rm & in7, handle, zero=True),
+        "_handle_30": vsum(in30, handle, zero=True),
+        "_rm_handle_30": vsum(rm & in30, handle, zero=True),
+        "first_betslip_date": Plain("min", F.when(valid, day)),
+        "last_betslip_date": Plain("max", F.when(valid, day)),
+        "sportsbook_sources": DistinctList("source", ","),
+        "placed_a_parlay_bet": Plain("bool_or", F.when(positive, F.col("wager_type") == "PARLAY")),
+        "bet_sports": Plain("bool_or", positive),
+        "league_list": DistinctList("league", "/", descending=True, upper=True),
+        "n_bets": Plain("sum", F.lit(1)),
+        "h": Plain("sum", handle), "g": Plain("sum", ggr), "n": Plain("sum", F.col("ngr")),
+    }
+    agg = grained_agg(bets, KEY, grains, m)
+    has_valid = F.col("_n_valid") > 0
+    derived = {
+        "turnover": F.coalesce(F.col("_handle"), F.lit(0)).cast("double"),
+        "average_bet_amount": guarded_ratio(F.coalesce(F.col("_handle"), F.lit(0)), "bet_count_total"),
+        "real_money_pct_lifetime": guarded_ratio("_rm_handle", "_handle"),
+        "real_money_pct_7": guarded_ratio("_rm_handle_7", "_handle_7"),
+        "real_money_pct_30": guarded_ratio("_rm_handle_30", "_handle_30"),
+        "previous_day_ggr": F.col("previous_day_ggr").cast("double"),
+    }
+    summary = [F.when(has_valid, derived.get(c, F.col(c))).alias(c) for c in SUMMARY_COLUMNS]
+    return agg.select(KEY, *summary, "placed_a_parlay_bet", "bet_sports", "league_list",
+                      F.col("n_bets").cast("bigint").alias("n_bets"), "h", "g", "n")

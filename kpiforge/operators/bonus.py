@@ -88,16 +88,12 @@ def bonus_availability(bonuses: DataFrame) -> DataFrame:
 #   a condition on the bonus side    = count only qualifying bonus rows
 #   DISTINCT counts of bonus days    = unaffected by the multiplicity
 # --------------------------------------------------------------------------
-def fanout_activity(bets: DataFrame, bonuses: DataFrame, as_of) -> DataFrame:
-    """C11 + the batches lifetime/30-day CTE, exactly as the fan-out join
-    computes them (all bets, no status filter; 30 days by bonus date)."""
-    b = bets.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("n_bets"), F.sum("handle").alias("h"),
-        F.sum("ggr").alias("g"), F.sum("ngr").alias("n"))
+def bonus_side(bonuses: DataFrame, as_of) -> DataFrame:
+    """Per-customer bonus aggregate the fan-out measures need."""
     l30 = days_ago_at_most("transaction_created_date", as_of, 30)
     placement = F.col("wallet_transaction_type_action").like("BET_SLIP_PLACEMENT")
     day = F.to_date("transaction_created_date")
-    k = bonuses.groupBy(KEY).agg(
+    return bonuses.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("k"),
         F.count_if(l30).alias("k30"),
         F.sum("bonus_cost").alias("cost"),
@@ -105,9 +101,13 @@ def fanout_activity(bets: DataFrame, bonuses: DataFrame, as_of) -> DataFrame:
         F.sum("bonus_claimed").alias("claimed"),
         F.count_distinct(F.when(placement, day)).alias("days"),
         F.count_distinct(F.when(placement & l30, day)).alias("days30"))
-    j = b.join(k, KEY, "left")
-    has_k = F.col("k").isNotNull()
-    mult = F.when(has_k, F.col("k")).otherwise(F.lit(1))
+
+
+def fanout_columns(present: Column | None = None) -> list[Column]:
+    """Fan-out measures from a row holding the bet side (``n_bets``, ``h``,
+    ``g``, ``n``) and the bonus side (``k`` ... ``days30``, NULL when the
+    customer has no bonus). ``present``: the customer has a bet-side row."""
+    mult = F.when(F.col("k").isNotNull(), F.col("k")).otherwise(F.lit(1))
 
     def times_k(c):        # bet column over all pairs
         return (F.col(c) * mult).cast("double")
@@ -118,22 +118,33 @@ def fanout_activity(bets: DataFrame, bonuses: DataFrame, as_of) -> DataFrame:
     def times_bets(c):     # bonus column over all pairs
         return (F.col(c) * F.col("n_bets")).cast("double")
 
-    return j.select(
-        KEY,
-        times_k("h").alias("handle_lt"), times_k("g").alias("ggr_lt"),
-        times_bets("cost").alias("bonus_cost_lt"), times_k("n").alias("ngr_lt"),
-        times_bets("claimed").alias("bonus_claimed"),
-        F.coalesce("days", F.lit(0)).alias("active_days_lt"),
-        times_k30("h").alias("handle_l30"), times_k30("g").alias("ggr_l30"),
-        times_bets("cost30").alias("bonus_cost_l30"), times_k30("n").alias("ngr_l30"),
-        F.coalesce("days30", F.lit(0)).alias("active_days_l30"))
+    cols = {
+        "handle_lt": times_k("h"), "ggr_lt": times_k("g"), "bonus_cost_lt": times_bets("cost"),
+        "ngr_lt": times_k("n"), "bonus_claimed": times_bets("claimed"),
+        "active_days_lt": F.coalesce("days", F.lit(0)),
+        "handle_l30": times_k30("h"), "ggr_l30": times_k30("g"), "bonus_cost_l30": times_bets("cost30"),
+        "ngr_l30": times_k30("n"), "active_days_l30": F.coalesce("days30", F.lit(0)),
+    }
+    return [(F.when(present, e) if present is not None else e).alias(n) for n, e in cols.items()]
+
+
+def fanout_activity(bets: DataFrame, bonuses: DataFrame, as_of) -> DataFrame:
+    """C11 + the batches lifetime/30-day CTE, exactly as the fan-out join
+    computes them (all bets, no status filter; 30 days by bonus date)."""
+    b = bets.groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("n_bets"), F.sum("handle").alias("h"),
+        F.sum("ggr").alias("g"), F.sum("ngr").alias("n"))
+    return b.join(bonus_side(bonuses, as_of), KEY, "left").select(KEY, *fanout_columns())
 
 
 def bet_side_kinds(bets: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Bonus kind of each customer's bets, from the *bet's* campaign."""
     camp = campaigns.select("src_campaign_id", F.col("name").alias("campaign_name"),
                             F.col("type").alias("campaign_type"))
-    return (bets.select(KEY, "src_campaign_id").join(camp, "src_campaign_id", "left")
+    # distinct (customer, campaign) pairs first: the dimension join then
+    # sees one row per pair instead of one per bet
+    pairs = bets.select(KEY, "src_campaign_id").distinct()
+    return (pairs.join(camp, "src_campaign_id", "left")
             .select(KEY, "campaign_name", bonus_kind().alias("bonus_type")))
 
 

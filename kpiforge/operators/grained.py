@@ -47,10 +47,13 @@ class Distinct:
 
 @dataclass(frozen=True)
 class DistinctList:
-    """``string_agg(DISTINCT value, sep ORDER BY value)`` on grain ``grain``
-    (NULL when no value); ``upper`` optional."""
+    """``string_agg(DISTINCT value, sep ORDER BY value [DESC])`` on grain
+    ``grain`` (NULL when no value), optionally upper-cased afterwards. A row
+    condition goes into the grain expression (``when(cond, value)``)."""
     grain: str
     sep: str = ","
+    descending: bool = False
+    upper: bool = False
 
 
 _FN = {"sum": F.sum, "min": F.min, "max": F.max, "bool_or": F.bool_or}
@@ -90,13 +93,10 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
             fields.append((F.col(f"_pv_{n}") if g is None else null_of(f"_pv_{n}")).alias(f"_p_{n}"))
         for n, m in dist.items():
             fields.append((F.col(f"_fv_{n}") if g == m.grain else F.lit(False)).alias(f"_f_{n}"))
-        structs.append(F.struct(*fields))
-    rows = src.select(F.col(key), F.inline(F.array(*structs)))
-    # grain rows whose value is NULL can never be counted: drop them early
-    keep = F.col("_g") == 0
-    for g in used:
-        keep = keep | ((F.col("_g") == gid[g]) & F.col(f"_k{gid[g]}").isNotNull())
-    rows = rows.filter(keep)
+        st = F.struct(*fields)
+        # a grain copy whose value is NULL can never be counted: do not emit it
+        structs.append(st if g is None else F.when(F.col(f"_gv{gid[g]}").isNotNull(), st))
+    rows = src.select(F.col(key), F.inline(F.array_compact(F.array(*structs))))
 
     level1_aggs = [*[_FN[m.fn](F.col(f"_p_{n}")).alias(f"_p_{n}") for n, m in plain.items()],
                    *[F.bool_or(F.col(f"_f_{n}")).alias(f"_f_{n}") for n in dist]]
@@ -113,9 +113,12 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
         elif isinstance(m, Distinct):
             outs.append(F.count_if((F.col("_g") == gid[m.grain]) & F.col(f"_f_{n}")).alias(n))
         else:
-            # the grain's rows are already distinct per key: a short list
+            # the grain's rows are already distinct per key: a short list.
+            # (Kept in this aggregate: a separate list aggregate would not
+            # share the level-1 exchange once Catalyst prunes its columns.)
             g = gid[m.grain]
-            vals = F.array_sort(F.collect_list(F.when(F.col("_g") == g, F.col(f"_k{g}"))))
-            outs.append(F.when(F.size(vals) > 0, F.array_join(vals, m.sep)).alias(n))
+            vals = F.sort_array(F.collect_list(F.when(F.col("_g") == g, F.col(f"_k{g}"))), asc=not m.descending)
+            text = F.array_join(vals, m.sep)
+            outs.append(F.when(F.size(vals) > 0, F.upper(text) if m.upper else text).alias(n))
     # every key has its grain-0 row, so this aggregate lists every key
     return lvl1.groupBy(key).agg(*outs)

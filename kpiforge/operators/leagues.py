@@ -32,15 +32,20 @@ def league_group(league: str = "league", sport: str = "sport") -> Column:
     return expr.otherwise(F.col(sport))
 
 
+def league_scope(as_of) -> Column:
+    """Rows the league report looks at: last 12 months, a canonical league
+    or one of the always-listed sports."""
+    return (within_months("ticket_delivery_date", as_of, 12)
+            & (F.col("league").isin(*CANONICAL_LEAGUES) | F.col("sport").isin(*SPORTS_ALWAYS_LISTED)))
+
+
 def league_group_counts(bets: DataFrame, as_of, mode: str = "combined") -> DataFrame:
     """Distinct slips per (customer, league group) over the last 12 months.
 
     combined: valid-bet filter (W1); batches: settled-status filter only (W2).
     """
     row_filter = valid_bet() if mode == "combined" else settled_slip()
-    scope = (within_months("ticket_delivery_date", as_of, 12)
-             & (F.col("league").isin(*CANONICAL_LEAGUES) | F.col("sport").isin(*SPORTS_ALWAYS_LISTED)))
-    return (bets.filter(row_filter & scope)
+    return (bets.filter(row_filter & league_scope(as_of))
             .groupBy("customer_uid", league_group().alias("league_group"))
             .agg(F.count_distinct("src_betslip_uuid").alias("num_bets")))
 

@@ -105,11 +105,11 @@ def kpi_initial(d: Domain, as_of) -> DataFrame:
 def _combined_parts(d: Domain, as_of, as_of_events):
     """Customer-grain inputs of the combined build."""
     vb = B.valid_bets(d.bets)
-    lt = B.customer_measures(vb, as_of, B.LIFETIME_AND_L30)
+    # lifetime/30-day KPIs and the league list share one pass over the bets
+    lt = B.customer_measures(vb, as_of, B.LIFETIME_AND_L30 + ["league_list"])
     kinds = BO.promo_kind(d.bonuses, d.campaigns)
     return {
         "lt": lt,
-        "league": LG.league_list(d.bets, as_of, "combined"),
         "tm": CU.theoretical_margin(d.rating),
         "cs": EN.session_metrics(d.sessions),
         "m": EN.mission_metrics(d.missions, as_of_events),
@@ -154,7 +154,7 @@ def kpi_combined(d: Domain, as_of, as_of_events=None) -> DataFrame:
     # From here on the reference joins on msm.customer_uid (J3): an unscored
     # customer loses every later KPI. Same rows: base key + "msm matched".
     via = F.col("_msm").isNotNull()
-    for name in ("sbc", "ccwb", "mrac", "ebc", "pr", "abb", "mcbt", "mrt", "lt", "league", "gta"):
+    for name in ("sbc", "ccwb", "mrac", "ebc", "pr", "abb", "mcbt", "mrt", "lt", "gta"):
         j = _left(j, p[name], f"_{name}", via)
 
     classification = F.coalesce("classification_name", "punter_category_current")
@@ -214,7 +214,8 @@ def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None =
     as_of_events = as_of if as_of_events is None else as_of_events
     kpi = initial if initial is not None else kpi_initial(d, as_of)
     c = CU.customer_base(d.customers, d.classification, d.segmentation)
-    absbd = B.bet_summary(d.bets, as_of)
+    # One pass over the bets: summary, parlay flags, league list, fan-out bet side.
+    roll = B.batches_rollup(d.bets, as_of)
     sbc = ST.settled_counts(d.slips, d.slip_bets, d.bet_map, d.combinations)
     ccwb = ST.latest_balance(d.wallets, d.balances)
     mrac = CA.latest_campaign(d.bonus_activity)
@@ -223,23 +224,28 @@ def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None =
     ms = EN.mission_metrics(d.missions, as_of_events).drop("active_mission_count", "completed_mission_count")
     abb = BO.bonus_availability(d.bonuses)
     kinds = BO.fanout_promo_kinds(d.bets, d.bonuses, d.campaigns)
-    lt = BO.fanout_activity(d.bets, d.bonuses, as_of)
-    pbf = B.parlay_bools(d.bets, "batches")
-    cs = LG.league_list(d.bets, as_of, "batches")
+    bk = BO.bonus_side(d.bonuses, as_of)
     gta = CU.test_players(d.customers).select(KEY)
     kpi_cols = kpi.select(KEY, "created", "age_group", "ftd_date", "classification_name_current",
                           "is_locked", "profile_country_uid")
 
     j = c
-    for name, df in (("absbd", absbd), ("sbc", sbc), ("ccwb", ccwb), ("mrac", mrac), ("ebc", ebc)):
+    for name, df in (("roll", roll), ("sbc", sbc), ("ccwb", ccwb), ("mrac", mrac), ("ebc", ebc)):
         j = _left(j, df, f"_{name}")
     j = _left(j, kpi_cols, "_kpi")
-    for name, df in (("pr", pr), ("ms", ms), ("abb", abb), ("kinds", kinds)):
+    for name, df in (("pr", pr), ("ms", ms), ("abb", abb), ("kinds", kinds), ("bk", bk)):
         j = _left(j, df, f"_{name}")
-    # Joined on kpi.customer_uid in the reference.
+    # The reference joins the lifetime/30-day, parlay, league and test inputs
+    # on kpi.customer_uid (J3): without an initial-table row they are NULL.
     via = F.col("_kpi").isNotNull()
-    for name, df in (("lt", lt), ("pbf", pbf), ("cs", cs), ("gta", gta)):
-        j = _left(j, df, f"_{name}", via)
+    j = _left(j, gta, "_gta", via)
+    j = j.select("*", *BO.fanout_columns(via & F.col("_roll").isNotNull()),
+                 F.when(via, F.col("placed_a_parlay_bet")).alias("_parlay"),
+                 F.when(via, F.col("bet_sports")).alias("_sports"),
+                 F.when(via, F.col("league_list")).alias("_leagues"))
+    j = j.drop("placed_a_parlay_bet", "bet_sports", "league_list") \
+        .withColumnRenamed("_parlay", "placed_a_parlay_bet").withColumnRenamed("_sports", "bet_sports") \
+        .withColumnRenamed("_leagues", "league_list")
 
     out = j.select(
         "customer_id", KEY, F.col("registration_date").alias("tiger_registration_date"),
