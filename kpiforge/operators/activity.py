@@ -43,11 +43,11 @@ def first_incremental_month(as_of) -> dt.date:
     return dt.date(d.year, d.month, 1)
 
 
-def activity_months(feed: DataFrame, second_feed: DataFrame | None, since=None) -> DataFrame:
-    """Distinct (customer, month) from both feeds (UNION DISTINCT). The
-    second feed's activity time is its delivery time, else its KPI time.
-    ``since`` (a date) keeps only activity at or after that instant.
-    ``second_feed=None`` uses the first feed alone."""
+def feed_months(feed: DataFrame, second_feed: DataFrame | None, since=None) -> DataFrame:
+    """(customer, month) of every activity row of both feeds, duplicates kept
+    (usable on streaming DataFrames). The second feed's activity time is its
+    delivery time, else its KPI time. ``since`` (a date) keeps only activity
+    at or after that instant; ``second_feed=None`` uses the first feed alone."""
     t1 = F.col("ticket_delivery_date")
     t2 = F.coalesce(F.col("ticket_delivery_date"), F.col("kpi_date"))
     f1 = feed.filter(t1.isNotNull())
@@ -61,9 +61,13 @@ def activity_months(feed: DataFrame, second_feed: DataFrame | None, since=None)
                            | (F.col("ticket_delivery_date").isNull() & (F.col("kpi_date") >= lo)))
     a = f1.select(KEY, month_of(t1).alias(MONTH))
     if f2 is None:
-        return a.distinct()
-    b = f2.select(KEY, month_of(t2).alias(MONTH))
-    return a.unionByName(b).distinct()
+        return a
+    return a.unionByName(f2.select(KEY, month_of(t2).alias(MONTH)))
+
+
+def activity_months(feed: DataFrame, second_feed: DataFrame | None, since=None) -> DataFrame:
+    """Distinct (customer, month) from both feeds (UNION DISTINCT)."""
+    return feed_months(feed, second_feed, since).distinct()
 
 
 def status_expr(first: Column, prev_active: Column, month: Column, known: Column) -> Column:
@@ -141,20 +145,34 @@ def read_target(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(KEY, MONTH, STATUS)
 
 
-def upsert_increment(spark: SparkSession, feed: DataFrame, second_feed: DataFrame,
-                     path: str, as_of, staging_root: str | None = None) -> int:
-    """Incremental run. Adds the missing (customer, month) rows with their
-    status and rewrites only the touched month partitions.
-
-    Returns the number of new rows. Steps: (1) new keys via anti join,
-    classified against the target's history; (2) the affected partitions'
-    full new content (existing rows + new rows) is written to a staging
-    folder in the shared checkpoint directory -- this cuts the lineage back
-    to the target before it is overwritten; (3) dynamic partition overwrite
-    from the staged copy.
+TARGET_SCHEMA = f"{KEY} bigint, {MONTH} date, {STATUS} string"
+
+
+def ensure_target(spark: SparkSession, path: str) -> None:
+    """Create an empty partitioned target if ``path`` holds none yet."""
+    try:
+        spark.read.schema(TARGET_SCHEMA).parquet(path).limit(1).collect()
+    except Exception:  # noqa: BLE001 -- missing path
+        write_full(spark.createDataFrame([], TARGET_SCHEMA), path)
+
+
+def upsert_months(spark: SparkSession, months: DataFrame, path: str, staging_root: str | None = None) -> int:
+    """I5 core: insert the (customer, month) pairs the target lacks, with
+    their status, rewriting only the touched month partitions.
+
+    Returns the number of new rows. Steps: (1) new keys via a NULL-safe anti
+    join, classified against the target's history; (2) the touched
+    partitions' full new content (existing rows + new rows) is written to a
+    staging folder in the shared checkpoint directory -- this cuts the
+    lineage back to the target before it is overwritten; (3) dynamic
+    partition overwrite from the staged copy. Re-running with the same input
+    inserts nothing (idempotent).
     """
-    target = read_target(spark, path)
-    new_rows = classify_increment(new_activity_keys(feed, second_feed, target, as_of), target)
+    target = spark.read.schema(TARGET_SCHEMA).parquet(path)
+    t = target.select(F.col(KEY).alias("_tk"), F.col(MONTH).alias("_tm"))
+    cond = F.col(KEY).eqNullSafe(F.col("_tk")) & (F.col(MONTH) == F.col("_tm"))
+    new_keys = months.select(KEY, MONTH).distinct().join(t, cond, "left_anti")
+    new_rows = classify_increment(new_keys, target)
     staging_root = staging_root or ensure_checkpoint_dir(spark)
     stage = f"{staging_root.rstrip('/')}/kpiforge-staging/{uuid.uuid4().hex}"
     new_rows.write.mode("overwrite").parquet(stage)
@@ -172,6 +190,15 @@ def upsert_increment(spark: SparkSession, feed: DataFrame, second_feed: DataFram
     return n_new
 
 
+def upsert_increment(spark: SparkSession, feed: DataFrame, second_feed: DataFrame | None,
+                     path: str, as_of, staging_root: str | None = None) -> int:
+    """I5 as the reference schedules it: only months from the as-of month on
+    (``month > trunc(as_of - 1 month)``), read with a pushed-down timestamp
+    range, then :func:`upsert_months`."""
+    months = feed_months(feed, second_feed, since=first_incremental_month(as_of))
+    return upsert_months(spark, months, path, staging_root)
+
+
 def append_new_columns(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """I8: ``on_schema_change: append_new_columns`` -- union by name, columns
     missing on either side become NULL."""

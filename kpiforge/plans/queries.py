@@ -382,3 +382,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
 }
+
+
+def q_activity_stream(spark, sf):
+    """The monthly status maintained by a file stream over both feeds
+    (``foreachBatch`` upserts, ``availableNow``); read back, it equals the
+    full refresh."""
+    from kpiforge.streaming.activity_stream import run_activity_stream
+
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/kpiforge-activity-stream/{uuid.uuid4().hex}"
+    run_activity_stream(spark, sf, path)
+    return AC.read_target(spark, path)
+
+
+QUERIES["activity_stream"] = q_activity_stream
