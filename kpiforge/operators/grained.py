@@ -9,15 +9,17 @@ aggregation. For the bet KPIs that is 7 copies of every row.
 Here distinct measures are declared on a *grain* (the distinct value) plus a
 row condition; measures that share a grain share one copy of the row:
 
-level 1  ``groupBy(key, grain id, grain value)``: plain sums/min/max for the
-         grain-0 copy, and ``bool_or(condition)`` per distinct measure -- all
-         fixed-width buffers, so it is a codegen'd HashAggregate with a
-         map-side partial step. The shuffle is on (key, grain value), so a
-         key holding a third of all rows is still spread over all reducers.
+level 1  ``groupBy(key, grain id, grain value)`` with ``bool_or(condition)``
+         per distinct measure -- narrow, fixed-width buffers, a codegen'd
+         HashAggregate with a map-side partial step. The shuffle is on
+         (key, grain value), so a key holding a third of all rows is still
+         spread over all reducers.
 level 2  ``groupBy(key)``: ``count_if(grain = g AND flag)`` per distinct
-         measure, the grain-0 values passed through, and small ordered
-         lists collected from their (already distinct) grain rows. Again
-         partial aggregation map-side before the shuffle on the key.
+         measure and small ordered lists collected from their (already
+         distinct) grain rows; partial aggregation map-side again.
+
+Plain aggregates (sums, min/max) run as a separate ``groupBy(key)`` joined
+back on the key (see :func:`grained_agg`).
 
 Results equal the SQL aggregates exactly (NULL grain values are not counted;
 a NULL or false condition does not count).
@@ -62,7 +64,15 @@ _FN = {"sum": F.sum, "min": F.min, "max": F.max, "bool_or": F.bool_or}
 def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
                 measures: dict[str, Plain | Distinct | DistinctList]) -> DataFrame:
     """Aggregate ``measures`` per ``key``; ``grains`` maps a grain name to the
-    column expression whose distinct values it counts."""
+    column expression whose distinct values it counts.
+
+    Plain aggregates run as their own ``groupBy(key)`` (map-side combined,
+    narrow buffers); the distinct grains run through the two-level path
+    below; the two per-key results are joined on the key (both sides are
+    hash-partitioned on it). Keeping the plain buffers out of the grain rows
+    matters: an aggregate's buffer schema is shared by all its groups, so
+    riding along would put every sum buffer into every grain row shuffled.
+    """
     used = [g for g in grains if any(isinstance(m, (Distinct, DistinctList)) and m.grain == g
                                      for m in measures.values())]
     gid = {g: i + 1 for i, g in enumerate(used)}
@@ -70,55 +80,53 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
     dist = {n: m for n, m in measures.items() if isinstance(m, Distinct)}
     lists = {n: m for n, m in measures.items() if isinstance(m, DistinctList)}
 
-    # One struct per grain (plus grain 0 for the plain aggregates), all with
-    # the same fields; inline() emits them as rows in one pass over df.
+    # Plain path; it also fixes the key universe (every key with a row).
+    plain_df = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"),
+                                   *[_FN[m.fn](m.expr).alias(n) for n, m in plain.items()])
+    if not used:
+        return plain_df.select(key, *measures.keys())
+
+    # Distinct path. One struct per grain with the same fields; a copy whose
+    # grain value is NULL can never be counted, so it is not emitted.
     src = df.select(
         F.col(key),
         *[grains[g].alias(f"_gv{gid[g]}") for g in used],
-        *[m.expr.alias(f"_pv_{n}") for n, m in plain.items()],
         *[F.coalesce(m.cond if m.cond is not None else F.lit(True), F.lit(False)).alias(f"_fv_{n}")
           for n, m in dist.items()],
     )
     types = dict(src.dtypes)
-
-    def null_of(col_name: str) -> Column:
-        return F.lit(None).cast(types[col_name])
-
     structs = []
-    for g in [None] + used:
-        fields = [F.lit(0 if g is None else gid[g]).alias("_g")]
+    for g in used:
+        fields = [F.lit(gid[g]).alias("_g")]
         for h in used:
-            fields.append((F.col(f"_gv{gid[h]}") if g == h else null_of(f"_gv{gid[h]}")).alias(f"_k{gid[h]}"))
-        for n in plain:
-            fields.append((F.col(f"_pv_{n}") if g is None else null_of(f"_pv_{n}")).alias(f"_p_{n}"))
+            fields.append((F.col(f"_gv{gid[h]}") if g == h else F.lit(None).cast(types[f"_gv{gid[h]}"]))
+                          .alias(f"_k{gid[h]}"))
         for n, m in dist.items():
             fields.append((F.col(f"_fv_{n}") if g == m.grain else F.lit(False)).alias(f"_f_{n}"))
-        st = F.struct(*fields)
-        # a grain copy whose value is NULL can never be counted: do not emit it
-        structs.append(st if g is None else F.when(F.col(f"_gv{gid[g]}").isNotNull(), st))
+        structs.append(F.when(F.col(f"_gv{gid[g]}").isNotNull(), F.struct(*fields)))
     rows = src.select(F.col(key), F.inline(F.array_compact(F.array(*structs))))
 
-    level1_aggs = [*[_FN[m.fn](F.col(f"_p_{n}")).alias(f"_p_{n}") for n, m in plain.items()],
-                   *[F.bool_or(F.col(f"_f_{n}")).alias(f"_f_{n}") for n in dist]]
+    # level 1: dedup per (key, grain, value); shuffle spreads a hot key
     group_cols = [key, "_g", *[f"_k{gid[g]}" for g in used]]
-    lvl1 = (rows.groupBy(*group_cols).agg(*level1_aggs) if level1_aggs
-            else rows.select(*group_cols).distinct())
+    lvl1 = (rows.groupBy(*group_cols).agg(*[F.bool_or(F.col(f"_f_{n}")).alias(f"_f_{n}") for n in dist])
+            if dist else rows.select(*group_cols).distinct())
 
-    g0 = F.col("_g") == 0
+    # level 2: per key counts (and short ordered lists)
     outs = []
     for n, m in measures.items():
-        if isinstance(m, Plain):
-            # exactly one grain-0 row per key carries the finished aggregate
-            outs.append(F.max(F.when(g0, F.col(f"_p_{n}"))).alias(n))
-        elif isinstance(m, Distinct):
+        if isinstance(m, Distinct):
             outs.append(F.count_if((F.col("_g") == gid[m.grain]) & F.col(f"_f_{n}")).alias(n))
-        else:
-            # the grain's rows are already distinct per key: a short list.
-            # (Kept in this aggregate: a separate list aggregate would not
-            # share the level-1 exchange once Catalyst prunes its columns.)
+        elif isinstance(m, DistinctList):
+            # the grain's rows are already distinct per key: a short list
             g = gid[m.grain]
             vals = F.sort_array(F.collect_list(F.when(F.col("_g") == g, F.col(f"_k{g}"))), asc=not m.descending)
             text = F.array_join(vals, m.sep)
             outs.append(F.when(F.size(vals) > 0, F.upper(text) if m.upper else text).alias(n))
-    # every key has its grain-0 row, so this aggregate lists every key
-    return lvl1.groupBy(key).agg(*outs)
+    dist_df = lvl1.groupBy(F.col(key).alias("_dk")).agg(*outs)
+
+    out = plain_df.join(dist_df, F.col(key) == F.col("_dk"), "left")
+    cols = []
+    for n, m in measures.items():
+        # a key with no countable grain row has count 0 (and no list)
+        cols.append(F.coalesce(F.col(n), F.lit(0)).alias(n) if isinstance(m, Distinct) else F.col(n))
+    return out.select(key, *cols)
