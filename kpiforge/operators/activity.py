@@ -199,6 +199,20 @@ def upsert_increment(spark: SparkSession, feed: DataFrame, second_feed: DataFram
     return upsert_months(spark, months, path, staging_root)
 
 
+def build_status(spark: SparkSession, feed: DataFrame, second_feed: DataFrame | None, path: str,
+                 as_of=None, mode: str = "incremental") -> int | None:
+    """The model's two run modes. ``full`` rebuilds the whole partitioned
+    target; ``incremental`` upserts the months from ``as_of``'s on (the
+    target is created empty on first use)."""
+    if mode == "full":
+        write_full(monthly_status(feed, second_feed), path)
+        return None
+    if mode != "incremental":
+        raise ValueError(f"unknown mode {mode!r}")
+    ensure_target(spark, path)
+    return upsert_increment(spark, feed, second_feed, path, as_of)
+
+
 def append_new_columns(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """I8: ``on_schema_change: append_new_columns`` -- union by name, columns
     missing on either side become NULL."""

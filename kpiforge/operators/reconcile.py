@@ -66,7 +66,8 @@ def mismatch_rows(flags: DataFrame, key: str, labels: Sequence[str]) -> DataFram
     return (flags.select(key, names.alias("_cols"))
             .filter(F.size("_cols") > 0)
             .select(key, F.size("_cols").cast("bigint").alias("mismatch_count"),
-                    F.array_join("_cols", ",").alias("mismatched_fields")))
+                    F.array_join("_cols", ",").alias("mismatched_fields"))
+            .orderBy(F.col("mismatch_count").desc(), F.col(key).asc()))
 
 
 def mismatch_columns(flags: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -74,7 +75,8 @@ def mismatch_columns(flags: DataFrame, labels: Sequence[str]) -> DataFrame:
     counts = flags.agg(*[F.count_if(F.col(f"diff_{n}")).alias(n) for n in labels])
     pairs = F.inline(F.array(*[F.struct(F.lit(n).alias("col_name"),
                                         F.col(n).alias("mismatched_customer_count")) for n in labels]))
-    return counts.select(pairs).filter(F.col("mismatched_customer_count") > 0)
+    return (counts.select(pairs).filter(F.col("mismatched_customer_count") > 0)
+            .orderBy(F.col("mismatched_customer_count").desc(), F.col("col_name").asc()))
 
 
 def drift_count(left: DataFrame, right: DataFrame, key: str, predicate) -> DataFrame:

@@ -397,3 +397,30 @@ def q_activity_stream(spark, sf):
 
 
 QUERIES["activity_stream"] = q_activity_stream
+
+
+def _kpi_versions(spark, sf):
+    d = _domain(spark, sf)
+    return K.kpi_batches(d, BETS_AS_OF, EVENTS_AS_OF), K.kpi_combined(d, BETS_AS_OF, EVENTS_AS_OF)
+
+
+def q_reconcile_kpi_columns(spark, sf):
+    """The reference's own check: batches vs combined table, mismatching
+    customers per column (over the full outer join of both tables)."""
+    from kpiforge.plans.kpi_pairs import BATCHES_VS_COMBINED, KPI_TOLERANCE
+
+    new, old = _kpi_versions(spark, sf)
+    flags = RE.diff_flags(new, old, "customer_uid", BATCHES_VS_COMBINED, tol=KPI_TOLERANCE)
+    return RE.mismatch_columns(flags, RE.pair_labels(BATCHES_VS_COMBINED))
+
+
+def q_reconcile_kpi_rows(spark, sf):
+    from kpiforge.plans.kpi_pairs import BATCHES_VS_COMBINED, KPI_TOLERANCE
+
+    new, old = _kpi_versions(spark, sf)
+    flags = RE.diff_flags(new, old, "customer_uid", BATCHES_VS_COMBINED, tol=KPI_TOLERANCE)
+    return RE.mismatch_rows(flags, "customer_uid", RE.pair_labels(BATCHES_VS_COMBINED))
+
+
+QUERIES["reconcile_kpi_columns"] = q_reconcile_kpi_columns
+QUERIES["reconcile_kpi_rows"] = q_reconcile_kpi_rows

@@ -124,3 +124,33 @@ def test_append_new_columns(spark):
     a = spark.createDataFrame([(1, "x")], "k long, a string")
     b = spark.createDataFrame([(2, 5)], "k long, b long")
     assert rows(AC.append_new_columns(a, b), ["k", "a", "b"]) == [(1, "x", None), (2, None, 5)]
+
+
+def test_build_status_modes_and_stream_agree(spark):
+    """full mode, incremental mode from an empty target, and the streaming
+    job all produce the full-refresh table."""
+    from kpiforge.streaming.activity_stream import run_activity_stream
+
+    d = Domain(Tables(spark, SF_SMALL))
+    f1, f2 = d.sportsbook_feed, d.second_feed
+    want = rows(AC.monthly_status(f1, f2))
+    base = tempfile.mkdtemp(prefix="kpiforge-test-")
+    full, inc, stream = (os.path.join(base, n) for n in ("full", "inc", "stream"))
+    AC.build_status(spark, f1, f2, full, mode="full")
+    AC.build_status(spark, f1, f2, inc, as_of=dt.date(1990, 1, 1), mode="incremental")
+    run_activity_stream(spark, SF_SMALL, stream)
+    for p in (full, inc, stream):
+        assert rows(AC.read_target(spark, p)) == want
+    with pytest.raises(ValueError):
+        AC.build_status(spark, f1, f2, full, mode="merge")
+
+
+def test_reconcile_reports_are_ordered(spark):
+    a = spark.createDataFrame([(1, 1.0, "x"), (2, 5.0, "y"), (3, 1.0, "z")], "customer_uid long, v double, s string")
+    b = spark.createDataFrame([(1, 9.0, "q"), (2, 5.0, "q"), (4, 1.0, "z")], "customer_uid long, v double, s string")
+    pairs = [RE.Pair("v", "v", "v", "numeric"), RE.Pair("s", "s", "s", "exact")]
+    flags = RE.diff_flags(a, b, "customer_uid", pairs, tol=0.5)
+    got = [tuple(r) for r in RE.mismatch_rows(flags, "customer_uid", ["v", "s"]).collect()]
+    assert got == [(1, 2, "v,s"), (3, 2, "v,s"), (4, 2, "v,s"), (2, 1, "s")]
+    cols = [tuple(r) for r in RE.mismatch_columns(flags, ["v", "s"]).collect()]
+    assert cols == [("s", 4), ("v", 3)]
