@@ -217,13 +217,21 @@ def totals_by_dim_key(bets: DataFrame, customers: DataFrame) -> DataFrame:
     """Valid bets -> customer dimension (left) -> totals per customer_id.
 
     Bets whose customer is unknown collapse into the NULL customer_id group.
+    The bets are first aggregated per customer_uid (map-side combined), and
+    only that one-row-per-customer result is joined to the dimension: sums
+    carry over exactly (a uid matching k dimension rows contributes its sum
+    k times, as the row-level join would), min/max are unaffected. The big
+    fact is never shuffled for the join.
     """
-    dim = customers.select("customer_uid", "customer_id")
-    return (valid_bets(bets).join(dim, "customer_uid", "left")
+    day = F.to_date("ticket_delivery_date")
+    per_uid = valid_bets(bets).groupBy(KEY).agg(
+        F.sum("ngr").alias("_ngr"), F.sum("ggr").alias("_ggr"),
+        F.min(day).alias("_first"), F.max(day).alias("_last"))
+    dim = customers.select(F.col(KEY).alias("_uid"), "customer_id")
+    return (per_uid.join(dim, F.col(KEY) == F.col("_uid"), "left")
             .groupBy("customer_id")
-            .agg(F.sum("ngr").cast("double").alias("ngr"), F.sum("ggr").cast("double").alias("ggr"),
-                 F.min(F.to_date("ticket_delivery_date")).alias("first_sports_bet_date"),
-                 F.max(F.to_date("ticket_delivery_date")).alias("last_sports_bet_date")))
+            .agg(F.sum("_ngr").cast("double").alias("ngr"), F.sum("_ggr").cast("double").alias("ggr"),
+                 F.min("_first").alias("first_sports_bet_date"), F.max("_last").alias("last_sports_bet_date")))
 
 
 # --------------------------------------------------------------------------

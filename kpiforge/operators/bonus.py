@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kpiforge.functions.measures import label
 from kpiforge.functions.predicates import FREE_PROMO_TYPES, days_ago_at_most
+from kpiforge.operators.grained import Distinct, Plain, grained_agg
 from kpiforge.operators.latest import first_by_rank, latest_per_key
 
 KEY = "customer_uid"
@@ -89,18 +90,19 @@ def bonus_availability(bonuses: DataFrame) -> DataFrame:
 #   DISTINCT counts of bonus days    = unaffected by the multiplicity
 # --------------------------------------------------------------------------
 def bonus_side(bonuses: DataFrame, as_of) -> DataFrame:
-    """Per-customer bonus aggregate the fan-out measures need."""
+    """Per-customer bonus aggregate the fan-out measures need (one pass; the
+    two distinct-day counts share one grain)."""
     l30 = days_ago_at_most("transaction_created_date", as_of, 30)
     placement = F.col("wallet_transaction_type_action").like("BET_SLIP_PLACEMENT")
-    day = F.to_date("transaction_created_date")
-    return bonuses.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("k"),
-        F.count_if(l30).alias("k30"),
-        F.sum("bonus_cost").alias("cost"),
-        F.sum(F.when(l30, F.col("bonus_cost"))).alias("cost30"),
-        F.sum("bonus_claimed").alias("claimed"),
-        F.count_distinct(F.when(placement, day)).alias("days"),
-        F.count_distinct(F.when(placement & l30, day)).alias("days30"))
+    return grained_agg(bonuses, KEY, {"day": F.to_date("transaction_created_date")}, {
+        "k": Plain("sum", F.lit(1)),
+        "k30": Plain("sum", F.when(l30, F.lit(1)).otherwise(F.lit(0))),
+        "cost": Plain("sum", F.col("bonus_cost")),
+        "cost30": Plain("sum", F.when(l30, F.col("bonus_cost"))),
+        "claimed": Plain("sum", F.col("bonus_claimed")),
+        "days": Distinct("day", placement),
+        "days30": Distinct("day", placement & l30),
+    })
 
 
 def fanout_columns(present: Column | None = None) -> list[Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kpiforge.functions.measures import relative_lift
 from kpiforge.functions.predicates import since_instant
+from kpiforge.operators.grained import Distinct, Plain, grained_agg
 
 KEY = "customer_uid"
 
@@ -17,12 +18,14 @@ def mission_metrics(missions: DataFrame, as_of) -> DataFrame:
     done = F.col("finished_reason") == "COMPLETED"
     recent = since_instant("assignment_completed_timestamp", as_of, 30)
     aid = F.col("assignment_id")
-    agg = missions.groupBy(KEY).agg(
-        F.count_distinct(F.when(F.col("assignment_completed_timestamp").isNull(), aid)).alias("active_mission_count"),
-        F.count_distinct(F.when(done, aid)).alias("completed_mission_count"),
-        F.sum("payout_value_lc").alias("tiger_lifetime_cashback_lc"),
-        F.sum(F.when(recent, F.col("payout_value_lc")).otherwise(F.lit(0))).alias("tiger_l30_cashback_lc"),
-        F.count_distinct(F.when(recent & done, aid)).alias("tiger_l30_missions_completed"))
+    # four conditional DISTINCT counts on one grain (the assignment)
+    agg = grained_agg(missions, KEY, {"assignment": aid}, {
+        "active_mission_count": Distinct("assignment", F.col("assignment_completed_timestamp").isNull()),
+        "completed_mission_count": Distinct("assignment", done),
+        "tiger_lifetime_cashback_lc": Plain("sum", F.col("payout_value_lc")),
+        "tiger_l30_cashback_lc": Plain("sum", F.when(recent, F.col("payout_value_lc")).otherwise(F.lit(0))),
+        "tiger_l30_missions_completed": Distinct("assignment", recent & done),
+    })
     return agg.select(
         KEY, "active_mission_count", "completed_mission_count",
         F.col("tiger_lifetime_cashback_lc").cast("double").alias("tiger_lifetime_cashback_lc"),

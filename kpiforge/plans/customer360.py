@@ -60,11 +60,7 @@ def kpi_initial(d: Domain, as_of) -> DataFrame:
     """The first, 8-join customer table."""
     dc = d.customers
     tm = CU.theoretical_margin(d.rating)
-    ngr = (B.valid_bets(d.bets).join(dc.select(KEY, "customer_id"), KEY, "left")
-           .groupBy("customer_id")
-           .agg(F.sum("ngr").cast("double").alias("ngr"), F.sum("ggr").cast("double").alias("ggr"),
-                F.min(F.to_date("ticket_delivery_date")).alias("first_sports_bet_date"),
-                F.max(F.to_date("ticket_delivery_date")).alias("last_sports_bet_date")))
+    ngr = B.totals_by_dim_key(d.bets, dc)
     cs = EN.session_metrics(d.sessions)
     ms = EN.mission_metrics(d.missions, as_of).select(KEY, "active_mission_count", "completed_mission_count")
     fcc = d.classification.select("customer_id", "classification_id", "manually_classified")
