@@ -88,3 +88,17 @@ def drift_count(left: DataFrame, right: DataFrame, key: str, predicate) -> DataF
 
 def pair_labels(pairs: Sequence[Pair], ignore: Sequence[str] = ()) -> list[str]:
     return [p.label for p in pairs if p.label not in set(ignore)]
+
+
+def reconcile(left: DataFrame, right: DataFrame, key: str, pairs: Sequence[Pair], tol: float = 0.01,
+              ignore: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """R1-R5 as one script: the flag table is materialised once (S6, the
+    reference's temp table; ``persist`` spills to disk and is recomputed from
+    lineage if an executor is lost) and feeds both reports. Returns
+    ``(flags, per_row_report, per_column_report)``; call ``flags.unpersist()``
+    when done."""
+    from pyspark import StorageLevel
+
+    flags = diff_flags(left, right, key, pairs, tol, ignore).persist(StorageLevel.MEMORY_AND_DISK)
+    labels = pair_labels(pairs, ignore)
+    return flags, mismatch_rows(flags, key, labels), mismatch_columns(flags, labels)

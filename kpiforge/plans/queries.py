@@ -424,3 +424,14 @@ def q_reconcile_kpi_rows(spark, sf):
 
 QUERIES["reconcile_kpi_columns"] = q_reconcile_kpi_columns
 QUERIES["reconcile_kpi_rows"] = q_reconcile_kpi_rows
+
+
+def q_kpi_batches_two_hop(spark, sf):
+    """The batches table built from the persisted initial table (written to
+    the shared checkpoint folder first)."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/kpiforge-kpi-initial/{uuid.uuid4().hex}"
+    return K.batches_two_hop(_domain(spark, sf), BETS_AS_OF, EVENTS_AS_OF, path)
+
+
+QUERIES["kpi_batches_two_hop"] = q_kpi_batches_two_hop

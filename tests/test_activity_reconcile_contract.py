@@ -154,3 +154,13 @@ def test_reconcile_reports_are_ordered(spark):
     assert got == [(1, 2, "v,s"), (3, 2, "v,s"), (4, 2, "v,s"), (2, 1, "s")]
     cols = [tuple(r) for r in RE.mismatch_columns(flags, ["v", "s"]).collect()]
     assert cols == [("s", 4), ("v", 3)]
+
+
+def test_reconcile_script_reuses_flags(spark):
+    old, new = customer_versions(Tables(spark, SF_SMALL))
+    flags, per_row, per_col = RE.reconcile(new, old, "customer_uid", Q.PROFILE_PAIRS, tol=Q.RECONCILE_TOL)
+    assert flags.is_cached
+    total_rows = per_row.agg(F.sum("mismatch_count")).collect()[0][0]
+    total_cols = per_col.agg(F.sum("mismatched_customer_count")).collect()[0][0]
+    assert total_rows == total_cols
+    flags.unpersist()
