@@ -148,11 +148,16 @@ def read_target(spark: SparkSession, path: str) -> DataFrame:
 TARGET_SCHEMA = f"{KEY} bigint, {MONTH} date, {STATUS} string"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (shared) file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def ensure_target(spark: SparkSession, path: str) -> None:
     """Create an empty partitioned target if ``path`` holds none yet."""
-    try:
-        spark.read.schema(TARGET_SCHEMA).parquet(path).limit(1).collect()
-    except Exception:  # noqa: BLE001 -- missing path
+    if not path_exists(spark, path):
         write_full(spark.createDataFrame([], TARGET_SCHEMA), path)
 
 
