@@ -13,17 +13,19 @@ def settled_counts(slips: DataFrame, slip_bets: DataFrame, bet_map: DataFrame,
                    combinations: DataFrame) -> DataFrame:
     """Distinct bets per customer whose combination is WON or LOST.
 
-    Four-way inner join; the status predicate of the ON clause is applied to
-    the combination side before the join (pushed into its scan). The three
-    slip-keyed inputs are joined on the slip key first so they share one
-    hash partitioning.
+    Four-way inner join. Join order is chosen by hand (Catalyst does not
+    reorder joins without cost-based optimisation): the status predicate of
+    the reference's ON clause is applied to the combinations first (pushed
+    into their scan) and joined to the mapping, so the two bet-sized
+    relations meet only on the surviving rows; the slip (customer) side
+    comes last. Inner joins, so the result equals the reference's order.
     """
     settled = combinations.filter(F.col("bet_combination_status").isin(*SETTLED_COMBINATION_STATUSES)) \
         .select("bet_combination_id")
-    return (slips.select("src_betslip_uuid", "customer_uid")
-            .join(slip_bets, "src_betslip_uuid")
-            .join(bet_map, ["src_betslip_uuid", "bet_id"])
-            .join(settled, "bet_combination_id")
+    return (bet_map.join(settled, "bet_combination_id")
+            .select("src_betslip_uuid", "bet_id")
+            .join(slip_bets, ["src_betslip_uuid", "bet_id"])
+            .join(slips.select("src_betslip_uuid", "customer_uid"), "src_betslip_uuid")
             .groupBy("customer_uid")
             .agg(F.count_distinct("bet_id").alias("settled_bet_count")))
 

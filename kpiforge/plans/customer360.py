@@ -27,7 +27,6 @@ from kpiforge.operators import bonus as BO
 from kpiforge.operators import campaigns as CA
 from kpiforge.operators import customer as CU
 from kpiforge.operators import engagement as EN
-from kpiforge.operators import leagues as LG
 from kpiforge.operators import settlement as ST
 from kpiforge.sources.domain import Domain
 

@@ -19,7 +19,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kpiforge.operators import activity as AC
 from kpiforge.session import ensure_checkpoint_dir
