@@ -212,3 +212,18 @@ def test_hot_key_third_of_rows(spark):
     a = top_n_per_key(df, "k", order, 2000, salt_col="id", salt_buckets=16)
     b = top_n_per_key(df, "k", order, 2000)
     assert rows(a, ["k", "id", "rn"]) == rows(b, ["k", "id", "rn"])
+
+
+def test_input_parallelism_guard(spark, tmp_path):
+    from kpiforge.sources.tables import spread_if_underpartitioned
+
+    path = str(tmp_path / "one.parquet")
+    spark.range(0, 5000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert df.rdd.getNumPartitions() == 1
+    assert spread_if_underpartitioned(df) is df                      # small: untouched
+    spread = spread_if_underpartitioned(df, min_bytes=0)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in spread.collect()) == list(range(5000))
+    many = spark.range(0, 5000, numPartitions=spark.sparkContext.defaultParallelism)
+    assert spread_if_underpartitioned(many, min_bytes=0) is many      # enough partitions: untouched
