@@ -435,3 +435,14 @@ def q_kpi_batches_two_hop(spark, sf):
 
 
 QUERIES["kpi_batches_two_hop"] = q_kpi_batches_two_hop
+
+
+def q_drift_count_kpi(spark, sf):
+    """The ad-hoc check on the real tables: combined RIGHT JOIN batches,
+    distinct combined customers whose lifetime ggr/handle differs by > 0.1."""
+    new, old = _kpi_versions(spark, sf)
+    pred = F.abs(F.col("l.ggr_to_handle_lt") - F.col("r.ggr_to_handle_lt")) > 0.1
+    return RE.drift_count(old, new, "customer_uid", pred)
+
+
+QUERIES["drift_count_kpi"] = q_drift_count_kpi
