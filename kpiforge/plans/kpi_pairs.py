@@ -43,3 +43,17 @@ BATCHES_VS_COMBINED = [
     _t("do_not_bonus"), _t("deposited"),
 ]
 KPI_TOLERANCE = 1.0
+
+
+# The initial-vs-combined check compares every column as text (its declared
+# numeric tolerance is never used); pairs limited to columns both builds have.
+INITIAL_VS_COMBINED = [
+    _t("customer_id"), _t("customer_uid"), _t("registration_date", "tiger_registration_date"),
+    _t("predicted_margin"), _t("ftd_date"), _t("first_sports_bet_date"), _t("last_sports_bet_date"),
+    _t("classification_name_current"),
+    _t("cross_product_historical_value_score_current"), _t("cross_product_historical_value_segment_current"),
+    _t("sports_historical_value_score_current"), _t("sports_historical_value_segment_current"),
+    _t("casino_historical_value_score_current"), _t("casino_historical_value_segment_current"),
+    _t("manually_classified"), _t("lifetime_bets"), _t("test_account_flag"), _t("age_group"),
+    _t("profile_country_uid"), _t("is_locked"),
+]

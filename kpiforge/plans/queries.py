@@ -446,3 +446,16 @@ def q_drift_count_kpi(spark, sf):
 
 
 QUERIES["drift_count_kpi"] = q_drift_count_kpi
+
+
+def q_reconcile_initial_columns(spark, sf):
+    """The other reference check: initial vs combined table, per column."""
+    from kpiforge.plans.kpi_pairs import INITIAL_VS_COMBINED
+
+    d = _domain(spark, sf)
+    new, old = K.kpi_initial(d, BETS_AS_OF), K.kpi_combined(d, BETS_AS_OF, EVENTS_AS_OF)
+    flags = RE.diff_flags(new, old, "customer_uid", INITIAL_VS_COMBINED)
+    return RE.mismatch_columns(flags, RE.pair_labels(INITIAL_VS_COMBINED))
+
+
+QUERIES["reconcile_initial_columns"] = q_reconcile_initial_columns
