@@ -149,13 +149,19 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
     """I7 + I9 + I10: one row per declared (or extra) column with
     ``expected_type``, ``actual_type``, ``issue`` ('missing', 'type',
     'extra' or NULL), ``null_count`` (not_null tests), ``duplicate_count``
-    (unique tests). Schema facts are metadata; the counts come from one
+    (unique tests), ``cast_failures`` (for a type issue: non-NULL values the
+    declared type cannot hold, e.g. BIGNUMERIC beyond decimal(38,18)). Schema facts are metadata; the counts come from one
     aggregate over ``df``."""
     actual = {f.name: _type_name(f.dataType) for f in df.schema.fields}
     aggs = []
     for c in contract.columns:
         if c.name not in actual:
             continue
+        if actual[c.name] != spark_type(c.data_type):
+            # values the declared type cannot hold (overflow, bad text)
+            col = F.col(c.name)
+            aggs.append(F.count_if(col.isNotNull() & col.try_cast(spark_type(c.data_type)).isNull())
+                        .alias(f"c__{c.name}"))
         if "not_null" in c.tests:
             aggs.append(F.count_if(F.col(c.name).isNull()).alias(f"n__{c.name}"))
         if "unique" in c.tests:
@@ -171,16 +177,19 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
         issue = "missing" if act is None else (None if act == exp else "type")
         n = F.col(f"n__{c.name}") if act is not None and "not_null" in c.tests else F.lit(None).cast("bigint")
         u = F.col(f"u__{c.name}") if act is not None and "unique" in c.tests else F.lit(None).cast("bigint")
+        cf = F.col(f"c__{c.name}") if issue == "type" else F.lit(None).cast("bigint")
         rows.append(F.struct(F.lit(c.name).alias("column_name"), F.lit(exp).alias("expected_type"),
                              F.lit(act).cast("string").alias("actual_type"),
                              F.lit(issue).cast("string").alias("issue"),
-                             n.cast("bigint").alias("null_count"), u.cast("bigint").alias("duplicate_count")))
+                             n.cast("bigint").alias("null_count"), u.cast("bigint").alias("duplicate_count"),
+                             cf.cast("bigint").alias("cast_failures")))
     for name, act in actual.items():
         if name not in declared:
             rows.append(F.struct(F.lit(name).alias("column_name"), F.lit(None).cast("string").alias("expected_type"),
                                  F.lit(act).alias("actual_type"), F.lit("extra").alias("issue"),
                                  F.lit(None).cast("bigint").alias("null_count"),
-                                 F.lit(None).cast("bigint").alias("duplicate_count")))
+                                 F.lit(None).cast("bigint").alias("duplicate_count"),
+                                 F.lit(None).cast("bigint").alias("cast_failures")))
     return counts.select(F.inline(F.array(*rows)))
 
 

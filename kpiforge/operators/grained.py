@@ -19,7 +19,11 @@ level 2  ``groupBy(key)``: ``count_if(grain = g AND flag)`` per distinct
          distinct) grain rows; partial aggregation map-side again.
 
 Plain aggregates (sums, min/max) run as a separate ``groupBy(key)`` joined
-back on the key (see :func:`grained_agg`).
+back on the key (see :func:`grained_agg`). That reads the source twice, but
+the two passes read mostly different columns of a columnar table (amounts
+for the sums; ids, dates and labels for the grains), so the extra I/O is the
+shared key and condition columns -- far less than widening every shuffled
+grain row with all sum buffers.
 
 Results equal the SQL aggregates exactly (NULL grain values are not counted;
 a NULL or false condition does not count).

@@ -164,3 +164,13 @@ def test_reconcile_script_reuses_flags(spark):
     total_cols = per_col.agg(F.sum("mismatched_customer_count")).collect()[0][0]
     assert total_rows == total_cols
     flags.unpersist()
+
+
+def test_contract_reports_cast_overflow(spark):
+    c = CO.Contract("t", (CO.Column_("odds", "BIGNUMERIC"), CO.Column_("n", "int64")))
+    df = spark.createDataFrame([(1.5, 1), (1e25, 2), (None, 3)], "odds double, n int")
+    rep = {r.column_name: r for r in CO.check(df, c).collect()}
+    assert rep["odds"].issue == "type" and rep["odds"].cast_failures == 1   # 1e25 overflows decimal(38,18)
+    assert rep["n"].issue == "type" and rep["n"].cast_failures == 0
+    out = CO.enforce(df, c)
+    assert [r.odds for r in out.orderBy("n").collect()][1] is None
