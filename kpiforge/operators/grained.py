@@ -55,7 +55,9 @@ class Distinct:
 class DistinctList:
     """``string_agg(DISTINCT value, sep ORDER BY value [DESC])`` on grain
     ``grain`` (NULL when no value), optionally upper-cased afterwards. A row
-    condition goes into the grain expression (``when(cond, value)``)."""
+    condition goes into the grain expression (``when(cond, value)``). The
+    list is collected per key, so use it for grains with a small vocabulary
+    per key (sources, league groups), not for ids."""
     grain: str
     sep: str = ","
     descending: bool = False
@@ -82,7 +84,6 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
     gid = {g: i + 1 for i, g in enumerate(used)}
     plain = {n: m for n, m in measures.items() if isinstance(m, Plain)}
     dist = {n: m for n, m in measures.items() if isinstance(m, Distinct)}
-    lists = {n: m for n, m in measures.items() if isinstance(m, DistinctList)}
 
     # Plain path; it also fixes the key universe (every key with a row).
     plain_df = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"),
@@ -128,7 +129,8 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
             outs.append(F.when(F.size(vals) > 0, F.upper(text) if m.upper else text).alias(n))
     dist_df = lvl1.groupBy(F.col(key).alias("_dk")).agg(*outs)
 
-    out = plain_df.join(dist_df, F.col(key) == F.col("_dk"), "left")
+    # NULL-safe: rows without a key form one NULL group, as in SQL GROUP BY
+    out = plain_df.join(dist_df, F.col(key).eqNullSafe(F.col("_dk")), "left")
     cols = []
     for n, m in measures.items():
         # a key with no countable grain row has count 0 (and no list)

@@ -227,3 +227,11 @@ def test_input_parallelism_guard(spark, tmp_path):
     assert sorted(r.id for r in spread.collect()) == list(range(5000))
     many = spark.range(0, 5000, numPartitions=spark.sparkContext.defaultParallelism)
     assert spread_if_underpartitioned(many, min_bytes=0) is many      # enough partitions: untouched
+
+
+def test_grained_agg_null_key_group(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (None, 2, "b"), (1, 1, "a")],
+                               "k long, d long, s string")
+    got = grained_agg(df, "k", {"d": F.col("d"), "s": F.col("s")},
+                      {"n": Distinct("d"), "c": Plain("sum", F.col("d")), "l": DistinctList("s", "|")})
+    assert rows(got, ["k", "n", "c", "l"]) == [(None, 2, 5, "a|b"), (1, 1, 1, "a")]
