@@ -105,6 +105,36 @@ def bonus_side(bonuses: DataFrame, as_of) -> DataFrame:
     })
 
 
+def bonus_rollup(bonuses: DataFrame, as_of) -> DataFrame:
+    """The batches build's two bonus inputs in one pass: the fan-out bonus
+    side (:func:`bonus_side`) and the availability labels
+    (:func:`bonus_availability`) -- both per customer over all bonus rows."""
+    l30 = days_ago_at_most("transaction_created_date", as_of, 30)
+    placement = F.col("wallet_transaction_type_action").like("BET_SLIP_PLACEMENT")
+    t = F.col("bonus_campaign_type")
+
+    def idle_sum(cond):
+        return Plain("sum", F.when(cond, F.col("bonus_idle")).otherwise(F.lit(0)))
+
+    agg = grained_agg(bonuses, KEY, {"day": F.to_date("transaction_created_date")}, {
+        "k": Plain("sum", F.lit(1)),
+        "k30": Plain("sum", F.when(l30, F.lit(1)).otherwise(F.lit(0))),
+        "cost": Plain("sum", F.col("bonus_cost")),
+        "cost30": Plain("sum", F.when(l30, F.col("bonus_cost"))),
+        "claimed": Plain("sum", F.col("bonus_claimed")),
+        "days": Distinct("day", placement),
+        "days30": Distinct("day", placement & l30),
+        "_protected": idle_sum(t == "RISK_FREE_BET"),
+        "_credits": idle_sum(t.isin(*FREE_PROMO_TYPES)),
+    })
+    return agg.select(
+        KEY, "k", "k30", "cost", "cost30", "claimed", "days", "days30",
+        label(F.col("_protected") > 0, "true", "false").alias("available_protected_bets"),
+        label(F.col("_credits") > 0, "true", "false").alias("available_bet_credits"),
+        F.lit(None).cast("string").alias("available_deposit_matches"),
+        F.lit(None).cast("string").alias("available_bet_and_gets"))
+
+
 def fanout_columns(present: Column | None = None) -> list[Column]:
     """Fan-out measures from a row holding the bet side (``n_bets``, ``h``,
     ``g``, ``n``) and the bonus side (``k`` ... ``days30``, NULL when the

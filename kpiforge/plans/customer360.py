@@ -217,9 +217,9 @@ def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None =
     ebc = CA.enrolled_list(d.bonus_activity, as_of_events)
     pr = EN.relative_lift_table(d.predictions)
     ms = EN.mission_metrics(d.missions, as_of_events).drop("active_mission_count", "completed_mission_count")
-    abb = BO.bonus_availability(d.bonuses)
+    # one pass over the bonuses: availability labels + fan-out bonus side
+    bonus = BO.bonus_rollup(d.bonuses, as_of)
     kinds = BO.fanout_promo_kinds(d.bets, d.bonuses, d.campaigns)
-    bk = BO.bonus_side(d.bonuses, as_of)
     gta = CU.test_players(d.customers).select(KEY)
     kpi_cols = kpi.select(KEY, "created", "age_group", "ftd_date", "classification_name_current",
                           "is_locked", "profile_country_uid")
@@ -228,7 +228,7 @@ def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None =
     for name, df in (("roll", roll), ("sbc", sbc), ("ccwb", ccwb), ("mrac", mrac), ("ebc", ebc)):
         j = _left(j, df, f"_{name}")
     j = _left(j, kpi_cols, "_kpi")
-    for name, df in (("pr", pr), ("ms", ms), ("abb", abb), ("kinds", kinds), ("bk", bk)):
+    for name, df in (("pr", pr), ("ms", ms), ("bonus", bonus), ("kinds", kinds)):
         j = _left(j, df, f"_{name}")
     # The reference joins the lifetime/30-day, parlay, league and test inputs
     # on kpi.customer_uid (J3): without an initial-table row they are NULL.
