@@ -34,6 +34,16 @@ def mission_metrics(missions: DataFrame, as_of) -> DataFrame:
         "tiger_l30_missions_completed")
 
 
+def mission_counts(missions: DataFrame) -> DataFrame:
+    """The initial build's mission CTE: active and completed mission counts
+    only (two DISTINCT counts on one grain, one aggregate)."""
+    aid = F.col("assignment_id")
+    return grained_agg(missions, KEY, {"assignment": aid}, {
+        "active_mission_count": Distinct("assignment", F.col("assignment_completed_timestamp").isNull()),
+        "completed_mission_count": Distinct("assignment", F.col("finished_reason") == "COMPLETED"),
+    })
+
+
 def session_metrics(sessions: DataFrame) -> DataFrame:
     """Average session length in minutes and seconds, distinct sessions.
 

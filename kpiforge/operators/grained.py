@@ -18,8 +18,8 @@ level 2  ``groupBy(key)``: ``count_if(grain = g AND flag)`` per distinct
          measure and small ordered lists collected from their (already
          distinct) grain rows; partial aggregation map-side again.
 
-Plain aggregates (sums, min/max) run as a separate ``groupBy(key)`` joined
-back on the key (see :func:`grained_agg`). That reads the source twice, but
+Plain aggregates (sums, min/max) run as a separate ``groupBy(key)`` combined
+with the distinct result per key (see :func:`grained_agg`). That reads the source twice, but
 the two passes read mostly different columns of a columnar table (amounts
 for the sums; ids, dates and labels for the grains), so the extra I/O is the
 shared key and condition columns -- far less than widening every shuffled
@@ -74,8 +74,8 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
 
     Plain aggregates run as their own ``groupBy(key)`` (map-side combined,
     narrow buffers); the distinct grains run through the two-level path
-    below; the two per-key results are joined on the key (both sides are
-    hash-partitioned on it). Keeping the plain buffers out of the grain rows
+    below; the two per-key results are combined by a union and a per-key
+    max (both sides are hash-partitioned on the key, so no exchange). Keeping the plain buffers out of the grain rows
     matters: an aggregate's buffer schema is shared by all its groups, so
     riding along would put every sum buffer into every grain row shuffled.
     """
@@ -86,8 +86,14 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
     dist = {n: m for n, m in measures.items() if isinstance(m, Distinct)}
 
     # Plain path; it also fixes the key universe (every key with a row).
-    plain_df = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"),
-                                   *[_FN[m.fn](m.expr).alias(n) for n, m in plain.items()])
+    # Without plain measures there is no plain path: a narrow presence row
+    # per input row (grain 0) keeps every key, and the result is a single
+    # aggregate on the key -- which Catalyst knows is unique per key (so an
+    # unused left join to it can be eliminated).
+    plain_df = None
+    if plain or not used:
+        plain_df = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"),
+                                       *[_FN[m.fn](m.expr).alias(n) for n, m in plain.items()])
     if not used:
         return plain_df.select(key, *measures.keys())
 
@@ -101,6 +107,11 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
     )
     types = dict(src.dtypes)
     structs = []
+    if plain_df is None:
+        presence = [F.lit(0).alias("_g")]
+        presence += [F.lit(None).cast(types[f"_gv{gid[h]}"]).alias(f"_k{gid[h]}") for h in used]
+        presence += [F.lit(False).alias(f"_f_{n}") for n in dist]
+        structs.append(F.struct(*presence))
     for g in used:
         fields = [F.lit(gid[g]).alias("_g")]
         for h in used:
@@ -127,10 +138,19 @@ def grained_agg(df: DataFrame, key: str, grains: dict[str, Column],
             vals = F.sort_array(F.collect_list(F.when(F.col("_g") == g, F.col(f"_k{g}"))), asc=not m.descending)
             text = F.array_join(vals, m.sep)
             outs.append(F.when(F.size(vals) > 0, F.upper(text) if m.upper else text).alias(n))
-    dist_df = lvl1.groupBy(F.col(key).alias("_dk")).agg(*outs)
-
-    # NULL-safe: rows without a key form one NULL group, as in SQL GROUP BY
-    out = plain_df.join(dist_df, F.col(key).eqNullSafe(F.col("_dk")), "left")
+    dist_df = lvl1.groupBy(key).agg(*outs)
+    if plain_df is None:
+        return dist_df.select(key, *measures.keys())
+
+    # Combine the two per-key results: UNION ALL + groupBy(key) with max.
+    # Each side has at most one row per key and each measure comes from one
+    # side, so max picks it; GROUP BY keeps the NULL key as one group (a join
+    # would drop it, a NULL-safe join would re-shuffle both sides on
+    # coalesced keys). Both inputs are hash-partitioned on the key and the
+    # union keeps that partitioning, so this adds no exchange, and the
+    # result is one aggregate per key.
+    both = plain_df.select(key, *plain.keys()).unionByName(dist_df, allowMissingColumns=True)
+    out = both.groupBy(key).agg(*[F.max(n).alias(n) for n in measures])
     cols = []
     for n, m in measures.items():
         # a key with no countable grain row has count 0 (and no list)

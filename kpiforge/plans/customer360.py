@@ -61,7 +61,7 @@ def kpi_initial(d: Domain, as_of) -> DataFrame:
     tm = CU.theoretical_margin(d.rating)
     ngr = B.totals_by_dim_key(d.bets, dc)
     cs = EN.session_metrics(d.sessions)
-    ms = EN.mission_metrics(d.missions, as_of).select(KEY, "active_mission_count", "completed_mission_count")
+    ms = EN.mission_counts(d.missions)
     fcc = d.classification.select("customer_id", "classification_id", "manually_classified")
     ss = d.sportsbook_stats.select(KEY, F.col("first_betslip_stake").cast("double").alias("first_sports_bet_amount"),
                                    F.col("last_betslip_stake").cast("double").alias("last_sports_bet_amount"),

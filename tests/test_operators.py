@@ -235,3 +235,9 @@ def test_grained_agg_null_key_group(spark):
     got = grained_agg(df, "k", {"d": F.col("d"), "s": F.col("s")},
                       {"n": Distinct("d"), "c": Plain("sum", F.col("d")), "l": DistinctList("s", "|")})
     assert rows(got, ["k", "n", "c", "l"]) == [(None, 2, 5, "a|b"), (1, 1, 1, "a")]
+
+
+def test_grained_agg_distinct_only_keeps_every_key(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (2, 6), (None, 7)], "k long, d long")
+    got = grained_agg(df, "k", {"d": F.col("d")}, {"n": Distinct("d"), "l": DistinctList("d", "|")})
+    assert rows(got, ["k", "n", "l"]) == [(None, 1, "7"), (1, 0, None), (2, 2, "5|6")]
