@@ -10,8 +10,9 @@ from conftest import SF_ORACLE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+LLM_QUERIES, LLM_ORACLE = E._llm_queries()  # tested in tests/llm
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k not in LLM_ORACLE}
+QUERIES = {k: v for k, v in E.queries().items() if k not in LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
