@@ -39,7 +39,7 @@ def propagate_labels(members: DataFrame, n_shards: int, capacity: int, rounds: i
         count = members.join(labels, "row").groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
         # at most n_shards entries a hub
         tops = stored(count.groupBy("hub").agg(F.sum("n").alias("size"), F.sort_array(F.collect_list(
-            F.struct((-F.col("n")).alias("n"), "label"))).alias("ranked")).select(
+            F.struct((-F.col("n")).alias("n"), F.xxhash64("hub", "label").alias("tie"), "label"))).alias("ranked")).select(
                 "hub", "ranked", F.greatest(F.lit(1), F.ceil(F.col("size") / capacity)).cast("int").alias("wanted")), "tops")
         named = tops.select("hub", "wanted", F.explode(F.transform("ranked", lambda x, i: F.struct(
             x["label"].alias("label"), (-x["n"]).alias("n"), i.alias("place"),

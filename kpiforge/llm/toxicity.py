@@ -168,8 +168,19 @@ def one_of_each_family(texts: list[str]) -> list[str]:
     return [texts[i] for i in sorted({root(int(i)) for i in full})]
 
 
+FRAMES = NEGATIONS | REPORTING | {"\"", "“", "”", "«", "»"}
+CLOSED = FRAMES | TARGETS | THREATS
+
+
 def _keys(text: str) -> set[tuple[str, str]]:
-    found = {w for w in WORD.findall(text.lower()) if len(w) > 2}
+    """Words and stems of the clauses that neither negate nor report: others
+    show how a word is spoken of, not what it does."""
+    found: set[str] = set()
+    for clause in CLAUSE_END.split(text.lower()):
+        words = set(WORD.findall(clause))
+        if words.isdisjoint(FRAMES):
+            found |= words
+    found = {w for w in found - CLOSED if len(w) > 2}
     return {("w", w) for w in found} | {("s", w[:n]) for w in found for n in range(MIN_STEM, min(len(w), MAX_STEM) + 1)}
 
 
@@ -222,6 +233,7 @@ def _fitted(grammar: Grammar, rows: list[tuple[str | None, int]], steps: int = 6
         w -= 2.0 * (x.T @ e + pull * (w - prior) / unit)
         b -= 2.0 * e.sum()
     grammar.patterns = {p: float(max(0.1, v / unit)) for p, v in zip(PATTERNS, w, strict=True)}
+    grammar.patterns["addressed"] = max(grammar.patterns["addressed"], grammar.patterns["plain"])  # an address never weakens
     grammar.bias = float(b)
     return grammar
 
