@@ -132,8 +132,9 @@ def classify_increment(new_keys: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _clustered(df: DataFrame) -> DataFrame:
-    """Partition by month, cluster (sort) by customer within each file."""
-    return df.repartition(MONTH).sortWithinPartitions(MONTH, KEY)
+    """Partition by month, cluster (sort) by customer within each file. Rebalanced:
+    AQE splits a month of many rows over several write tasks and merges small ones."""
+    return df.hint("rebalance", MONTH).sortWithinPartitions(MONTH, KEY)
 
 
 def write_full(df: DataFrame, path: str) -> None:
@@ -142,17 +143,27 @@ def write_full(df: DataFrame, path: str) -> None:
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(KEY, MONTH, STATUS)
+    return spark.read.schema(TARGET_SCHEMA).parquet(path).select(KEY, MONTH, STATUS)
 
 
 TARGET_SCHEMA = f"{KEY} bigint, {MONTH} date, {STATUS} string"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder on its file system (not a single file)."""
+    p, fs = _hadoop_path(spark, path)
+    return fs.getFileStatus(p).isDirectory()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (shared) file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
 
 
 def ensure_target(spark: SparkSession, path: str) -> None:
@@ -163,15 +174,15 @@ def ensure_target(spark: SparkSession, path: str) -> None:
 
 def upsert_months(spark: SparkSession, months: DataFrame, path: str, staging_root: str | None = None) -> int:
     """I5 core: insert the (customer, month) pairs the target lacks, with
-    their status, rewriting only the touched month partitions.
+    their status.
 
     Returns the number of new rows. Steps: (1) new keys via a NULL-safe anti
-    join, classified against the target's history; (2) the touched
-    partitions' full new content (existing rows + new rows) is written to a
-    staging folder in the shared checkpoint directory -- this cuts the
-    lineage back to the target before it is overwritten; (3) dynamic
-    partition overwrite from the staged copy. Re-running with the same input
-    inserts nothing (idempotent).
+    join, classified against the target's history, are staged in the shared
+    checkpoint folder, which cuts the lineage back to the target; (2) they are
+    appended to their month partitions -- existing rows never change, so none
+    is read or written again; (3) the staged copy is deleted. Re-running with
+    the same input inserts nothing (idempotent), also after a run that failed
+    before or after its append was committed.
     """
     target = spark.read.schema(TARGET_SCHEMA).parquet(path)
     t = target.select(F.col(KEY).alias("_tk"), F.col(MONTH).alias("_tm"))
@@ -183,15 +194,10 @@ def upsert_months(spark: SparkSession, months: DataFrame, path: str, staging_roo
     new_rows.write.mode("overwrite").parquet(stage)
     staged_new = spark.read.parquet(stage)
     n_new = staged_new.count()
-    if n_new == 0:
-        return 0
-    touched = staged_new.select(MONTH).distinct()
-    keep = target.join(touched, MONTH, "left_semi")
-    merged = keep.unionByName(staged_new.select(KEY, MONTH, STATUS))
-    stage2 = stage + "-merged"
-    merged.write.mode("overwrite").parquet(stage2)
-    (_clustered(spark.read.parquet(stage2)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path))
+    if n_new:
+        _clustered(staged_new.select(KEY, MONTH, STATUS)).write.mode("append").partitionBy(MONTH).parquet(path)
+    p, fs = _hadoop_path(spark, stage)
+    fs.delete(p, True)
     return n_new
 
 

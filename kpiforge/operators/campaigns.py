@@ -27,17 +27,20 @@ def latest_campaign(activity: DataFrame) -> DataFrame:
     return top.select(KEY, F.col("src_campaign_id").alias("most_recent_active_campaign_id"))
 
 
-def enrolled_list(activity: DataFrame, as_of, top_n: int = ENROLLED_TOP_N,
-                  salt_buckets: int = 16) -> DataFrame:
+def enrolled_list(activity: DataFrame, as_of, top_n: int | None = ENROLLED_TOP_N,
+                  salt_buckets: int = 16, max_chars: int | None = ENROLLED_MAX_CHARS) -> DataFrame:
     """Campaigns dispatched in the last 180 days (to the instant), newest
-    first, at most ``top_n`` per customer, joined by ',' and cut at 10,000
-    characters. The top-N runs salted (exact) so a customer with a huge
+    first, at most ``top_n`` per customer, joined by ',' and cut at
+    ``max_chars`` characters. Both limits are the reference's; ``None`` lifts
+    them (then the list grows with a customer's dispatches). The top-N runs salted (exact) so a customer with a huge
     dispatch history is ranked in parallel; the per-customer list that is
     finally collected holds at most ``top_n`` entries."""
     recent = dispatches(activity).filter(since_instant("message_timestamp", as_of, ENROLLED_DAYS))
     order = [F.col("message_timestamp").desc(), F.col("event_id").desc()]
-    kept = top_n_per_key(recent.select(KEY, "event_id", "src_campaign_id", "message_timestamp"),
-                         KEY, order, top_n, salt_col="event_id", salt_buckets=salt_buckets)
-    return kept.groupBy(KEY).agg(
-        F.substring(lists.join_by_order_desc("src_campaign_id", "message_timestamp", "event_id", ","),
-                    1, ENROLLED_MAX_CHARS).alias("enrolled_bonus_campaigns"))
+    kept = recent.select(KEY, "event_id", "src_campaign_id", "message_timestamp")
+    if top_n is not None:
+        kept = top_n_per_key(kept, KEY, order, top_n, salt_col="event_id", salt_buckets=salt_buckets)
+    joined = lists.join_by_order_desc("src_campaign_id", "message_timestamp", "event_id", ",")
+    if max_chars is not None:
+        joined = F.substring(joined, 1, max_chars)
+    return kept.groupBy(KEY).agg(joined.alias("enrolled_bonus_campaigns"))

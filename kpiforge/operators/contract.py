@@ -194,16 +194,28 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def enforce(df: DataFrame, contract: Contract, strict: bool = False,
-            append_new_columns: bool = True) -> DataFrame:
-    """Cast ``df`` to the contract (``try_cast``: values that do not fit
-    become NULL). Missing declared columns are added as typed NULLs; extra
+            append_new_columns: bool = True, on_loss: str = "fail") -> DataFrame:
+    """Cast ``df`` to the contract. A value that does not fit its declared type
+    fails the job (``on_loss="fail"``) or becomes NULL (``on_loss="null"``; see
+    :func:`quarantined` for the rows concerned). Missing declared columns are added as typed NULLs; extra
     columns are kept when the policy is ``append_new_columns``. With
     ``strict`` a missing column raises."""
     have = set(df.columns)
     missing = [c.name for c in contract.columns if c.name not in have]
     if strict and missing:
         raise ValueError(f"contract {contract.name}: missing columns {missing}")
-    cols = [(F.col(c.name).try_cast(spark_type(c.data_type)) if c.name in have
+    if on_loss not in ("fail", "null"):
+        raise ValueError(f"unknown on_loss {on_loss!r}")
+
+    def fitted(c):
+        value = F.col(c.name).try_cast(spark_type(c.data_type))
+        if on_loss == "null":
+            return value
+        message = F.concat(F.lit(f"contract {contract.name}: {c.name} does not fit {c.data_type}: "), F.col(c.name).cast("string"))
+        return F.when(_lost(c), F.raise_error(message)).otherwise(value)
+
+    actual = dict(df.dtypes)
+    cols = [(F.col(c.name) if actual.get(c.name) == spark_type(c.data_type) else fitted(c) if c.name in have
              else F.lit(None).cast(spark_type(c.data_type))).alias(c.name) for c in contract.columns]
     declared = {c.name for c in contract.columns}
     if append_new_columns:
@@ -211,6 +223,20 @@ def enforce(df: DataFrame, contract: Contract, strict: bool = False,
     return df.select(*cols)
 
 
+def _lost(c):
+    """Whether the declared type cannot hold a non-NULL value."""
+    return F.col(c.name).isNotNull() & F.col(c.name).try_cast(spark_type(c.data_type)).isNull()
+
+
+def quarantined(df: DataFrame, contract: Contract) -> DataFrame:
+    """The rows with a value that does not fit the contract, and the names of
+    those columns as ``lost_columns``; the others can be enforced without loss."""
+    actual = dict(df.dtypes)
+    some = [c for c in contract.columns if c.name in actual and actual[c.name] != spark_type(c.data_type)]
+    lost = F.array_compact(F.array(*[F.when(_lost(c), F.lit(c.name)) for c in some])) if some else F.array().cast("array<string>")
+    return df.withColumn("lost_columns", lost).where(F.size("lost_columns") > 0)
+
+
 def not_null_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULL count per column, all columns in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -9,7 +9,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,18 +34,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                   app_name: str = "kpiforge", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master is
-    configured by spark-submit.
+    The master is only set when given: otherwise the one that was submitted
+    holds (Spark's own default without one is ``local[*]``).
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "SPARK_MASTER" not in os.environ and not os.environ.get("PYSPARK_SUBMIT_ARGS"):
-        master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
     if extra:
         conf.update(extra)
     for k, v in conf.items():
@@ -71,14 +67,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (HDFS/object-store) folder and is
-    used as is. Only when it is unset -- local runs and tests -- a fresh
-    folder under the system temp dir is created and registered.
+    used as is. When it is unset, a fresh folder under the system temp dir is
+    created and registered, in local mode only: executors on other machines
+    would not see it.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         current = current.get() if current.isDefined() else None
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         current = tempfile.mkdtemp(prefix="kpiforge-ckpt-")
     spark.sparkContext.setCheckpointDir(current)
     return current

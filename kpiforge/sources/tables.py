@@ -16,58 +16,29 @@ BASE_TABLES = (
 )
 
 
-# A table smaller than this is never re-spread (its scan is cheap anyway).
-MIN_SPREAD_BYTES = 2 * 1024 * 1024
-
-
-def spread_if_underpartitioned(df: DataFrame, min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
-    """Input-parallelism guard.
-
-    Parquet scans split by row group. A large table stored as one file with
-    one row group (as the test tables are) scans in a single task, and every
-    narrow operator stacked on the scan -- joins to broadcast dimensions,
-    projections, the map side of aggregations -- runs single-threaded with
-    it. When the scan yields fewer partitions than the default parallelism
-    and the table is not tiny, spread it with a round-robin repartition
-    (Spark sorts before a round-robin repartition, so retried tasks see the
-    same split). Both facts come from planning metadata (file splits and the
-    optimizer's size statistics); no job runs. Tables already stored in
-    enough files or row groups -- the normal case on a cluster -- are
-    returned unchanged, so no shuffle is added there.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    parts = df.rdd.getNumPartitions()
-    if parts >= target:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size < min_bytes:
-        return df
-    return df.repartition(target)
-
-
 class Tables:
     """Lazy name -> DataFrame mapping over a folder of parquet tables.
 
     Reads are cached per name so that every use of ``orders`` in one plan is
     the same relation (lets Spark reuse exchanges over identical subplans).
-    ``spread=True`` applies :func:`spread_if_underpartitioned` to each read.
+    Scans keep the splits their files have; ``repartition`` spreads every read
+    over that many partitions, for tables stored in too few row groups.
     """
 
     def __init__(self, spark: SparkSession, root: str, overrides: dict | None = None,
-                 spread: bool = True):
+                 repartition: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.spread = spread
+        self.repartition = repartition
         self._cache: dict[str, DataFrame] = dict(overrides or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
-            self._cache[name] = spread_if_underpartitioned(df) if self.spread else df
+            self._cache[name] = df.repartition(self.repartition) if self.repartition else df
         return self._cache[name]
 
     def with_override(self, name: str, df: DataFrame) -> "Tables":
-        t = Tables(self.spark, self.root, dict(self._cache), self.spread)
+        t = Tables(self.spark, self.root, dict(self._cache), self.repartition)
         t._cache[name] = df
         return t

@@ -32,10 +32,13 @@ def feed_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams = {}
     for name in ("orders", "events"):
         schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-        # a file stream watches a folder; the glob filter picks the table's
-        # files (a table stored as a folder of parts would match its parts)
-        streams[name] = (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-                         .parquet(sf_dir))
+        reader = spark.readStream.schema(schema)
+        # a file stream watches a folder: the table's own, or, for a table
+        # stored as one file, the folder around it with only that file
+        if AC.is_folder(spark, f"{sf_dir}/{name}.parquet"):
+            streams[name] = reader.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            streams[name] = reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     tables = Tables(spark, sf_dir, overrides=streams)
     return AC.feed_months(sportsbook_feed(tables), second_feed(tables))
 

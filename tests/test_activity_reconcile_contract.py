@@ -172,5 +172,33 @@ def test_contract_reports_cast_overflow(spark):
     rep = {r.column_name: r for r in CO.check(df, c).collect()}
     assert rep["odds"].issue == "type" and rep["odds"].cast_failures == 1   # 1e25 overflows decimal(38,18)
     assert rep["n"].issue == "type" and rep["n"].cast_failures == 0
-    out = CO.enforce(df, c)
+    with pytest.raises(Exception, match="odds does not fit"):
+        CO.enforce(df, c).collect()
+    assert [(r.n, r.lost_columns) for r in CO.quarantined(df, c).collect()] == [(2, ["odds"])]
+    assert CO.enforce(df.where("n <> 2"), c).count() == 2
+    out = CO.enforce(df, c, on_loss="null")
     assert [r.odds for r in out.orderBy("n").collect()][1] is None
+
+
+def test_stream_reads_tables_stored_as_folders(spark, tmp_path):
+    from kpiforge.sources.domain import second_feed, sportsbook_feed
+    from kpiforge.streaming.activity_stream import run_activity_stream
+    for name in ("orders", "events"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    run_activity_stream(spark, str(tmp_path), f"{tmp_path}/target")
+    t = Tables(spark, SF_SMALL)
+    got, want = AC.read_target(spark, f"{tmp_path}/target"), AC.monthly_status(sportsbook_feed(t), second_feed(t))
+    assert got.count() > 0 and rows(got, want.columns) == rows(want)
+
+
+def test_upsert_appends_without_touching_other_files(spark, tmp_path):
+    path = str(tmp_path / "target")
+    day = dt.date(2024, 1, 1)
+    months = spark.createDataFrame([(1, day)], "customer_uid long, year_month date").toDF(AC.KEY, AC.MONTH)
+    AC.ensure_target(spark, path)
+    assert AC.upsert_months(spark, months, path) == 1
+    before = {f: os.stat(f).st_mtime_ns for d, _, n in os.walk(path) for f in (os.path.join(d, x) for x in n) if f.endswith(".parquet")}
+    more = months.union(spark.createDataFrame([(2, day)], months.schema))
+    assert AC.upsert_months(spark, more, path) == 1 and AC.upsert_months(spark, more, path) == 0
+    assert AC.read_target(spark, path).count() == 2
+    assert all(os.stat(f).st_mtime_ns == t for f, t in before.items())

@@ -214,20 +214,22 @@ def test_hot_key_third_of_rows(spark):
     assert rows(a, ["k", "id", "rn"]) == rows(b, ["k", "id", "rn"])
 
 
-def test_input_parallelism_guard(spark, tmp_path):
-    from kpiforge.sources.tables import spread_if_underpartitioned
-
-    path = str(tmp_path / "one.parquet")
-    spark.range(0, 5000).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert df.rdd.getNumPartitions() == 1
-    assert spread_if_underpartitioned(df) is df                      # small: untouched
-    spread = spread_if_underpartitioned(df, min_bytes=0)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r.id for r in spread.collect()) == list(range(5000))
-    many = spark.range(0, 5000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread_if_underpartitioned(many, min_bytes=0) is many      # enough partitions: untouched
-
+def test_reads_keep_their_splits_unless_told(spark):
+    from conftest import SF_SMALL
+    from kpiforge.sources.tables import Tables
+    plain = Tables(spark, SF_SMALL)["orders"]
+    assert "RoundRobin" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert Tables(spark, SF_SMALL, repartition=3)["orders"].rdd.getNumPartitions() == 3
+
+
+def test_enrolled_list_limits_can_be_crossed_and_lifted(spark):
+    rows = [(1, CA.DISPATCH, 1, i, f"c{i:05d}", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(2100)]
+    df = spark.createDataFrame(rows, "customer_uid long, subtype string, value int, event_id long, src_campaign_id string, message_timestamp timestamp_ntz")
+    as_of = dt.date(2024, 1, 31)
+    full = ",".join(f"c{i:05d}" for i in reversed(range(2100)))
+    def of(**kw): return CA.enrolled_list(df, as_of, **kw).first().enrolled_bonus_campaigns
+    assert of() == full[:10000] and of(top_n=None, max_chars=None) == full
+    assert of(max_chars=None) == full[:7 * 2000 - 1]
 
 def test_grained_agg_null_key_group(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (None, 2, "b"), (1, 1, "a")],
