@@ -102,7 +102,7 @@ def contexts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             raw, off = text_buffers(batch.column(0))
             rows = []
-            for r in np.flatnonzero(_maybe(raw, off)) if batch.num_rows else []:
+            for r in (i + r for i, j in slices(off) for r in np.flatnonzero(_maybe(raw, off[i:j + 1]))):
                 text = raw[off[r]:off[r + 1]].tobytes().decode()
                 spans = base_spans(text)
                 if not spans:
@@ -190,66 +190,81 @@ def found(docs: DataFrame, risky: DataFrame | None = None, remove: float = REMOV
     named like the added columns are replaced). Map-side: no shuffle."""
     docs = docs.drop("spans", "sanitised")
     spark = docs.sparkSession
-    kind = "array<struct<kind:string,start:long,end:long>>"
-    terms = "array<struct<start:long,end:long,removed:boolean>>"
-    rows = docs.withColumn("_kf_terms", F.lit(None).cast(terms))
-    if risky is not None:
-        gone = risky.where(F.col("disclosure") >= remove)
-        for part, deleted in ((risky.where(F.col("disclosure") < remove), False), (gone, True)):
-            for block in hash_blocks(part, most):
-                rows = rows.mapInArrow(_term_finder(spark.sparkContext.broadcast(block), deleted), rows.schema)
-    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(f"spans {kind}, sanitised string").fields])
+    blocks = list(_flagged_blocks(risky, remove, most)) if risky is not None else []
+    rows = docs.withColumn("_kf_terms", F.lit(None).cast("array<struct<start:long,end:long,removed:boolean>>"))
+    # one block is looked up in the pass that finds the entities; more take a pass each
+    for block in blocks[1:]:
+        rows = rows.mapInArrow(_term_pass(spark.sparkContext.broadcast(block)), rows.schema)
+    held = spark.sparkContext.broadcast(blocks[0] if blocks else None)
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(
+        "spans array<struct<kind:string,start:long,end:long>>, sanitised string").fields])
 
     def run(batches):
         import pyarrow as pa
 
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            raw, off = text_buffers(batch.column(batch.schema.get_field_index("text")))
-            extra = batch.column(batch.schema.get_field_index("_kf_terms")).to_pylist()
-            maybe = _maybe(raw, off) if batch.num_rows else []
-            spans, clean = [], []
-            for r in range(batch.num_rows):
-                text = raw[off[r]:off[r + 1]].tobytes().decode()
-                own = base_spans(text) if maybe[r] else []
-                more = sorted((x["start"], x["end"], x["removed"]) for x in extra[r] or ())
-                covered = sorted((s, e) for _, s, e in own)
-                more = [x for x in more if not any(s < x[1] and x[0] < e for s, e in covered)]
-                spans.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in [*own, *(("term", s, e) for s, e, _ in more)]])
-                clean.append(_sanitised(text, own, more))
-            kept = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != "_kf_terms"]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(spans, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))), pa.array(clean, pa.string())],
-                [*(n for n in batch.schema.names if n != "_kf_terms"), "spans", "sanitised"])
+            names = batch.schema.names
+            raw, off = text_buffers(batch.column(names.index("text")))
+            for i, j in slices(off):
+                part = batch.slice(i, j - i)
+                extra = part.column(names.index("_kf_terms")).to_pylist()
+                if held.value is not None:
+                    _add_terms(raw, off[i:j + 1], held.value, extra)
+                maybe = _maybe(raw, off[i:j + 1])
+                spans, clean = [], []
+                for r in range(j - i):
+                    text = raw[off[i + r]:off[i + r + 1]].tobytes().decode()
+                    own = base_spans(text) if maybe[r] else []
+                    more = sorted((x["start"], x["end"], x["removed"]) for x in extra[r] or ())
+                    more = [x for x in more if not any(s < x[1] and x[0] < e for _, s, e in own)]
+                    spans.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in [*own, *(("term", s, e) for s, e, _ in more)]])
+                    clean.append(_sanitised(text, own, more) if own or more else text)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c, n in enumerate(names) if n != "_kf_terms"), pa.array(spans, kind), pa.array(clean, pa.string())],
+                    [*(n for n in names if n != "_kf_terms"), "spans", "sanitised"])
     return rows.mapInArrow(run, schema)
 
 
-def _term_finder(held, deleted: bool):
+def _flagged_blocks(risky: DataFrame, remove: float, most: int):
+    """Sorted term hashes with the flag that a term is deleted, in bounded blocks."""
+    n = max(1, -(-risky.count() // most))
+    for b in range(n):
+        rows = sorted((r[0], r[1] >= remove) for r in risky.where(F.pmod(F.xxhash64("term"), F.lit(n)) == b).select("term", "disclosure").collect())
+        if rows:
+            yield np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], bool)
+
+
+def _add_terms(raw: np.ndarray, off: np.ndarray, block, out: list) -> None:
+    """Add the places of the block's terms, in code points, to ``out``, a list for each text."""
+    wanted, removed = block
+    start, end, h, first = _terms(raw, off)
+    at = np.searchsorted(wanted, h)
+    at[at == len(wanted)] = 0
+    hit = np.flatnonzero(wanted[at] == h)
+    row = np.searchsorted(first, hit, "right") - 1
+    for t in np.unique(row):
+        b = raw[off[t]:off[t + 1]]
+        point = np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])  # code points before each byte
+        of = hit[row == t]
+        out[t] = (out[t] or []) + [
+            {"start": int(point[s]), "end": int(point[e]), "removed": bool(g)}
+            for s, e, g in zip(start[of] - off[t], end[of] - off[t], removed[at[of]], strict=True)]
+
+
+def _term_pass(held):
     def run(batches):
         import pyarrow as pa
 
-        wanted = held.value
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("removed", pa.bool_())]))
         for batch in batches:
             names = batch.schema.names
             raw, off = text_buffers(batch.column(names.index("text")))
-            spot = names.index("_kf_terms")
-            terms = batch.column(spot).to_pylist()
             for i, j in slices(off):
-                start, end, h, first = _terms(raw, off[i:j + 1])
-                at = np.searchsorted(wanted, h)
-                at[at == len(wanted)] = 0
-                hit = np.flatnonzero(wanted[at] == h)
-                row = np.searchsorted(first, hit, "right") - 1
-                for t in np.unique(row):
-                    b = raw[off[i + t]:off[i + t + 1]]
-                    point = np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])  # code points before each byte
-                    of = hit[row == t]
-                    terms[i + t] = (terms[i + t] or []) + [
-                        {"start": int(point[s]), "end": int(point[e]), "removed": deleted}
-                        for s, e in zip(start[of] - off[i + t], end[of] - off[i + t], strict=True)]
-            columns = [*batch.columns]
-            columns[spot] = pa.array(terms, kind)
-            yield pa.RecordBatch.from_arrays(columns, names)
+                part = batch.slice(i, j - i)
+                terms = part.column(names.index("_kf_terms")).to_pylist()
+                _add_terms(raw, off[i:j + 1], held.value, terms)
+                yield pa.RecordBatch.from_arrays([pa.array(terms, kind) if n == "_kf_terms" else part.column(c) for c, n in enumerate(names)], names)
     return run
 
 
