@@ -16,12 +16,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     the label of that label, so the number of rounds grows with the logarithm
     of the longest path. Labels are written to the shared folder each round;
     only the number of changes reaches the driver."""
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
+    edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    both = edges.union(edges.select(F.col("b"), F.col("a")))
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                     .select("node", F.least("node", "m").alias("label")), "labels")
     while True:
-        near = (both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-                .withColumnRenamed("a", "_n"))
+        ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}")) for c in ("a", "b")]
+        open_edges = stored(edges.join(ends[0], "a").join(ends[1], "b").where("of_a <> of_b"), "open")
+        near = (open_edges.select(F.col("a").alias("_n"), F.col("of_b").alias("near"))
+                .union(open_edges.select("b", "of_a")).groupBy("_n").agg(F.min("near").alias("near")))
         hooked = stored(labels.join(near, F.col("node") == F.col("_n"), "left")
                         .select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")), "hooked")
         # both sides are plain tables: a label that very many nodes share is split by AQE

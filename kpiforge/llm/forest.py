@@ -29,7 +29,7 @@ from kpiforge.llm.common import slices, stored, text_buffers
 from kpiforge.llm.components import connected_components
 
 N_HASH, N_TREES, DEPTH, BASE_DEPTH = 128, 16, 16, 3
-SMALL_REGION, REACH = 32, 2
+SMALL_REGION, REACH = 32, 8
 SEED = 20231
 
 

@@ -14,5 +14,5 @@ def docs(spark):
     """Rows (doc_id, text[, lang[, source]]) as a documents table."""
     def make(*rows):
         full = [(*r, *(None,) * (4 - len(r)), None) for r in rows]
-        return spark.createDataFrame(full, DOCS)
+        return spark.createDataFrame(full, DOCS).coalesce(2)
     return make
