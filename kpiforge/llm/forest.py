@@ -10,14 +10,17 @@
    per region: where at most ``small_region`` rows share the base depth, all of
    them are compared; in a denser region only the ``reach`` nearest on either
    side are, which are those that agree to the greatest depth there. A pair
-   must also agree in half of the tree's positions.
+   must also agree in ``AGREE`` of the tree's positions.
 4. Candidates are confirmed on the full shingle sets; confirmed links give the
    components.
+5. Dense regions that still hold several components are closed: every row
+   outside a region's largest component is compared with all rows of the region
+   in other components, in blocks of bounded size, and what agrees is confirmed
+   on the full sets too. So ``reach`` costs no link.
 
 Chance to lose a link: a pair of similarity s shares a base depth of d in one
 tree with s^d, so 16 trees miss a pair at exactly 0.8 with depth 3 with about
-1e-5; in dense regions further trees and neighbours connect a document many
-times over."""
+2e-5, tests of agreement included."""
 
 from __future__ import annotations
 
@@ -29,7 +32,10 @@ from kpiforge.llm.common import slices, stored, text_buffers
 from kpiforge.llm.components import connected_components
 
 N_HASH, N_TREES, DEPTH, BASE_DEPTH = 128, 16, 16, 3
-SMALL_REGION, REACH = 32, 8
+SMALL_REGION, REACH = 32, 4
+AGREE = 10  # of the DEPTH positions of a path
+ALIKE = 84  # of all N_HASH positions: four deviations below a similarity of 0.8
+BLOCK = 2048  # rows on either side of one comparison of blocks
 SEED = 20231
 
 
@@ -131,7 +137,7 @@ def neighbour_pairs(tree: np.ndarray, path: np.ndarray, ids: np.ndarray) -> tupl
         at = np.flatnonzero((region[:-step] == region[step:]) & ((step <= REACH) | ~dense[:-step]))
         if not len(at):
             break
-        at = at[((path[at] == path[at + step]).sum(1) >= DEPTH // 2) & (ids[at] != ids[at + step])]
+        at = at[((path[at] == path[at + step]).sum(1) >= AGREE) & (ids[at] != ids[at + step])]
         a.append(np.minimum(ids[at], ids[at + step]))
         b.append(np.maximum(ids[at], ids[at + step]))
     if not a:
@@ -200,6 +206,82 @@ def confirmed(pairs_with_sets: DataFrame, percent: int) -> DataFrame:
     return pairs_with_sets.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def region_rows(reps: DataFrame) -> DataFrame:
+    """One row per representative and tree: (tree, base, id, component); ``base``
+    holds the digests at the base depth."""
+    def run(batches):
+        import pyarrow as pa
+
+        own = _tree_orders()[:, :BASE_DEPTH]
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(n, N_HASH)
+            base = np.zeros((n, N_TREES), np.int64)
+            for d in range(BASE_DEPTH):
+                base = base << 16 | sig[:, own[:, d]]
+            names = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), N_TREES) for c in (0, 2)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.tile(np.arange(N_TREES, dtype=np.int32), n)), pa.array(base.ravel()), *map(pa.array, names)],
+                ["tree", "base", "id", "component"])
+    return reps.select("id", "sig", "component").mapInArrow(run, "tree int, base long, id long, component long")
+
+
+def unlike_components(part):
+    """Pairs of one block: its outsiders against its rows in other components."""
+    import pyarrow as pa
+
+    outside = part.column("outside").to_numpy()
+    ids, of = part.column("id").to_numpy(), part.column("component").to_numpy()
+    sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(len(ids), N_HASH)
+    row = np.flatnonzero(~outside)
+    rows, row_ids, row_of = sig[row], ids[row], of[row]
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in np.flatnonzero(outside):
+        other = np.flatnonzero(row_of != of[i])
+        near = row_ids[other[(rows[other] == sig[i]).sum(1) >= ALIKE]]
+        a.append(np.minimum(near, ids[i]))
+        b.append(np.maximum(near, ids[i]))
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def closing_pairs(reps: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) from different components that share a dense region
+    of ``reps(id, sig, component)``.
+
+    Rows of a region's largest component are compared with its other rows only.
+    Both sides are split by hash into blocks of about ``BLOCK`` rows and each
+    block of one meets each of the other, so no task holds a region."""
+    trees = stored(region_rows(reps), "regions")
+    key = ["tree", "base"]
+    sizes = trees.groupBy(*key, "component").count()
+    mixed = stored(sizes.groupBy(*key).agg(F.sum("count").alias("n"), F.max("count").alias("most"),
+                                           F.max_by("component", F.struct("count", "component")).alias("main"))
+                   .where((F.col("n") > SMALL_REGION) & (F.col("most") < F.col("n")))
+                   .select(*key, "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+                           F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("chunks")), "mixed")
+    rows = trees.join(mixed, key).join(reps.select("id", "sig"), "id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    members = rows.select(*key, own("blocks").alias("block"), every("chunks").alias("chunk"),
+                          F.lit(False).alias("outside"), "id", "component", "sig")
+    outsiders = rows.where("component <> main").select(*key, every("blocks").alias("block"), own("chunks").alias("chunk"),
+                                                       F.lit(True).alias("outside"), "id", "component", "sig")
+    return (members.union(outsiders).groupBy(*key, "block", "chunk")
+            .applyInArrow(unlike_components, "a long, b long").distinct())
+
+
+def links_among(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the stored ``pairs`` that the full sets of ``docs(doc_id, text)`` confirm."""
+    ends = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ends")
+    # the size of a written table is known: Spark broadcasts it only below its threshold
+    sets = stored(shingle_sets_of(docs.withColumnRenamed("doc_id", "id").join(ends, "id", "left_semi"), k)
+                  .withColumn("h", F.xxhash64("items")).dropDuplicates(["id", "h"]), "sets")
+    x, y = sets.select(F.col("id").alias("a"), F.col("items").alias("x")), sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
+    return confirmed(pairs.join(x, "a").join(y, "b"), percent)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs(doc_id, text)``.
 
@@ -216,16 +298,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sigs = stored(shingle_rows(docs, k), "shingles")
     named = sigs.where("doc_id is not null and n_shingles > 0")
     classes = stored(named.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("id")), "classes")
-    reps = (named.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", "f1", "f2", "n_shingles"], "left_semi")
-            .select(F.col("doc_id").alias("id"), "sig"))
+    reps = stored(named.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", "f1", "f2", "n_shingles"], "left_semi")
+                  .select(F.col("doc_id").alias("id"), "sig"), "reps")
     pairs = stored(candidate_pairs(stored(tree_rows(reps), "trees")), "pairs")
-    ends = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ends")
-    # the size of a written table is known: Spark broadcasts it only below its threshold
-    sets = stored(shingle_sets_of(docs.withColumnRenamed("doc_id", "id").join(ends, "id", "left_semi"), k)
-                  .withColumn("h", F.xxhash64("items")).dropDuplicates(["id", "h"]), "sets")
-    x, y = sets.select(F.col("id").alias("a"), F.col("items").alias("x")), sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    links = confirmed(pairs.join(x, "a").join(y, "b"), percent)
-    parts = connected_components(links)
+    parts = connected_components(links_among(docs, pairs, k, percent))
+    tagged = stored(reps.join(parts, F.col("id") == F.col("node"), "left")
+                    .select("id", "sig", F.coalesce("component", "id").alias("component")), "tagged")
+    late = stored(closing_pairs(tagged).join(pairs, ["a", "b"], "left_anti"), "late")
+    of = tagged.select("id", "component").distinct()
+    joins = (links_among(docs, late, k, percent)
+             .join(of.select(F.col("id").alias("a"), F.col("component").alias("of_a")), "a")
+             .join(of.select(F.col("id").alias("b"), F.col("component").alias("of_b")), "b")
+             .select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    merged = connected_components(joins).select(F.col("node").alias("was"), F.col("component").alias("now"))
+    parts = (of.join(merged, of.component == merged.was, "left")
+             .select(F.col("id").alias("node"), F.coalesce("now", "component").alias("component")))
     member = stored(classes.join(parts, F.col("id") == F.col("node"), "left")
                     .select("f1", "f2", F.col("n_shingles").alias("n"), F.coalesce("component", "id").alias("component")), "members")
     m = member.select(F.col("f1").alias("m1"), F.col("f2").alias("m2"), "n", "component")

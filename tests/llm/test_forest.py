@@ -118,3 +118,33 @@ def test_components_of_a_long_path(spark):
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(201)}, 400: 400, 450: 400, 500: 400}
     assert connected_components(edges.limit(0)).count() == 0
+
+
+def test_dense_regions_are_closed(spark, docs):
+    """One region of 120 rows in three given components: every link between two
+    of them is a candidate, and no pair within one is."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    base = rng.choices(vocabulary, k=200)
+    rows = []
+    for i in range(120):
+        copy = list(base)
+        for _ in range(rng.randint(1, 4)):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        rows.append((i, " ".join(copy)))
+    reps = (forest.shingle_rows(docs(*rows), 4).selectExpr("doc_id as id", "sig", "case when doc_id < 90 then 0 else doc_id % 2 + 90 end as component"))
+    got = [tuple(r) for r in forest.closing_pairs(reps).collect()]
+    part = [0 if i < 90 else i % 2 + 90 for i in range(120)]
+    sets = [set_of(t, 4) for _, t in rows]
+    want = {(a, b) for b in range(120) for a in range(b)
+            if part[a] != part[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(got) == len(set(got)) and want and want <= set(got)
+    assert all(a < b and part[a] != part[b] for a, b in got)
+
+
+def test_components_of_long_paths(spark):
+    n = 300
+    order = random.Random(3).sample(range(n), n)
+    edges = spark.createDataFrame(list(zip(order[:-1], order[1:], strict=True)) + [(1000, 1001), (1001, 1000)], "a long, b long")
+    got = {r.node: r.component for r in connected_components(edges).collect()}
+    assert got == {i: 0 for i in range(n)} | {1000: 1000, 1001: 1000}
