@@ -14,9 +14,9 @@
 4. Candidates are confirmed on the full shingle sets; confirmed links give the
    components.
 5. Dense regions that still hold several components are closed: every row
-   outside a region's largest component is compared with all rows of the region
-   in other components, in blocks of bounded size, and what agrees is confirmed
-   on the full sets too. So ``reach`` costs no link.
+   outside a region's largest component is compared, on the full sets, with all
+   rows of the region in other components, in blocks of bounded size. So
+   ``reach`` costs no link.
 
 Chance to lose a link: a pair of similarity s shares a base depth of d in one
 tree with s^d, so 16 trees miss a pair at exactly 0.8 with depth 3 with about
@@ -34,8 +34,7 @@ from kpiforge.llm.components import connected_components
 N_HASH, N_TREES, DEPTH, BASE_DEPTH = 128, 16, 16, 3
 SMALL_REGION, REACH = 32, 4
 AGREE = 10  # of the DEPTH positions of a path
-ALIKE = 84  # of all N_HASH positions: four deviations below a similarity of 0.8
-BLOCK = 2048  # rows on either side of one comparison of blocks
+BLOCK = 1 << 20  # shingles on either side of one comparison of blocks, about
 SEED = 20231
 
 
@@ -207,8 +206,8 @@ def confirmed(pairs_with_sets: DataFrame, percent: int) -> DataFrame:
 
 
 def region_rows(reps: DataFrame) -> DataFrame:
-    """One row per representative and tree: (tree, base, id, component); ``base``
-    holds the digests at the base depth."""
+    """One row per representative and tree: (tree, base, id, component, n);
+    ``base`` holds the digests at the base depth."""
     def run(batches):
         import pyarrow as pa
 
@@ -221,55 +220,71 @@ def region_rows(reps: DataFrame) -> DataFrame:
             base = np.zeros((n, N_TREES), np.int64)
             for d in range(BASE_DEPTH):
                 base = base << 16 | sig[:, own[:, d]]
-            names = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), N_TREES) for c in (0, 2)]
+            names = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), N_TREES) for c in (0, 2, 3)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(np.arange(N_TREES, dtype=np.int32), n)), pa.array(base.ravel()), *map(pa.array, names)],
-                ["tree", "base", "id", "component"])
-    return reps.select("id", "sig", "component").mapInArrow(run, "tree int, base long, id long, component long")
+                ["tree", "base", "id", "component", "n"])
+    return reps.select("id", "sig", "component", "n").mapInArrow(run, "tree int, base long, id long, component long, n long")
 
 
-def unlike_components(part):
-    """Pairs of one block: its outsiders against its rows in other components."""
-    import pyarrow as pa
-
-    outside = part.column("outside").to_numpy()
-    ids, of = part.column("id").to_numpy(), part.column("component").to_numpy()
-    sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(len(ids), N_HASH)
-    row = np.flatnonzero(~outside)
-    rows, row_ids, row_of = sig[row], ids[row], of[row]
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i in np.flatnonzero(outside):
-        other = np.flatnonzero(row_of != of[i])
-        near = row_ids[other[(rows[other] == sig[i]).sum(1) >= ALIKE]]
-        a.append(np.minimum(near, ids[i]))
-        b.append(np.maximum(near, ids[i]))
-    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
-
+def links_out(percent: int):
+    """For one block: the linked pairs of components, its outsiders against its rows."""
+    def run(part):
+        import pyarrow as pa
 
-def closing_pairs(reps: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) from different components that share a dense region
-    of ``reps(id, sig, component)``.
+        outside = part.column("outside").to_numpy()
+        of = part.column("component").to_numpy()
+        items = part.column("items").to_pylist()
+        size = np.array([len(x) for x in items], np.int64) // 8
+        names, at = np.unique(np.frombuffer(b"".join(items), np.uint64), return_inverse=True)
+        end = np.cumsum(size)
+        row = np.flatnonzero(~outside)
+        found = [np.zeros((2, 0), np.int64)]
+        if len(row):
+            row_at = at[np.repeat(~outside, size)]
+            first = np.cumsum(size[row]) - size[row]
+            has = np.zeros(len(names), np.int64)
+            for i in np.flatnonzero(outside):
+                own = at[end[i] - size[i]:end[i]]
+                has[own] = 1
+                meet = np.add.reduceat(has[row_at], first)
+                has[own] = 0
+                linked = (of[row] != of[i]) & (100 * meet >= percent * (size[row] + size[i] - meet))
+                other = np.unique(of[row[linked]])
+                found.append(np.stack([np.minimum(other, of[i]), np.maximum(other, of[i])]))
+        pairs = np.unique(np.concatenate(found, 1), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
+    return run
+
+
+def closing_links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) of components of ``reps(id, sig, component, n)`` with
+    a link between two rows that share a dense region.
 
     Rows of a region's largest component are compared with its other rows only.
-    Both sides are split by hash into blocks of about ``BLOCK`` rows and each
+    Both sides are split by hash into blocks of about ``BLOCK`` shingles and each
     block of one meets each of the other, so no task holds a region."""
     trees = stored(region_rows(reps), "regions")
     key = ["tree", "base"]
-    sizes = trees.groupBy(*key, "component").count()
-    mixed = stored(sizes.groupBy(*key).agg(F.sum("count").alias("n"), F.max("count").alias("most"),
-                                           F.max_by("component", F.struct("count", "component")).alias("main"))
-                   .where((F.col("n") > SMALL_REGION) & (F.col("most") < F.col("n")))
-                   .select(*key, "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-                           F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("chunks")), "mixed")
-    rows = trees.join(mixed, key).join(reps.select("id", "sig"), "id")
+    sizes = trees.groupBy(*key, "component").agg(F.count("*").alias("rows"), F.sum("n").alias("w"))
+    mixed = (sizes.groupBy(*key).agg(F.sum("rows").alias("rows"), F.count("*").alias("parts"), F.sum("w").alias("w"),
+                                     F.max(F.struct("rows", "component", "w")).alias("main"))
+             .where((F.col("rows") > SMALL_REGION) & (F.col("parts") > 1))
+             .select(*key, F.col("main.component").alias("main"), F.ceil(F.col("w") / BLOCK).cast("int").alias("blocks"),
+                     F.ceil((F.col("w") - F.col("main.w")) / BLOCK).cast("int").alias("chunks")))
+    rows = stored(trees.join(stored(mixed, "mixed"), key).select(*key, "id", "component", "main", "blocks", "chunks"), "dense")
+    ids = rows.select("id").distinct()
+    sets = stored(shingle_sets_of(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi"), k)
+                  .withColumn("h", F.xxhash64("items")).dropDuplicates(["id", "h"]).where("length(items) > 0"), "sets")
+    rows = rows.join(sets, "id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     members = rows.select(*key, own("blocks").alias("block"), every("chunks").alias("chunk"),
-                          F.lit(False).alias("outside"), "id", "component", "sig")
+                          F.lit(False).alias("outside"), "component", "items")
     outsiders = rows.where("component <> main").select(*key, every("blocks").alias("block"), own("chunks").alias("chunk"),
-                                                       F.lit(True).alias("outside"), "id", "component", "sig")
+                                                       F.lit(True).alias("outside"), "component", "items")
     return (members.union(outsiders).groupBy(*key, "block", "chunk")
-            .applyInArrow(unlike_components, "a long, b long").distinct())
+            .applyInArrow(links_out(percent), "a long, b long").distinct())
 
 
 def links_among(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -299,18 +314,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     named = sigs.where("doc_id is not null and n_shingles > 0")
     classes = stored(named.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("id")), "classes")
     reps = stored(named.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", "f1", "f2", "n_shingles"], "left_semi")
-                  .select(F.col("doc_id").alias("id"), "sig"), "reps")
+                  .select(F.col("doc_id").alias("id"), "sig", F.col("n_shingles").alias("n")), "reps")
     pairs = stored(candidate_pairs(stored(tree_rows(reps), "trees")), "pairs")
     parts = connected_components(links_among(docs, pairs, k, percent))
     tagged = stored(reps.join(parts, F.col("id") == F.col("node"), "left")
-                    .select("id", "sig", F.coalesce("component", "id").alias("component")), "tagged")
-    late = stored(closing_pairs(tagged).join(pairs, ["a", "b"], "left_anti"), "late")
+                    .select("id", "sig", F.coalesce("component", "id").alias("component"), "n"), "tagged")
     of = tagged.select("id", "component").distinct()
-    joins = (links_among(docs, late, k, percent)
-             .join(of.select(F.col("id").alias("a"), F.col("component").alias("of_a")), "a")
-             .join(of.select(F.col("id").alias("b"), F.col("component").alias("of_b")), "b")
-             .select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
-    merged = connected_components(joins).select(F.col("node").alias("was"), F.col("component").alias("now"))
+    merged = connected_components(closing_links(docs, tagged, k, percent)).select(F.col("node").alias("was"), F.col("component").alias("now"))
     parts = (of.join(merged, of.component == merged.was, "left")
              .select(F.col("id").alias("node"), F.coalesce("now", "component").alias("component")))
     member = stored(classes.join(parts, F.col("id") == F.col("node"), "left")

@@ -121,8 +121,8 @@ def test_components_of_a_long_path(spark):
 
 
 def test_dense_regions_are_closed(spark, docs):
-    """One region of 120 rows in three given components: every link between two
-    of them is a candidate, and no pair within one is."""
+    """One region of 120 rows in three given components: the pairs of
+    components with a link between them come out, each once."""
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(4000)]
     base = rng.choices(vocabulary, k=200)
@@ -132,14 +132,15 @@ def test_dense_regions_are_closed(spark, docs):
         for _ in range(rng.randint(1, 4)):
             copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
         rows.append((i, " ".join(copy)))
-    reps = (forest.shingle_rows(docs(*rows), 4).selectExpr("doc_id as id", "sig", "case when doc_id < 90 then 0 else doc_id % 2 + 90 end as component"))
-    got = [tuple(r) for r in forest.closing_pairs(reps).collect()]
-    part = [0 if i < 90 else i % 2 + 90 for i in range(120)]
+    part = [0 if i < 90 else i if i < 100 else i % 2 + 200 for i in range(120)]
+    parts = spark.createDataFrame([(i, p) for i, p in enumerate(part)], "id long, component long")
+    reps = forest.shingle_rows(docs(*rows), 4).selectExpr("doc_id as id", "sig", "n_shingles as n").join(parts, "id")
+    got = [tuple(r) for r in forest.closing_links(docs(*rows), reps, 4, 96).collect()]
     sets = [set_of(t, 4) for _, t in rows]
-    want = {(a, b) for b in range(120) for a in range(b)
-            if part[a] != part[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-    assert len(got) == len(set(got)) and want and want <= set(got)
-    assert all(a < b and part[a] != part[b] for a, b in got)
+    want = {tuple(sorted((part[a], part[b]))) for b in range(120) for a in range(b)
+            if part[a] != part[b] and 100 * len(sets[a] & sets[b]) >= 96 * len(sets[a] | sets[b])}
+    everything = {tuple(sorted((p, q))) for p in part for q in part if p != q}
+    assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < len(everything)
 
 
 def test_components_of_long_paths(spark):
