@@ -58,3 +58,13 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "customer_uid" in df.columns
+
+
+def test_pair_lists_agree():
+    """Two lists written apart: same columns, names, kinds and order."""
+    from kpiforge.plans import kpi_pairs
+    from oracle import pairs
+    for ours, theirs in ((kpi_pairs.BATCHES_VS_COMBINED, pairs.BATCHES), (kpi_pairs.INITIAL_VS_COMBINED, pairs.INITIAL)):
+        assert [(p.left, p.right, p.label, p.kind) for p in ours] == theirs
+    assert (len(pairs.BATCHES), len(pairs.INITIAL)) == (72, 19)
+    assert kpi_pairs.KPI_TOLERANCE == pairs.TOLERANCE
