@@ -47,7 +47,19 @@ def _left(base: DataFrame, other: DataFrame, key_alias: str, cond_extra=None) ->
     return base.join(o, cond, "left")
 
 
-DIM_PASSTHROUGH = ["age_group", "profile_country_uid", "is_locked"]
+# Columns of the customer dimension that the tables carry unchanged.
+BATCHES_PASSTHROUGH = [
+    "profile_country_name", "brand_alias", "is_locked", "flag_rg", "locked_until",
+    "predicted_risk_category_latest", "profile_welcome_offer", "self_exclusion_flag",
+    "is_bonus_abuser", "is_suspended", "person_id", "license_uid", "legal_entity",
+    "deposit_disabled", "login_disabled", "play_sports_disabled",
+    "receive_sports_promotions_disabled", "withdraw_disabled",
+    "longest_restriction", "longest_restriction_valid_to", "longest_restriction_type",
+    "player_sb_ngr_last12months",
+]
+DIM_PASSTHROUGH = ["sb_ngr_percentile_last12months", "profile_month_of_birth", "age_group",
+                   "profile_country_uid", "profile_gender", *BATCHES_PASSTHROUGH,
+                   "player_cs_ngr_last12months"]
 
 
 def _yes_no(name: str):
@@ -222,7 +234,7 @@ def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None =
     kinds = BO.fanout_promo_kinds(d.bets, d.bonuses, d.campaigns)
     gta = CU.test_players(d.customers).select(KEY)
     kpi_cols = kpi.select(KEY, "created", "age_group", "ftd_date", "classification_name_current",
-                          "is_locked", "profile_country_uid")
+                          *BATCHES_PASSTHROUGH)
 
     j = c
     for name, df in (("roll", roll), ("sbc", sbc), ("ccwb", ccwb), ("mrac", mrac), ("ebc", ebc)):
@@ -268,7 +280,7 @@ def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None =
         *B.final_ratios(j),
         _yes_no("bet_sports"),
         _yes_no("placed_a_parlay_bet"),
-        "classification_name_current", "league_list", "is_locked", "profile_country_uid",
+        "classification_name_current", "league_list", *BATCHES_PASSTHROUGH,
         "acquisition_channel",
         F.col("_gta").isNotNull().alias("test_account_flag"),
         as_timestamp(as_of).cast("timestamp").alias("data_update_time"))

@@ -17,8 +17,7 @@ def _n(left, right=None, label=None):
     return Pair(left, right or left, label or left, "numeric")
 
 
-# Fixed values, in the order and with the names of the report. Pass-through columns of
-# the customer dimension that neither build has yet are left out.
+# Fixed values, in the order and with the names of the report.
 BATCHES_VS_COMBINED = [
     _t("customer_id"),
     _t("customer_uid"),
@@ -38,7 +37,28 @@ BATCHES_VS_COMBINED = [
     _t("lifetime_bets"),
     _t("test_account_flag"),
     _t("age_group"),
+    _t("profile_country_name"),
+    _t("brand_alias"),
     _t("is_locked"),
+    _t("flag_rg"),
+    _t("locked_until"),
+    _t("predicted_risk_category_latest"),
+    _t("profile_welcome_offer"),
+    _t("self_exclusion_flag"),
+    _t("is_bonus_abuser"),
+    _t("is_suspended"),
+    _t("person_id"),
+    _t("license_uid"),
+    _t("legal_entity"),
+    _t("deposit_disabled"),
+    _t("login_disabled"),
+    _t("play_sports_disabled"),
+    _t("receive_sports_promotions_disabled"),
+    _t("withdraw_disabled"),
+    _t("longest_restriction"),
+    _t("longest_restriction_valid_to"),
+    _t("longest_restriction_type"),
+    _t("player_sb_ngr_last12months"),
     _t("enrolled_bonus_campaigns"),
     _t("is_bonus_campaign_enrolled"),
     _t("most_recent_active_campign_id", "most_recent_active_campaign_id", label="most_recent_active_campaign_id"),
@@ -118,5 +138,26 @@ INITIAL_VS_COMBINED = [
     _t("lifetime_bets"),
     _t("test_account_flag"),
     _t("age_group"),
+    _t("profile_country_name"),
+    _t("brand_alias"),
     _t("is_locked"),
+    _t("flag_rg"),
+    _t("locked_until"),
+    _t("predicted_risk_category_latest"),
+    _t("profile_welcome_offer"),
+    _t("self_exclusion_flag"),
+    _t("is_bonus_abuser"),
+    _t("is_suspended"),
+    _t("person_id"),
+    _t("license_uid"),
+    _t("legal_entity"),
+    _t("deposit_disabled"),
+    _t("login_disabled"),
+    _t("play_sports_disabled"),
+    _t("receive_sports_promotions_disabled"),
+    _t("withdraw_disabled"),
+    _t("longest_restriction"),
+    _t("longest_restriction_valid_to"),
+    _t("longest_restriction_type"),
+    _t("player_sb_ngr_last12months"),
 ]

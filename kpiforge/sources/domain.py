@@ -212,8 +212,11 @@ def predictions(t: Tables) -> DataFrame:
 
 
 def customers(t: Tables) -> DataFrame:
-    """dim_customer_unified (a representative subset of its profile columns)."""
+    """dim_customer_unified: keys, dates, profile, restriction and value columns."""
     c = t["customer"]
+    uid, nation = F.col("c_custkey"), F.col("c_nationkey")
+    balance = money("c_acctbal")
+    excluded, suspended = uid % 50 == 0, uid % 60 == 0
     reg = F.date_add(F.lit("1994-06-01").cast("date"), (F.col("c_custkey") % 200).cast("int"))
     return c.select(
         F.col("c_name").alias("customer_id"),
@@ -234,6 +237,32 @@ def customers(t: Tables) -> DataFrame:
          .otherwise("41+").alias("age_group"),
         (F.col("c_acctbal") < 100).alias("is_locked"),
         F.lower("c_name").alias("alias"),
+        F.concat(F.lit("country_"), nation.cast("string")).alias("profile_country_name"),
+        F.lower("c_mktsegment").alias("brand_alias"),
+        F.when(uid % 3 == 0, "F").when(uid % 3 == 1, "M").alias("profile_gender"),
+        (uid % 12 + 1).cast("bigint").alias("profile_month_of_birth"),
+        (uid % 100).cast("bigint").alias("sb_ngr_percentile_last12months"),
+        (F.col("c_acctbal") < 50).alias("flag_rg"),
+        F.when(F.col("c_acctbal") < 100, F.date_add(reg, 365)).alias("locked_until"),
+        F.when(F.col("c_acctbal") < 0, "high").when(F.col("c_acctbal") < 5000, "medium")
+         .otherwise("low").alias("predicted_risk_category_latest"),
+        F.when(uid % 4 == 0, "sports").when(uid % 4 == 1, "casino").alias("profile_welcome_offer"),
+        excluded.alias("self_exclusion_flag"),
+        (uid % 40 == 0).alias("is_bonus_abuser"),
+        suspended.alias("is_suspended"),
+        F.concat(F.lit("P"), uid.cast("string")).alias("person_id"),
+        (nation % 4).cast("bigint").alias("license_uid"),
+        F.concat(F.lit("entity_"), (nation % 4).cast("string")).alias("legal_entity"),
+        (F.col("c_acctbal") < 0).alias("deposit_disabled"),
+        suspended.alias("login_disabled"),
+        excluded.alias("play_sports_disabled"),
+        (uid % 40 == 0).alias("receive_sports_promotions_disabled"),
+        (F.col("c_acctbal") < -500).alias("withdraw_disabled"),
+        F.when(excluded, (uid % 365).cast("bigint")).alias("longest_restriction"),
+        F.when(excluded, F.date_add(reg, (uid % 365).cast("int"))).alias("longest_restriction_valid_to"),
+        F.when(excluded, "self_exclusion").when(suspended, "suspension").alias("longest_restriction_type"),
+        balance.cast("double").alias("player_sb_ngr_last12months"),
+        (balance * F.lit(3).cast("decimal(1,0)")).cast("double").alias("player_cs_ngr_last12months"),
     )
 
 

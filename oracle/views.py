@@ -104,7 +104,37 @@ select c_name as customer_id, c_custkey as customer_uid,
   c_nationkey as profile_country_uid,
   case when c_acctbal < 1000 then '18-25' when c_acctbal < 5000 then '26-40' else '41+' end as age_group,
   c_acctbal < 100 as is_locked,
-  lower(c_name) as alias
+  lower(c_name) as alias,
+  'country_' || c_nationkey as profile_country_name,
+  lower(c_mktsegment) as brand_alias,
+  case c_custkey % 3 when 0 then 'F' when 1 then 'M' end as profile_gender,
+  cast(c_custkey % 12 + 1 as bigint) as profile_month_of_birth,
+  cast(c_custkey % 100 as bigint) as sb_ngr_percentile_last12months,
+  c_acctbal < 50 as flag_rg,
+  case when c_acctbal < 100
+       then cast(date '1994-06-01' + cast(c_custkey % 200 as integer) + 365 as date) end as locked_until,
+  case when c_acctbal < 0 then 'high' when c_acctbal < 5000 then 'medium' else 'low' end
+    as predicted_risk_category_latest,
+  case c_custkey % 4 when 0 then 'sports' when 1 then 'casino' end as profile_welcome_offer,
+  c_custkey % 50 = 0 as self_exclusion_flag,
+  c_custkey % 40 = 0 as is_bonus_abuser,
+  c_custkey % 60 = 0 as is_suspended,
+  'P' || c_custkey as person_id,
+  cast(c_nationkey % 4 as bigint) as license_uid,
+  'entity_' || (c_nationkey % 4) as legal_entity,
+  c_acctbal < 0 as deposit_disabled,
+  c_custkey % 60 = 0 as login_disabled,
+  c_custkey % 50 = 0 as play_sports_disabled,
+  c_custkey % 40 = 0 as receive_sports_promotions_disabled,
+  c_acctbal < -500 as withdraw_disabled,
+  case when c_custkey % 50 = 0 then cast(c_custkey % 365 as bigint) end as longest_restriction,
+  case when c_custkey % 50 = 0
+       then cast(date '1994-06-01' + cast(c_custkey % 200 as integer) + cast(c_custkey % 365 as integer) as date) end
+    as longest_restriction_valid_to,
+  case when c_custkey % 50 = 0 then 'self_exclusion' when c_custkey % 60 = 0 then 'suspension' end
+    as longest_restriction_type,
+  cast(cast(c_acctbal as decimal(18,2)) as double) as player_sb_ngr_last12months,
+  cast(cast(c_acctbal as decimal(18,2)) * 3 as double) as player_cs_ngr_last12months
 from customer""",
     "segmentation": f"""
 select c_custkey as customer_uid, cast(c_acctbal as {MONEY}) as predicted_margin,
