@@ -86,6 +86,18 @@ def drift_count(left: DataFrame, right: DataFrame, key: str, predicate) -> DataF
     return j.filter(predicate).agg(F.count_distinct(F.col(f"l.{key}")).alias("drift_count"))
 
 
+def drift_counts(left: DataFrame, right: DataFrame, key: str, predicates: dict) -> DataFrame:
+    """R6 for several named predicates at once: one join, then per left key whether
+    any of its rows meets each predicate (on the join's own partitioning), then one
+    row per name with the number of such keys."""
+    j = left.alias("l").join(right.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"), "right")
+    per_key = j.where(F.col(f"l.{key}").isNotNull()).groupBy(F.col(f"l.{key}")).agg(
+        *[F.bool_or(p).alias(n) for n, p in predicates.items()])
+    counts = per_key.agg(*[F.count_if(F.col(n)).alias(n) for n in predicates])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("predicate"), F.col(n).alias("drift_count")) for n in predicates])))
+
+
 def pair_labels(pairs: Sequence[Pair], ignore: Sequence[str] = ()) -> list[str]:
     return [p.label for p in pairs if p.label not in set(ignore)]
 

@@ -448,14 +448,60 @@ def q_drift_count_kpi(spark, sf):
 QUERIES["drift_count_kpi"] = q_drift_count_kpi
 
 
-def q_reconcile_initial_columns(spark, sf):
-    """The other reference check: initial vs combined table, per column."""
+def q_drift_counts_kpi(spark, sf):
+    """Every predicate of the ad-hoc check, over one join of the real tables."""
+    new, old = _kpi_versions(spark, sf)
+
+    def unequal(name):
+        return F.col(f"l.{name}") != F.col(f"r.{name}")
+
+    def apart(left, right=None):
+        return F.abs(F.col(f"l.{left}") - F.col(f"r.{right or left}")) > 0.1
+
+    return RE.drift_counts(old, new, "customer_uid", {
+        "bet_sports": unequal("bet_sports"),
+        "all_rows": F.lit(True),
+        "ggr_to_handle_lt": apart("ggr_to_handle_lt"),
+        "most_common_bonus_type": unequal("most_common_bonus_type"),
+        "most_recent_bonus_type": unequal("most_recent_bonus_type"),
+        "most_recent_campaign_name": unequal("most_recent_campaign_name"),
+        "bonus_to_ggr_l30": apart("bonus_to_ggr_l30"),
+        "ggr_to_handle_l30": apart("ggr_to_handle_l30"),
+        "cnt_real_7": apart("real_money_bet_cnt_last7", "cnt_real_7"),
+        "bonus_to_ggr_lt": apart("bonus_to_ggr_lt"),
+        "active_daily_handle_lt": apart("active_daily_handle_lt"),
+        "manually_classified": unequal("manually_classified"),
+    })
+
+
+QUERIES["drift_counts_kpi"] = q_drift_counts_kpi
+
+
+def q_last_stake(spark, sf):
+    return CU.last_stake(_domain(spark, sf).sportsbook_stats)
+
+
+QUERIES["last_stake"] = q_last_stake
+
+
+def _initial_flags(spark, sf):
     from kpiforge.plans.kpi_pairs import INITIAL_VS_COMBINED
 
     d = _domain(spark, sf)
     new, old = K.kpi_initial(d, BETS_AS_OF), K.kpi_combined(d, BETS_AS_OF, EVENTS_AS_OF)
-    flags = RE.diff_flags(new, old, "customer_uid", INITIAL_VS_COMBINED)
-    return RE.mismatch_columns(flags, RE.pair_labels(INITIAL_VS_COMBINED))
+    return RE.diff_flags(new, old, "customer_uid", INITIAL_VS_COMBINED), RE.pair_labels(INITIAL_VS_COMBINED)
+
+
+def q_reconcile_initial_columns(spark, sf):
+    """The other reference check: initial vs combined table, per column."""
+    return RE.mismatch_columns(*_initial_flags(spark, sf))
+
+
+def q_reconcile_initial_rows(spark, sf):
+    """Initial vs combined table, per customer."""
+    flags, labels = _initial_flags(spark, sf)
+    return RE.mismatch_rows(flags, "customer_uid", labels)
 
 
 QUERIES["reconcile_initial_columns"] = q_reconcile_initial_columns
+QUERIES["reconcile_initial_rows"] = q_reconcile_initial_rows
