@@ -3,88 +3,115 @@
 A source's rows form blocks. With weight w, its j-th block (from 1) is released
 at slot floor((j - 1) / w) and due at ceil(j / w); earliest deadline first among
 the released blocks keeps every source within one block of its target at every
-slot. The weights are fractions a / P, so the schedule repeats after P slots:
-one period is computed on the driver, and each row finds its slot from it by
-arithmetic. When a source runs out, the others go on with their weights scaled
-up: one period for each such phase. Every row is placed exactly once."""
+slot. The weights are exact fractions (a float counts as the decimal number it
+is written as), so nothing drifts however many slots there are. When a source
+runs out, the others go on with their weights scaled up: a phase for each such
+end, counted from its first slot. Every row is placed exactly once.
+
+The driver works out one slot after the other, from the row counts alone, and
+writes the schedule to the shared folder piece by piece: its time grows with the
+number of blocks, its memory does not."""
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.common import global_rank
+from kpiforge.llm.common import global_rank, work_path
 
 BLOCK = 32
 PERIOD = 1024
 MAX_SOURCES = 20_000
+#: Slots of the schedule the driver holds at once.
+PIECE = 1 << 18
+#: A release or deadline beyond this is shown as this: a long holds no more.
+FAR = 1 << 62
 
-
-def period_shares(weights: list[float], period: int = PERIOD) -> list[int]:
-    """Whole shares, 1 at least, that sum to the period: largest remainders."""
-    period = max(period, 2 * len(weights))
-    total = sum(weights)
-    room = period - len(weights)
-    exact = [w / total * room for w in weights]
-    share = [int(x) for x in exact]
-    for i in sorted(range(len(weights)), key=lambda i: (share[i] - exact[i], i))[:room - sum(share)]:
-        share[i] += 1
-    return [s + 1 for s in share]
+LAYOUT = ("_kf_source", "block", "phase", "release", "deadline", "slot", "_kf_before")
 
 
-def one_period(shares: list[int]) -> np.ndarray:
-    """The source of each slot of a period: earliest deadline first among the
-    released blocks; ties by the share (larger first), then the index."""
+def period_shares(weights: list[float], period: int = PERIOD) -> list[int]:
+    """Whole shares in exactly the ratio of the positive ``weights``. Their sum
+    is the shortest period, or as many whole ones as ``period`` slots hold."""
+    exact = [Fraction(str(w)) for w in weights]
+    unit = math.lcm(*(w.denominator for w in exact))
+    share = [int(w * unit) for w in exact]
+    by = math.gcd(*share)
+    times = max(1, period // (sum(share) // by))
+    return [s // by * times for s in share]
+
+
+def in_turn(shares: list[int]) -> Iterator[tuple[int, int, int, int]]:
+    """(source, block, release, deadline) slot by slot, without end: earliest
+    deadline first among the released blocks; ties by the share (larger first),
+    then the index."""
     period = sum(shares)
-    released: list[list[int]] = [[] for _ in range(period)]
-    released[0] = list(range(len(shares)))
     done = [0] * len(shares)
+    coming = [(0, i) for i in range(len(shares))]
     ready: list[tuple] = []
-    out = np.zeros(period, np.int64)
-    for slot in range(period):
-        for i in released[slot]:
+    slot = 0
+    while True:
+        while coming and coming[0][0] <= slot:
+            i = heapq.heappop(coming)[1]
             heapq.heappush(ready, (-(-(done[i] + 1) * period // shares[i]), -shares[i], i))
-        i = heapq.heappop(ready)[2]
-        out[slot] = i
+        deadline, _, i = heapq.heappop(ready)
+        yield i, done[i], done[i] * period // shares[i], deadline
         done[i] += 1
-        if done[i] < shares[i]:
-            released[max(slot + 1, done[i] * period // shares[i])].append(i)
-    return out
+        slot += 1
+        heapq.heappush(coming, (max(slot, done[i] * period // shares[i]), i))
 
 
-@dataclass
-class Phase:
-    """Slots [start, start + length): each source's first block, share and period."""
-    start: int
-    length: int
-    sources: list[int]
-    shares: list[int]
-    first: list[int]
-    period: np.ndarray
-
-
-def schedule(blocks: list[int], weights: list[float], period: int = PERIOD) -> list[Phase]:
-    """The phases that place ``blocks[i]`` blocks of each source."""
-    left, done, start, out = list(blocks), [0] * len(blocks), 0, []
+def one_period(shares: list[int]) -> np.ndarray:
+    """The source of each slot of a period."""
+    turn = in_turn(shares)
+    return np.array([next(turn)[0] for _ in range(sum(shares))], np.int64)
+
+
+def schedule(blocks: list[int], weights: list[float], period: int = PERIOD) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(source, block, phase, release, deadline, slot) of all blocks, by slot;
+    ``blocks[i]`` blocks of each source. Sources of weight 0 come when all others
+    have run out, in equal shares."""
+    if any(not 0 <= w < math.inf for w in weights):
+        raise ValueError("weights must be finite numbers of 0 or more")
+    left, done, start, phase = list(blocks), [0] * len(blocks), 0, 0
     while alive := [i for i, n in enumerate(left) if n]:
-        shares = period_shares([weights[i] for i in alive], period)
-        cycle = one_period(shares)
-        size = len(cycle)
-        at = [np.flatnonzero(cycle == k) for k in range(len(alive))]
-        # the slot after a source's last block; the first such slot ends the phase
-        ends = [(left[i] - 1) // shares[k] * size + int(at[k][(left[i] - 1) % shares[k]]) + 1 for k, i in enumerate(alive)]
-        length = min(ends)
-        out.append(Phase(start, length, alive, shares, [done[i] for i in alive], cycle))
-        for k, i in enumerate(alive):
-            n = length // size * shares[k] + int(np.searchsorted(at[k], length % size))
-            done[i] += n
-            left[i] -= n
-        start += length
-    return out
+        alive = [i for i in alive if weights[i]] or alive
+        turn = in_turn(period_shares([weights[i] or 1 for i in alive], period))
+        for slot, (k, _, release, deadline) in enumerate(turn, start):
+            i = alive[k]
+            yield i, done[i], phase, min(FAR, start + release), min(FAR, start + deadline), slot
+            done[i] += 1
+            left[i] -= 1
+            if not left[i]:
+                break
+        start, phase = slot + 1, phase + 1
+
+
+def _layout(spark, counts: list[int], weights: list[float], block: int, period: int) -> DataFrame:
+    """The schedule as a table in the shared folder, with the rows before each slot."""
+    import pyarrow as pa
+
+    path = work_path(spark, "layout")
+    blocks = [-(-n // block) for n in counts]
+    before, rows = 0, []
+
+    def write():
+        spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], list(LAYOUT))).write.mode("append").parquet(path)
+        rows.clear()
+    for line in schedule(blocks, weights, period):
+        rows.append((*line, before))
+        before += min(block, counts[line[0]] - line[1] * block)
+        if len(rows) == PIECE:
+            write()
+    if rows:
+        write()
+    return spark.read.schema(", ".join(f"{c} long" for c in LAYOUT)).parquet(path)
 
 
 def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
@@ -94,10 +121,12 @@ def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, bloc
     ``weights`` maps a source to its target weight; sources it lacks, or all
     without it, weigh their row count to the power ``alpha``. Rows of a source
     come in the order of a hash of ``doc_id``; its last block may be short.
-    Weights are rounded to whole slots of a period of ``period`` (at least twice
-    the number of sources); each source that has rows has a share of 1 or more.
-    Sources are taken to be few: more than MAX_SOURCES is an error, since their
-    counts and one period per phase are held by the driver.
+    Weights hold exactly, whatever their ratio and the number of sources: while
+    all sources last, after every slot each is less than one block from its
+    target. ``period`` (slots per repetition of the shares) does not change the
+    order. Sources of weight 0 come last; a negative or infinite weight is an
+    error. Sources are taken to be few: more than MAX_SOURCES is an error, since
+    their counts are held by the driver.
 
     A null source is a source of its own. Null texts and ids, repeated rows and
     extra columns pass through (columns named like the added ones are
@@ -111,51 +140,20 @@ def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, bloc
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     counts = sorted(counts, key=lambda r: r["first"])
-    goal = [(weights or {}).get(r["source"], r["n"] ** alpha) for r in counts]
-    blocks = [-(-r["n"] // block) for r in counts]
-    phases = schedule(blocks, goal, period)
-    # rows before a slot: block rows for each slot, less what short last blocks lack
-    short = []
-    pieces, cycles = [], []
-    for number, p in enumerate(phases):
-        size = len(p.period)
-        at = [np.flatnonzero(p.period == k) for k in range(len(p.sources))]
-        for k, i in enumerate(p.sources):
-            n = p.length // size * p.shares[k] + int(np.searchsorted(at[k], p.length % size))
-            if not n:
-                continue
-            pieces.append((number, i, p.first[k], p.first[k] + n, p.start, p.shares[k], size))
-            cycles.extend((number, i, j, int(s)) for j, s in enumerate(at[k]))
-            last = blocks[i] - 1
-            if p.first[k] <= last < p.first[k] + n and counts[i]["n"] % block:
-                j = last - p.first[k]
-                short.append((p.start + j // p.shares[k] * size + int(at[k][j % p.shares[k]]), block - counts[i]["n"] % block))
-    source = spark.createDataFrame([(i, r["first"]) for i, r in enumerate(counts)], "_kf_source int, _kf_first long")
-    piece = spark.createDataFrame(pieces, "phase int, _kf_source int, _kf_from long, _kf_to long, _kf_start long, _kf_share long, _kf_size long")
-    cycle = spark.createDataFrame(cycles, "phase int, _kf_source int, _kf_j long, _kf_at long")
-    firsts = [r["first"] for r in counts]
-    if not firsts:
+    if not counts:
         return ranked.select(*docs.columns, *[F.lit(None).cast("long").alias(c) for c in added])
-    short.sort()
+    goal = [(weights or {}).get(r["source"], r["n"] ** alpha) for r in counts]
+    layout = _layout(spark, [r["n"] for r in counts], goal, block, period)
     # the source's number: how many sources begin at or before this rank (sources lie one after another)
-    bounds = F.array(*map(F.lit, firsts))
+    bounds = F.array(*[F.lit(r["first"]) for r in counts])
     number = F.size(F.filter(bounds, lambda x: x <= F.col("_kf_rank"))) - 1
-    lack = F.lit(0).cast("long")
-    if short:
-        gaps = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(g).alias("g")) for s, g in short])
-        lack = F.aggregate(F.filter(gaps, lambda x: x["s"] < F.col("slot")), F.lit(0).cast("long"), lambda a, x: a + x["g"])
-    j = F.col("block") - F.col("_kf_from")
-    rows = (ranked.withColumn("_kf_source", number.cast("int")).join(F.broadcast(source), "_kf_source")
-            .withColumn("_kf_in", F.col("_kf_rank") - F.col("_kf_first")).withColumn("block", F.floor(F.col("_kf_in") / block))
-            .join(F.broadcast(piece.withColumnRenamed("_kf_source", "_kf_s2")),
-                  (F.col("_kf_source") == F.col("_kf_s2")) & (F.col("block") >= F.col("_kf_from")) & (F.col("block") < F.col("_kf_to")))
-            .withColumn("_kf_j", F.pmod(j, F.col("_kf_share"))).drop("_kf_s2")
-            .join(F.broadcast(cycle), ["phase", "_kf_source", "_kf_j"]))
-    return (rows.withColumn("slot", F.col("_kf_start") + F.expr("(block - _kf_from) div _kf_share") * F.col("_kf_size") + F.col("_kf_at"))
-            .withColumn("release", F.col("_kf_start") + F.expr("((block - _kf_from) * _kf_size) div _kf_share"))
-            .withColumn("deadline", F.col("_kf_start") + F.expr("((block - _kf_from + 1) * _kf_size + _kf_share - 1) div _kf_share"))
-            .withColumn("position", F.col("slot") * block - lack + F.pmod(F.col("_kf_in"), F.lit(block)))
-            .select(*docs.columns, "block", F.col("phase").cast("long").alias("phase"), "release", "deadline", "slot", "position"))
+    rows = (ranked.withColumn("_kf_source", number.cast("long"))
+            .withColumn("_kf_in", F.col("_kf_rank") - F.element_at(bounds, (F.col("_kf_source") + 1).cast("int")))
+            .withColumn("block", F.floor(F.col("_kf_in") / block)))
+    # a key holds one block of rows at most; Spark broadcasts the schedule while it is small
+    return (rows.join(layout, ["_kf_source", "block"])
+            .withColumn("position", F.col("_kf_before") + F.pmod(F.col("_kf_in"), F.lit(block)))
+            .select(*docs.columns, "block", "phase", "release", "deadline", "slot", "position"))
 
 
 def in_mixed_order(docs: DataFrame, **params) -> DataFrame:

@@ -130,3 +130,39 @@ def test_mixing_keeps_rows_and_columns(spark, docs):
     clash = spark.sql("select 1L doc_id, 's' source, 'mine' slot, 'p' position, 'q' a, 'r' n")
     r = mixing.mixed(clash).first()
     assert (r.slot, r.position, r.a, r.n) == (0, 0, "q", "r")
+
+
+SKEWED = {"half of 10": [0.5] + [0.5 / 9] * 9, "half of 500": [499] + [1] * 499, "half of 600": [599] + [1] * 599,
+          "many, skewed": [1 + i % 3 for i in range(700)], "one in 5000": [4999, 1]}
+
+
+@pytest.mark.parametrize("weights", SKEWED.values(), ids=SKEWED.keys())
+def test_every_prefix_is_within_a_block_of_the_given_weights(weights):
+    turn, n = [], 20_000
+    for row in mixing.schedule([n] * len(weights), weights):
+        turn.append(row[0])
+        if len(turn) == n:
+            break
+    turn, t = np.array(turn), np.arange(1, n + 1)
+    for k, w in enumerate(weights):
+        assert np.abs(np.cumsum(turn == k) - w / sum(weights) * t).max() < 1 + 1e-9
+
+
+def test_mixed_rows_follow_skewed_weights(docs):
+    rows = [(i, "t", "en", f"s{i % 10}" if i % 2 else "s0") for i in range(12_000)]
+    weights = {f"s{k}": 0.5 if k == 0 else 0.5 / 9 for k in range(10)}
+    got = mixing.mixed(docs(*rows).select("doc_id", "source"), weights=weights, block=4).where("phase = 0").collect()
+    turn = [s for _, s in sorted({(r.slot, r.source) for r in got})]
+    assert len(turn) > 1500
+    t = np.arange(1, len(turn) + 1)
+    for s, w in weights.items():
+        if any(r.source == s for r in got):
+            have = {r.source for r in got}
+            share = w / sum(weights[x] for x in have)
+            assert np.abs(np.cumsum(np.array(turn) == s) - share * t).max() < 1 + 1e-9
+
+
+def test_zero_weights_come_last_and_bad_ones_fail():
+    assert [r[0] for r in mixing.schedule([2, 2, 1], [1, 0, 0])] == [0, 0, 1, 2, 1]
+    with pytest.raises(ValueError):
+        list(mixing.schedule([1, 1], [1, -1]))
