@@ -16,12 +16,14 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import Counter
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiforge.llm.common import global_rank, work_path
 
@@ -93,28 +95,31 @@ def schedule(blocks: list[int], weights: list[float], period: int = PERIOD) -> I
         start, phase = slot + 1, phase + 1
 
 
-def _layout(spark, counts: list[int], weights: list[float], block: int, period: int) -> DataFrame:
-    """The schedule as a table in the shared folder, with the rows before each slot."""
+def _layout(spark, parts: list[tuple[int, list[int], list[float]]], block: int, period: int) -> DataFrame:
+    """The schedules of ``parts`` (number of the first source, row counts,
+    weights) as a table in the shared folder, with the rows before each slot."""
     import pyarrow as pa
 
     path = work_path(spark, "layout")
-    blocks = [-(-n // block) for n in counts]
-    before, rows = 0, []
+    rows: list[tuple] = []
 
     def write():
         spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], list(LAYOUT))).write.mode("append").parquet(path)
         rows.clear()
-    for line in schedule(blocks, weights, period):
-        rows.append((*line, before))
-        before += min(block, counts[line[0]] - line[1] * block)
-        if len(rows) == PIECE:
-            write()
+    for first, counts, weights in parts:
+        before = 0
+        for i, *line in schedule([-(-n // block) for n in counts], weights, period):
+            rows.append((first + i, *line, before))
+            before += min(block, counts[i] - line[0] * block)
+            if len(rows) == PIECE:
+                write()
     if rows:
         write()
     return spark.read.schema(", ".join(f"{c} long" for c in LAYOUT)).parquet(path)
 
 
-def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, block: int = BLOCK, period: int = PERIOD,
+          within: str | None = None) -> DataFrame:
     """``docs`` with ``block``, ``phase``, ``release``, ``deadline``, ``slot``
     (of the block, from 0) and ``position`` (of the row, from 0, without gaps).
 
@@ -125,8 +130,9 @@ def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, bloc
     all sources last, after every slot each is less than one block from its
     target. ``period`` (slots per repetition of the shares) does not change the
     order. Sources of weight 0 come last; a negative or infinite weight is an
-    error. Sources are taken to be few: more than MAX_SOURCES is an error, since
-    their counts are held by the driver.
+    error. With ``within``, the rows of each value of that column are mixed by
+    themselves, all to the same weights. Sources are taken to be few: more than MAX_SOURCES is an error, since
+    their counts (by value of ``within``) are held by the driver.
 
     A null source is a source of its own. Null texts and ids, repeated rows and
     extra columns pass through (columns named like the added ones are
@@ -134,22 +140,30 @@ def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, bloc
     added = ("block", "phase", "release", "deadline", "slot", "position")
     docs = docs.drop(*added)
     spark = docs.sparkSession
-    ranked = global_rank(docs.withColumn("_kf_key", F.xxhash64("doc_id")),
-                         [F.col("source").asc_nulls_first(), F.col("_kf_key"), F.col("doc_id").asc_nulls_first()], "_kf_rank").drop("_kf_key")
-    counts = ranked.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("_kf_rank").alias("first")).limit(MAX_SOURCES + 1).collect()
-    if len(counts) > MAX_SOURCES:
+    part = F.col(within) if within else F.lit(0)
+    ranked = global_rank(docs.withColumn("_kf_part", part).withColumn("_kf_key", F.xxhash64("doc_id")), [
+        F.col("_kf_part").asc_nulls_first(), F.col("source").asc_nulls_first(), F.col("_kf_key"), F.col("doc_id").asc_nulls_first()], "_kf_rank").drop("_kf_key")
+    if ranked.select("source").distinct().limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
+    counts = ranked.groupBy("_kf_part", "source").agg(F.count(F.lit(1)).alias("n"), F.min("_kf_rank").alias("first")).collect()
     counts = sorted(counts, key=lambda r: r["first"])
     if not counts:
         return ranked.select(*docs.columns, *[F.lit(None).cast("long").alias(c) for c in added])
-    goal = [(weights or {}).get(r["source"], r["n"] ** alpha) for r in counts]
-    layout = _layout(spark, [r["n"] for r in counts], goal, block, period)
-    # the source's number: how many sources begin at or before this rank (sources lie one after another)
-    bounds = F.array(*[F.lit(r["first"]) for r in counts])
-    number = F.size(F.filter(bounds, lambda x: x <= F.col("_kf_rank"))) - 1
-    rows = (ranked.withColumn("_kf_source", number.cast("long"))
-            .withColumn("_kf_in", F.col("_kf_rank") - F.element_at(bounds, (F.col("_kf_source") + 1).cast("int")))
-            .withColumn("block", F.floor(F.col("_kf_in") / block)))
+    total: Counter = Counter()
+    for r in counts:
+        total[r["source"]] += r["n"]
+    parts: list[tuple[int, list[int], list[float]]] = []
+    for i, r in enumerate(counts):
+        if not i or r["_kf_part"] != counts[i - 1]["_kf_part"]:
+            parts.append((i, [], []))
+        parts[-1][1].append(r["n"])
+        parts[-1][2].append((weights or {}).get(r["source"], total[r["source"]] ** alpha))
+    layout = _layout(spark, parts, block, period)
+    kinds = ranked.select(F.col("_kf_part").alias("_kf_p"), F.col("source").alias("_kf_s")).schema
+    source = spark.createDataFrame([(r["_kf_part"], r["source"], i, r["first"]) for i, r in enumerate(counts)],
+                                   T.StructType([*kinds.fields, *T.StructType.fromDDL("_kf_source long, _kf_first long").fields]))
+    rows = (ranked.join(F.broadcast(source), F.col("_kf_part").eqNullSafe(F.col("_kf_p")) & F.col("source").eqNullSafe(F.col("_kf_s")))
+            .withColumn("_kf_in", F.col("_kf_rank") - F.col("_kf_first")).withColumn("block", F.floor(F.col("_kf_in") / block)))
     # a key holds one block of rows at most; Spark broadcasts the schedule while it is small
     return (rows.join(layout, ["_kf_source", "block"])
             .withColumn("position", F.col("_kf_before") + F.pmod(F.col("_kf_in"), F.lit(block)))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.llm.common import global_rank, step, stored, unit_hash
+from kpiforge.llm.mixing import mixed
 
 ROUNDS = 3
 
@@ -65,7 +66,8 @@ def propagate_labels(members: DataFrame, n_shards: int, capacity: int, rounds: i
     return labels
 
 
-def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None = None, rounds: int = ROUNDS,
+                    source: str | None = None, weights: dict | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of
     ``docs(doc_id, text)``. Law ``rows``: counts of any two shards are at most
     one apart; slots run from 0 without gaps.
@@ -74,13 +76,17 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
     ``links(a, b)``, if given. As many as the quotas allow come to one shard; a
     group larger than a shard fills several.
 
+    With ``source``, a column of ``docs``, the slots of each shard run in the mix
+    of its sources to the target ``weights`` (see :func:`kpiforge.llm.mixing.mixed`).
+
     Null text counts as empty (size 8, crc32 0), so null and empty texts are
     one group. Null and repeated ids are placed row by row. Extra columns are
     ignored. An empty table gives an empty table."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"),
-        F.concat_ws(":", F.xxhash64(text), F.xxhash64(F.lit(3), text)).alias("hub")).withColumn("row", F.monotonically_increasing_id()), "base")
+        F.concat_ws(":", F.xxhash64(text), F.xxhash64(F.lit(3), text)).alias("hub"),
+        *([F.col(source).alias("source")] if source else [])).withColumn("row", F.monotonically_increasing_id()), "base")
     total = base.count()
     members = base.select("row", "hub")
     if links is not None:
@@ -108,12 +114,14 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
     shard = F.lit(n_shards - 1)
     for t in reversed(range(n_shards - 1)):
         shard = F.when(F.col("_free") < before[t + 1], F.lit(t)).otherwise(shard)
-    return (placed.withColumn("_at", at).withColumn("_stays", stays).withColumn("_free", free)
+    out = (placed.withColumn("_at", at).withColumn("_stays", stays).withColumn("_free", free)
             .withColumn("shard", F.when(F.col("_stays"), label).otherwise(shard).cast("int"))
             .withColumn("slot", F.when(F.col("_stays"), F.col("_at"))
-                        .otherwise(step(kept, F.col("shard")) + F.col("_free") - step(before, F.col("shard"))))
-            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
-                    F.lit(None).cast("int").alias("grown_shard")))
+                        .otherwise(step(kept, F.col("shard")) + F.col("_free") - step(before, F.col("shard")))))
+    if source:
+        out = mixed(out.select("doc_id", "size", "text_crc32", "source", "shard"), weights, within="shard").withColumn("slot", F.col("position"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+                      F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op3_label_propagation(spark, sf_dir: str) -> DataFrame:

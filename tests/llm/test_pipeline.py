@@ -120,3 +120,20 @@ def test_empty_documents(spark):
         rows = stage(spark, rows, SF)
         assert rows.count() == 0
     assert C.STAGES[-1][1](spark, rows, SF).count() == 0
+
+
+def test_the_slots_of_each_shard_follow_the_target_weights(spark, monkeypatch):
+    monkeypatch.setattr(C, "N_SHARDS", 3)
+    counts = {"a": 9000, "b": 2250, None: 750}
+    rows = [(f"{s}{i}", s) for s, n in counts.items() for i in range(n)]
+    docs = spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(rows)], "doc_id long, text string, source string")
+    got = C.STAGES[-1][1](spark, docs, SF).collect()
+    total = sum(n ** 0.5 for n in counts.values())
+    for shard in range(3):
+        order = [rows[r.doc_id][1] for r in sorted((r for r in got if r.shard == shard), key=lambda r: r.slot)]
+        assert len(order) == 4000
+        done = dict.fromkeys(counts, 0)
+        for t, s in enumerate(order[:1000], 1):
+            done[s] += 1
+            if t % 32 == 0:
+                assert all(abs(done[k] - t * counts[k] ** 0.5 / total) <= 32 for k in counts)
