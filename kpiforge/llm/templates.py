@@ -4,7 +4,8 @@ Numbers, names and units become typed placeholders, so a question with other
 values keeps its template. Template windows of the documents are hash-joined
 with those of the benchmark items; matches along one alignment must fill every
 slot consistently (one item value, one document value, and the other way
-round)."""
+round). An item counts by the share of its windows, or by a long run of
+consecutive words."""
 
 from __future__ import annotations
 
@@ -17,6 +18,8 @@ from kpiforge.llm.common import slices, text_buffers
 
 WINDOW = 8
 MIN_COVER = 0.5
+#: Consecutive words, equal or in consistent slots, that make a document hold an item.
+RUN = 10
 #: Benchmark words held by a task at once; a larger benchmark takes several passes.
 BLOCK_WORDS = 2_000_000
 
@@ -107,11 +110,11 @@ class Items:
         self.at = (np.concatenate(at) if at else np.zeros(0, int))[order]
         self.distinct = np.unique(self.hash)
 
-    def find(self, raw: np.ndarray, off: np.ndarray, min_cover: float) -> dict[int, list[tuple]]:
+    def find(self, raw: np.ndarray, off: np.ndarray, min_cover: float, min_run: int | None = None) -> dict[int, list[tuple]]:
         """Matches (item_id, n_matched, n_windows, n_slots, n_changed) by text."""
         from kpiforge.llm import tokens as K
 
-        template, value, slot, first = canonical(raw, off)
+        template, value, _, first = canonical(raw, off)
         hits: dict[int, dict[int, dict[int, list]]] = {}
         for k in self.widths:
             h = K.windows(template, k) ^ K.U(k)
@@ -129,32 +132,68 @@ class Items:
         out: dict[int, list[tuple]] = {}
         for text, items in hits.items():
             for i, lines in items.items():
-                if found := self._consistent(i, lines, value, slot):
-                    matched, slots, changed = found
-                    if matched >= min_cover * self.n_windows[i]:
+                if found := self._consistent(i, lines, value, min_run):
+                    matched, slots, changed, run = found
+                    if matched >= min_cover * self.n_windows[i] or min_run and run >= min_run:
                         out.setdefault(text, []).append((int(self.ids[i]), matched, int(self.n_windows[i]), slots, changed))
         return {t: sorted(m) for t, m in out.items()}
 
-    def _consistent(self, i: int, lines: dict[int, list], value, slot):
+    def _consistent(self, i: int, lines: dict[int, list], value, min_run: int | None):
         """Distinct windows of item ``i`` matched on alignments whose slots agree
-        both ways; the slots filled and those with another value."""
+        both ways; the slots filled and those with another value; the words of
+        the longest run. With ``min_run``, an alignment with a conflict counts
+        with its longest run without one."""
         s, k = int(self.first[i]), int(self.width[i])
         seen: set[int] = set()
-        slots = changed = 0
+        slots = changed = longest = 0
         for shift, ats in sorted(lines.items(), key=lambda x: (-len(x[1]), x[0])):
             words = sorted({a + x for a in ats for x in range(k)})
-            there: dict = {}
-            back: dict = {}
-            good = True
-            for w in words:
-                if self.slot[s + w]:
-                    x, y = int(self.value[s + w]), int(value[shift + w])
-                    good &= there.setdefault(x, y) == y and back.setdefault(y, x) == x
-            if good:
-                if not seen:
+            pairs = {w: (int(self.value[s + w]), int(value[shift + w])) for w in words if self.slot[s + w]}
+            there = _mapping(pairs.values())
+            if there is not None or min_run:
+                first, end = _longest_run(words, pairs)
+                if there is None:
+                    ats = [a for a in ats if first <= a and a + k <= end]
+                    there = _mapping(p for w, p in pairs.items() if first <= w < end)
+                longest = max(longest, end - first)
+                if ats and not seen:
                     slots, changed = len(there), sum(x != y for x, y in there.items())
                 seen.update(ats)
-        return (len(seen), slots, changed) if seen else None
+        return (len(seen), slots, changed, longest) if longest else None
+
+
+def _mapping(pairs) -> dict | None:
+    """The pairs as a mapping; None if one side of a pair has another partner elsewhere."""
+    there: dict = {}
+    back: dict = {}
+    for x, y in pairs:
+        if there.setdefault(x, y) != y or back.setdefault(y, x) != x:
+            return None
+    return there
+
+
+def _longest_run(words: list[int], pairs: dict[int, tuple]) -> tuple[int, int]:
+    """The longest stretch [first, end) of consecutive ``words`` whose ``pairs``
+    agree both ways; the first of several."""
+    best, first = (0, 0), words[0]
+    there: dict = {}
+    back: dict = {}
+    before = words[0] - 1
+    for w in words:
+        if w != before + 1:
+            first, there, back = w, {}, {}
+        if w in pairs:
+            x, y = pairs[w]
+            # the last place where either value has another partner ends the stretch to the left
+            for seen, a, b in ((there, x, y), (back, y, x)):
+                for other, at in seen.get(a, {}).items():
+                    if other != b:
+                        first = max(first, at + 1)
+                seen.setdefault(a, {})[b] = w
+        if w + 1 - first > best[1] - best[0]:
+            best = first, w + 1
+        before = w
+    return best
 
 
 def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
@@ -169,11 +208,14 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_cover: float = MIN_COVER,
-                      block_words: int = BLOCK_WORDS) -> DataFrame:
+                      block_words: int = BLOCK_WORDS, min_run: int | None = None) -> DataFrame:
     """``docs`` with a column ``matches`` added: the benchmark items of which a
     document holds at least ``min_cover`` of the template windows of ``window``
     words, as (item_id, n_matched, n_windows, n_slots, n_changed); ``n_changed``
-    counts slots with another value than the item has (0: a plain copy).
+    counts slots with another value than the item has (0: a plain copy). With
+    ``min_run`` also those of which it holds that many consecutive words (at
+    least ``window``), equal or in consistent slots; where slots conflict, the
+    longest run without a conflict counts instead of nothing.
 
     Items with fewer words count as one window of all their words. Null, empty
     and word-less texts match nothing; items without words or with a null id
@@ -197,7 +239,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                 found = batch.column(at_found).to_pylist()
                 for i, j in slices(off):
                     part = raw[off[i]:off[j]]
-                    for t, m in items.find(part, off[i:j + 1] - off[i], min_cover).items():
+                    for t, m in items.find(part, off[i:j + 1] - off[i], min_cover, min_run).items():
                         found[i + t] = (found[i + t] or []) + [
                             dict(zip(("item_id", "n_matched", "n_windows", "n_slots", "n_changed"), x, strict=True)) for x in m]
                 kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "n_matched", "n_windows", "n_slots", "n_changed")]))
@@ -209,14 +251,14 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item; columns as they were.
-    See :func:`benchmark_matches` for the cases."""
-    return benchmark_matches(docs, benchmark, **params).where("matches is null").select(*docs.columns)
+    """The rows of ``docs`` that hold no benchmark item, nor RUN consecutive words
+    of one; columns as they were. See :func:`benchmark_matches` for the cases."""
+    return benchmark_matches(docs, benchmark, **{"min_run": RUN, **params}).where("matches is null").select(*docs.columns)
 
 
 def op6_template_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long"), "text")
-    found = benchmark_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = benchmark_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), min_run=RUN)
     return (found.where("matches is not null").select("doc_id", F.explode("matches").alias("m"))
             .select("doc_id", "m.item_id", "m.n_matched", "m.n_windows", "m.n_slots", "m.n_changed",
                     F.when(F.expr("m.n_changed = 0"), "copy").otherwise("reparameterised").alias("kind")))

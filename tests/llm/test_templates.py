@@ -91,3 +91,28 @@ def test_nulls_empty_long_ties_repeats_clashes(spark, docs, bench):
     one = spark.sql(f"select 1L doc_id, '{ITEM}' text, 'a' matches, 'b' item_id, 'c' template")
     row = M.benchmark_matches(one, table).first()
     assert row.item_id == "b" and row.template == "c" and [m.item_id for m in row.matches] == [1, 1]
+
+
+def test_partial_passages_and_near_copies_count_by_their_longest_run(docs, bench):
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(59))
+    short = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa quebec romeo sierra tango"
+    equal = "if there are 5 apples in the box and 5 apples on the table then add 7 more of them now"
+    clash = "a farmer has 2 cows in the barn behind the old house near the river and 3 goats on the hill above the town"
+    rows = [(1, "here: " + " ".join(long.split()[:29]) + " and so on"), (2, short.replace("kilo", "other")),
+            (3, equal.replace("5", "8", 1)), (4, clash.replace("2", "5").replace("3", "5")), (5, " ".join(long.split()[:9]) + " no more")]
+    items = bench((1, long), (2, short), (3, equal), (4, clash))
+    got = found(docs(*rows), items, min_run=M.RUN)
+    assert {d: [m[0] for m in v] for d, v in got.items()} == {1: [1], 2: [2], 3: [3], 4: [4], 5: []}
+    assert got[1][0][1:] == (22, 52, 0) and got[3][0][3] == 0
+    assert [r.doc_id for r in M.decontaminate(docs(*rows), items).collect()] == [5]
+
+
+def test_longest_run_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(300):
+        words = sorted(rng.sample(range(14), rng.randint(1, 14)))
+        pairs = {w: (rng.randrange(3), rng.randrange(3)) for w in words if rng.random() < 0.5}
+        best = max((b - a, -a) for a in words for b in range(a + 1, 16) if set(range(a, b)) <= set(words)
+                   and M._mapping([pairs[w] for w in range(a, b) if w in pairs]) is not None)
+        first, end = M._longest_run(words, pairs)
+        assert (end - first, -first) == best
