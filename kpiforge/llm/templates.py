@@ -44,12 +44,14 @@ def _word_bytes(b: np.ndarray) -> np.ndarray:
 
 
 def canonical(raw: np.ndarray, off: np.ndarray):
-    """(template hash, value hash, is a slot, first word of each text) of the words."""
+    """(template hashes, value hash, is a slot, first word of each text) of the
+    words. A template for each reading: names in mid-sentence are slots; all
+    capitalised words are; none is. The slots are those of the first reading."""
     from kpiforge.llm import tokens as K
 
     start, end, value, first = K.words(raw, off, _word_bytes)
     if not len(start):
-        return value, value, np.zeros(0, bool), first
+        return [value] * 3, value, np.zeros(0, bool), first
     lead = raw[start]
     number = (lead >= 0x30) & (lead <= 0x39)
     digits = np.zeros(len(raw) + 1, np.int64)
@@ -66,10 +68,31 @@ def canonical(raw: np.ndarray, off: np.ndarray):
     unit[0] = False
     unit[1:] &= number[:-1]
     unit &= ~lone[:-1]
-    template = value.copy()
-    for kind, mask in ((1, number), (2, name), (3, unit)):
-        template[mask] = K.U(kind)
-    return template, value, number | name | unit, first
+    templates = []
+    for names in (name, upper, np.zeros(len(start), bool)):
+        template = value.copy()
+        for kind, mask in ((1, number), (2, names), (3, unit)):
+            template[mask] = K.U(kind)
+        templates.append(template)
+    return templates, value, number | name | unit, first
+
+
+def readings(templates: list[np.ndarray], k: int):
+    """(window hashes, windows to use) for each reading. The first is used
+    throughout, the others where they differ from it. Windows whose words are
+    for the most part slots say little: a capitalised word out of mid-sentence
+    is a slot only where half of the words or more are none."""
+    from kpiforge.llm import tokens as K
+
+    plain = K.windows(templates[0], k)
+    yield plain, np.ones(len(plain), bool)
+    for template, name in zip(templates[1:], (True, False), strict=True):
+        h = K.windows(template, k)
+        use = h != plain
+        if name and len(h):
+            total = np.concatenate([[0], np.cumsum(template <= K.U(3))])
+            use &= 2 * (total[k:] - total[:-k]) <= k
+        yield h, use
 
 
 def _unit_hashes() -> np.ndarray:
@@ -88,7 +111,7 @@ class Items:
         texts = [(t or "").encode() for _, t in rows]
         off = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
         raw = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
-        self.template, self.value, self.slot, self.first = canonical(raw, off)
+        templates, self.value, self.slot, self.first = canonical(raw, off)
         self.ids = [i for i, _ in rows]
         n = np.diff(self.first)
         self.width = np.minimum(n, window)
@@ -96,12 +119,13 @@ class Items:
         hashes, item, at = [], [], []
         for k in np.unique(self.width[n > 0]):
             of = np.flatnonzero((self.width == k) & (n > 0))
-            h = K.windows(self.template, int(k))
-            for i in of:
-                s, m = int(self.first[i]), int(self.n_windows[i])
-                hashes.append(h[s:s + m] ^ K.U(k))
-                item.append(np.full(m, i))
-                at.append(np.arange(m))
+            for h, use in readings(templates, int(k)):
+                for i in of:
+                    s, m = int(self.first[i]), int(self.n_windows[i])
+                    hold = np.flatnonzero(use[s:s + m])
+                    hashes.append(h[s + hold] ^ K.U(k))
+                    item.append(np.full(len(hold), i))
+                    at.append(hold)
         self.widths = [int(k) for k in np.unique(self.width[n > 0])]
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
@@ -114,21 +138,22 @@ class Items:
         """Matches (item_id, n_matched, n_windows, n_slots, n_changed) by text."""
         from kpiforge.llm import tokens as K
 
-        template, value, _, first = canonical(raw, off)
-        hits: dict[int, dict[int, dict[int, list]]] = {}
+        templates, value, _, first = canonical(raw, off)
+        hits: dict[int, dict[int, dict[int, set]]] = {}
         for k in self.widths:
-            h = K.windows(template, k) ^ K.U(k)
-            if not len(h):
-                continue
-            at = np.searchsorted(self.distinct, h)
-            at[at == len(self.distinct)] = 0
-            for p in np.flatnonzero(self.distinct[at] == h):
-                text = int(np.searchsorted(first, p, "right")) - 1
-                if p + k > first[text + 1]:
-                    continue
-                for j in range(np.searchsorted(self.hash, h[p], "left"), np.searchsorted(self.hash, h[p], "right")):
-                    i = int(self.item[j])
-                    hits.setdefault(text, {}).setdefault(i, {}).setdefault(int(p - self.at[j]), []).append(int(self.at[j]))
+            for every, use in readings(templates, k):
+                place = np.flatnonzero(use)
+                h = every[place] ^ K.U(k)
+                at = np.searchsorted(self.distinct, h)
+                at[at == len(self.distinct)] = 0
+                for x in np.flatnonzero(self.distinct[at] == h):
+                    p = place[x]
+                    text = int(np.searchsorted(first, p, "right")) - 1
+                    if p + k > first[text + 1]:
+                        continue
+                    for j in range(np.searchsorted(self.hash, h[x], "left"), np.searchsorted(self.hash, h[x], "right")):
+                        i = int(self.item[j])
+                        hits.setdefault(text, {}).setdefault(i, {}).setdefault(int(p - self.at[j]), set()).add(int(self.at[j]))
         out: dict[int, list[tuple]] = {}
         for text, items in hits.items():
             for i, lines in items.items():
@@ -138,7 +163,7 @@ class Items:
                         out.setdefault(text, []).append((int(self.ids[i]), matched, int(self.n_windows[i]), slots, changed))
         return {t: sorted(m) for t, m in out.items()}
 
-    def _consistent(self, i: int, lines: dict[int, list], value, min_run: int | None):
+    def _consistent(self, i: int, lines: dict[int, set], value, min_run: int | None):
         """Distinct windows of item ``i`` matched on alignments whose slots agree
         both ways; the slots filled and those with another value; the words of
         the longest run. With ``min_run``, an alignment with a conflict counts
@@ -148,7 +173,7 @@ class Items:
         slots = changed = longest = 0
         for shift, ats in sorted(lines.items(), key=lambda x: (-len(x[1]), x[0])):
             words = sorted({a + x for a in ats for x in range(k)})
-            pairs = {w: (int(self.value[s + w]), int(value[shift + w])) for w in words if self.slot[s + w]}
+            pairs = {w: (x, y) for w in words if (x := int(self.value[s + w])) != (y := int(value[shift + w])) or self.slot[s + w]}
             there = _mapping(pairs.values())
             if there is not None or min_run:
                 first, end = _longest_run(words, pairs)

@@ -116,3 +116,15 @@ def test_longest_run_against_brute_force():
                    and M._mapping([pairs[w] for w in range(a, b) if w in pairs]) is not None)
         first, end = M._longest_run(words, pairs)
         assert (end - first, -first) == best
+
+
+def test_names_that_begin_a_sentence_and_other_case(docs, bench):
+    sold = "Natalia sold 48 clips to friends in April. Natalia sold half as many clips in May"
+    mid = "yesterday our neighbour Martin walked 12 miles to see his old friend Julia in the city"
+    who = "Who wrote the first of these books"
+    quoted = 'he said "Martin has 5 dogs" to her'
+    rows = [(1, sold.replace("Natalia", "Pedro").replace("48", "50")), (2, mid.lower()), (3, mid.upper()), (4, f"this is the question {who} and more"),
+            (5, quoted.replace("Martin", "Julia").replace("5", "7")), (6, f"so {sold.lower()}"), (7, "John and Mary. Then Paul"), (8, "Pedro bought 48 clips")]
+    got = found(docs(*rows), bench((1, sold), (2, mid), (3, who), (4, quoted), (5, "Anna and Rome. Who Knows")))
+    assert {d: [m[0] for m in v] for d, v in got.items()} == {1: [1], 2: [2], 3: [2], 4: [3], 5: [4], 6: [1], 7: [], 8: []}
+    assert got[1][0][1] == got[1][0][2] and got[1][0][3] == 2 and got[2][0][3] == got[3][0][3] == got[6][0][3] == 0
