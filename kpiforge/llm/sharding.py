@@ -2,8 +2,9 @@
 
 Linked documents move, round by round, to the shard where most of their
 neighbours are, as far as that shard has room; then a rank over all documents
-makes the sizes exact: what a shard holds beyond its quota, and documents
-without links, fill the shards with room."""
+makes the sizes exact: what a shard holds beyond its quota, groups of equal
+texts that found no common shard, and documents without links, fill the shards
+with room, group by group."""
 
 from __future__ import annotations
 
@@ -66,6 +67,18 @@ def propagate_labels(members: DataFrame, n_shards: int, capacity: int, rounds: i
     return labels
 
 
+def _together(placed: DataFrame, capacity: int) -> DataFrame:
+    """The (hub, label, large) at which rows of equal texts stay: the one label of a
+    group that has one, the most frequent ones, as many as it needs, of a group
+    beyond ``capacity``, none of a group that is split without need."""
+    tops = (placed.where("label is not null").groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("hub").agg(F.sum("n").alias("size"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "label"))).alias("ranked")))
+    labels = (F.when(F.col("size") > capacity, F.slice("ranked", 1, F.ceil(F.col("size") / capacity).cast("int")))
+              .when(F.size("ranked") == 1, F.col("ranked")).otherwise(F.slice("ranked", 1, 0)))
+    return stored(tops.select("hub", (F.col("size") > capacity).alias("large"), F.explode(labels).alias("v"))
+                  .select("hub", "large", F.col("v.label").alias("label")), "together")
+
+
 def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None = None, rounds: int = ROUNDS,
                     source: str | None = None, weights: dict | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of
@@ -74,7 +87,8 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
 
     Documents with equal texts are linked, and so are the documents of a row of
     ``links(a, b)``, if given. As many as the quotas allow come to one shard; a
-    group larger than a shard fills several.
+    group larger than a shard fills several. Of the others, only those that lie
+    across the end of a shard's quota or room are split: fewer than 2 a shard.
 
     With ``source``, a column of ``docs``, the slots of each shard run in the mix
     of its sources to the target ``weights`` (see :func:`kpiforge.llm.mixing.mixed`).
@@ -98,8 +112,11 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
     members = stored(members.join(linked_hubs, "hub").select("row", "hub"), "members")
     capacity = max(1, total // n_shards)
     labels = propagate_labels(members, n_shards, capacity, rounds)
-    placed = base.join(labels, "row", "left").withColumn("label", F.coalesce("label", F.lit(n_shards)))
-    placed = global_rank(placed, [F.col("label"), F.col("hub"), F.col("doc_id"), F.col("row")], "rank")
+    placed = stored(base.join(labels, "row", "left"), "labelled")
+    placed = (placed.join(_together(placed, capacity).withColumn("_together", F.lit(True)), ["hub", "label"], "left")
+              .withColumn("label", F.when(F.col("_together"), F.col("label")).otherwise(F.lit(n_shards))))
+    # a group beyond a shard keeps its shards; what gives way there moves as whole groups
+    placed = global_rank(placed, [F.col("label"), F.coalesce("large", F.lit(False)).desc(), F.col("hub"), F.col("doc_id"), F.col("row")], "rank")
     held = [0] * (n_shards + 1)
     for r in placed.groupBy("label").count().collect():
         held[r["label"]] = r["count"]

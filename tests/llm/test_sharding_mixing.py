@@ -166,3 +166,13 @@ def test_zero_weights_come_last_and_bad_ones_fail():
     assert [r[0] for r in mixing.schedule([2, 2, 1], [1, 0, 0])] == [0, 0, 1, 2, 1]
     with pytest.raises(ValueError):
         list(mixing.schedule([1, 1], [1, -1]))
+
+
+def test_small_groups_stay_whole_beside_a_hot_group(spark):
+    rows = spark.range(12_000).selectExpr("id doc_id", "if(id < 4000, 'the same text', concat('text ', id div 4)) text")
+    got = sharding.balanced_shards(rows, 24).collect()
+    check_rows_law(got, 24, 12_000)
+    groups = defaultdict(set)
+    for r in got:
+        groups[r.doc_id // 4 if r.doc_id >= 4000 else -1].add(r.shard)
+    assert sum(len(v) > 1 for g, v in groups.items() if g >= 0) < 2 * 24
