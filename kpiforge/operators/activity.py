@@ -10,10 +10,11 @@ Scale notes
   window (first month, previous active month) is bounded by the calendar.
 * Incremental runs filter the feeds on the raw timestamps (pushed into the
   Parquet scan) instead of on ``trunc(date(ts))``.
-* The target is month-partitioned; an upsert rewrites only the partitions
-  of the months it touches (dynamic partition overwrite) from a staged copy
-  written to the shared checkpoint folder, so the job never reads and
-  overwrites the same files, and a re-run is idempotent.
+* The target is month-partitioned. A full build publishes a new version of it
+  by swapping a pointer. An upsert appends: it reads only the partitions of
+  the months it brings and of the months before these, and takes the first
+  month of a customer from a small index beside the data, not from the
+  history. Re-runs are idempotent.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from kpiforge.functions.predicates import as_timestamp
 from kpiforge.session import ensure_checkpoint_dir
+from kpiforge.sources import published
 
 KEY = "customer_uid"
 MONTH = "year_month"
@@ -99,11 +102,17 @@ def new_activity_keys(feed: DataFrame, second_feed: DataFrame, target: DataFrame
     """I3 + I4: months after the previous month that the target lacks.
 
     match="keys" (default, the unique key of the model): anti join on
-    (customer, month), NULL-safe on the customer so re-runs are idempotent. match="month" reproduces the reference's NOT EXISTS,
-    whose unqualified ``customer_uid`` binds to the target itself: any target
-    row with a customer in that month blocks every customer of the month.
+    (customer, month), NULL-safe on the customer so re-runs are idempotent.
+    match="as_written" is the reference's correlated NOT EXISTS, whose unqualified
+    ``customer_uid`` binds to the target itself (L6): any target row with a
+    customer in that month blocks every customer of the month. match="month"
+    is the same condition as a join.
     """
     months = activity_months(feed, second_feed, since=first_incremental_month(as_of))
+    if match == "as_written":
+        same_month = F.col(f"t.{MONTH}") == F.col(f"m.{MONTH}").outer()
+        captured = F.col(f"t.{KEY}") == F.col(f"t.{KEY}")
+        return months.alias("m").where(~target.alias("t").where(same_month & captured).exists())
     if match == "month":
         blocked = target.filter(F.col(KEY).isNotNull()).select(MONTH).distinct()
         return months.join(blocked, MONTH, "left_anti")
@@ -137,16 +146,42 @@ def _clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", MONTH).sortWithinPartitions(MONTH, KEY)
 
 
+TARGET_SCHEMA = f"{KEY} bigint, {MONTH} date, {STATUS} string"
+
+#: Folder of the first-month index inside a version of the target. Readers of
+#: the data skip names that begin with an underscore.
+FIRST = "_first_month"
+
+
 def write_full(df: DataFrame, path: str) -> None:
-    """Full refresh of the partitioned target."""
-    _clustered(df).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    """Full refresh of the partitioned target: a new version (data and first-month
+    index) is written beside the old one, then the pointer is swapped."""
+    spark = df.sparkSession
+    folder = published.fresh_folder(path)
+    _clustered(df).write.partitionBy(MONTH).parquet(folder)
+    schema = df.schema
+    _first_months(spark.read.schema(schema).parquet(folder)).write.parquet(f"{folder}/{FIRST}")
+    before = published.current(spark, path)
+    published.point(spark, path, {"folder": folder, "schema": schema.json(), "buckets": None, "cluster_by": KEY, "partition_by": [MONTH],
+                                  "schema_version": (before or {}).get("schema_version", 0) + 1})
+
+
+def _first_months(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.min(MONTH).alias("first_month"))
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TARGET_SCHEMA).parquet(path).select(KEY, MONTH, STATUS)
+    """The target with all columns it has gained so far; months written before a
+    column was added show NULL in it."""
+    return published.read(spark, path)
 
 
-TARGET_SCHEMA = f"{KEY} bigint, {MONTH} date, {STATUS} string"
+def first_months(spark: SparkSession, path: str) -> DataFrame:
+    """(customer, first month) of the target. Late months of known customers are
+    further rows of the index, so the least counts."""
+    folder = published.current(spark, path)["folder"]
+    index = spark.read.schema(f"{KEY} bigint, first_month date").parquet(f"{folder}/{FIRST}")
+    return index.groupBy(KEY).agg(F.min("first_month").alias("first_month"))
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -168,39 +203,96 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def ensure_target(spark: SparkSession, path: str) -> None:
     """Create an empty partitioned target if ``path`` holds none yet."""
-    if not path_exists(spark, path):
+    if published.current(spark, path) is None:
         write_full(spark.createDataFrame([], TARGET_SCHEMA), path)
 
 
+def touched(target: DataFrame, months: list[dt.date]) -> DataFrame:
+    """The target's partitions of these months: a partition filter, so no other file is listed or read."""
+    return target.where(F.col(MONTH).isin(months))
+
+
+def new_rows(months: DataFrame, batch_months: list[dt.date], target: DataFrame, first: DataFrame) -> DataFrame:
+    """The (customer, month) pairs of ``months`` that the target lacks, with their
+    status. Only the target's partitions of ``batch_months`` and of the months
+    before these are read; ``first`` holds each customer's first month so far."""
+    before = [(m - dt.timedelta(days=1)).replace(day=1) for m in batch_months]
+    have = touched(target, batch_months).select(F.col(KEY).alias("_tk"), F.col(MONTH).alias("_tm"))
+    cond = F.col(KEY).eqNullSafe(F.col("_tk")) & (F.col(MONTH) == F.col("_tm"))
+    new_keys = months.select(KEY, MONTH).distinct().join(have, cond, "left_anti")
+    known = touched(target, sorted({*batch_months, *before})).select(KEY, MONTH)
+    prev = (known.unionByName(new_keys).where(F.col(KEY).isNotNull())
+            .select(F.col(KEY).alias("_pk"), F.add_months(F.col(MONTH), 1).alias("_pm")).distinct())
+    firsts = (first.toDF("_fk", "_fm").unionByName(_first_months(new_keys).toDF("_fk", "_fm"))
+              .groupBy("_fk").agg(F.min("_fm").alias("_fm")))
+    j = (new_keys.join(firsts, F.col(KEY) == F.col("_fk"), "left")
+         .join(prev, (F.col(KEY) == F.col("_pk")) & (F.col(MONTH) == F.col("_pm")), "left"))
+    return j.select(KEY, MONTH, status_expr(F.col("_fm"), F.col("_pk").isNotNull(), F.col(MONTH), F.col(KEY).isNotNull()).alias(STATUS))
+
+
 def upsert_months(spark: SparkSession, months: DataFrame, path: str, staging_root: str | None = None) -> int:
     """I5 core: insert the (customer, month) pairs the target lacks, with
-    their status.
-
-    Returns the number of new rows. Steps: (1) new keys via a NULL-safe anti
-    join, classified against the target's history, are staged in the shared
-    checkpoint folder, which cuts the lineage back to the target; (2) they are
-    appended to their month partitions -- existing rows never change, so none
-    is read or written again; (3) the staged copy is deleted. Re-running with
-    the same input inserts nothing (idempotent), also after a run that failed
-    before or after its append was committed.
+    their status. Returns the number of new rows.
+
+    The batch's pairs are staged in the shared checkpoint folder; their distinct
+    months (a handful: the calendar bounds them) become the partition filter of
+    the target. The new rows are staged too, which cuts the lineage back to the
+    target, then appended: first to the first-month index, then to the data --
+    existing rows never change, so none is written again. Re-running with the
+    same input inserts nothing, also after a run that failed in between: an index
+    row without its data row gives the same status when the data row comes.
     """
-    target = spark.read.schema(TARGET_SCHEMA).parquet(path)
-    t = target.select(F.col(KEY).alias("_tk"), F.col(MONTH).alias("_tm"))
-    cond = F.col(KEY).eqNullSafe(F.col("_tk")) & (F.col(MONTH) == F.col("_tm"))
-    new_keys = months.select(KEY, MONTH).distinct().join(t, cond, "left_anti")
-    new_rows = classify_increment(new_keys, target)
     staging_root = staging_root or ensure_checkpoint_dir(spark)
     stage = f"{staging_root.rstrip('/')}/kpiforge-staging/{uuid.uuid4().hex}"
-    new_rows.write.mode("overwrite").parquet(stage)
-    staged_new = spark.read.parquet(stage)
-    n_new = staged_new.count()
-    if n_new:
-        _clustered(staged_new.select(KEY, MONTH, STATUS)).write.mode("append").partitionBy(MONTH).parquet(path)
+    months.select(KEY, MONTH).distinct().write.parquet(f"{stage}/pairs")
+    pairs = spark.read.schema(f"{KEY} bigint, {MONTH} date").parquet(f"{stage}/pairs")
+    batch_months = sorted(r[0] for r in pairs.select(MONTH).distinct().collect())
+    n_new = 0
+    if batch_months:
+        record = published.current(spark, path)
+        rows = new_rows(pairs, batch_months, read_target(spark, path), first_months(spark, path))
+        rows.write.parquet(f"{stage}/rows")
+        staged = spark.read.schema(TARGET_SCHEMA).parquet(f"{stage}/rows")
+        n_new = staged.count()
+        if n_new:
+            _first_months(staged).write.mode("append").parquet(f"{record['folder']}/{FIRST}")
+            _clustered(staged).write.mode("append").partitionBy(MONTH).parquet(record["folder"])
     p, fs = _hadoop_path(spark, stage)
     fs.delete(p, True)
     return n_new
 
 
+def append_evolving(spark: SparkSession, rows: DataFrame, path: str, on_schema_change: str = "append_new_columns") -> list[str]:
+    """I8 on the stored target: append ``rows``, which may bring columns the target
+    does not have yet. Returns the names of the columns added.
+
+    ``append_new_columns`` (the model's setting) adds them: the pointer's schema
+    and schema version change once the rows are in; older files show NULL.
+    ``ignore`` drops them, ``fail`` refuses them. A column of another type than
+    the target's is refused always. Columns that ``rows`` lacks are NULL."""
+    record = published.current(spark, path)
+    have = read_target(spark, path).schema
+    known = dict(read_target(spark, path).dtypes)
+    changed = [name for name, kind in rows.dtypes if known.get(name, kind) != kind]
+    if changed:
+        raise ValueError(f"columns of another type than the target's: {changed}")
+    added = [f for f in rows.schema.fields if f.name not in known]
+    if added and on_schema_change == "fail":
+        raise ValueError(f"columns that the target does not have: {[f.name for f in added]}")
+    if on_schema_change not in ("append_new_columns", "ignore", "fail"):
+        raise ValueError(f"unknown on_schema_change {on_schema_change!r}")
+    if on_schema_change == "ignore":
+        added = []
+    full = [*have.fields, *added]
+    out = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in full])
+    _first_months(out).write.mode("append").parquet(f"{record['folder']}/{FIRST}")
+    _clustered(out).write.mode("append").partitionBy(MONTH).parquet(record["folder"])
+    if added:
+        published.point(spark, path, {**record, "schema": StructType([StructField(f.name, f.dataType) for f in full]).json(),
+                                      "schema_version": record["schema_version"] + 1})
+    return [f.name for f in added]
+
+
 def upsert_increment(spark: SparkSession, feed: DataFrame, second_feed: DataFrame | None,
                      path: str, as_of, staging_root: str | None = None) -> int:
     """I5 as the reference schedules it: only months from the as-of month on

@@ -4,8 +4,9 @@ A :class:`Contract` is a list of typed columns with tests. :func:`check`
 compares a DataFrame with it and runs the data tests in ONE aggregation pass
 (``count_if(col IS NULL)`` per not_null column, ``count - count(distinct)``
 per unique column), returning a per-column report instead of raising;
-:func:`enforce` casts to the declared types (values that do not fit become
-NULL and are reported) and raises only when ``strict``.
+:func:`enforce` casts to the declared types and fails on a value that does
+not fit; :func:`write_gate` splits the rows into a target and a quarantine in
+one pass and counts both while it writes.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kpiforge.sources import published
+
 # Declared type names -> Spark types. BIGNUMERIC (76,38) has no Spark
 # equivalent; decimal(38,18) keeps the integer range of NUMERIC and values
 # beyond it become NULL (reported as cast failures).
@@ -251,3 +254,61 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
             .filter(F.col("n_rows") > 1))
+
+
+# --------------------------------------------------------------------------
+# Write gate: the enforced contract of a table, at the moment of writing.
+# --------------------------------------------------------------------------
+GATE = "gate"
+
+
+def violations(df: DataFrame, contract: Contract):
+    """An array column with one ``column:rule`` entry per value of the row that
+    breaks the contract: ``type`` for a value the declared type cannot hold,
+    ``not_null`` for a missing one."""
+    actual = dict(df.dtypes)
+    found = []
+    for c in contract.columns:
+        if c.name in actual and actual[c.name] != spark_type(c.data_type):
+            found.append(F.when(_lost(c), F.lit(f"{c.name}:type")))
+        if "not_null" in c.tests:
+            missing = F.col(c.name).isNull() if c.name in actual else F.lit(True)
+            found.append(F.when(missing, F.lit(f"{c.name}:not_null")))
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
+def gated(df: DataFrame, contract: Contract) -> DataFrame:
+    """``df`` cast to the contract, with the column ``violations``; values that do
+    not fit are NULL, their rows are the ones with a violation."""
+    return enforce(df.withColumn("violations", violations(df, contract)), contract, on_loss="null")
+
+
+def write_gate(df: DataFrame, contract: Contract, path: str) -> dict[str, int]:
+    """Write ``df`` under its contract: rows without a violation to the target,
+    the others to the quarantine, both published together by one pointer swap.
+
+    One pass over ``df``; the rows and the violations of each rule are counted
+    while they pass (``DataFrame.observe``). Returns these counts: ``rows``,
+    ``quarantined`` and one per ``column:rule`` that occurred."""
+    from pyspark.sql import Observation
+
+    rules = [f"{c.name}:{rule}" for c in contract.columns for rule in ("type", "not_null")]
+    seen = Observation()
+    rows = gated(df, contract).withColumn(GATE, F.when(F.size("violations") > 0, "quarantine").otherwise("target"))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size("violations") > 0).alias("quarantined"),
+                        *[F.count_if(F.array_contains("violations", r)).alias(r) for r in rules])
+    folder = published.fresh_folder(path)
+    rows.write.partitionBy(GATE).parquet(folder)
+    published.point(df.sparkSession, path, {"folder": folder, "schema": rows.schema.json(), "buckets": None, "cluster_by": None,
+                                            "partition_by": [GATE], "schema_version": 1})
+    return {k: v for k, v in seen.get.items() if v or k in ("rows", "quarantined")}
+
+
+def gate_target(spark, path: str) -> DataFrame:
+    """The rows that passed the gate, in the contract's types."""
+    return published.read(spark, path).where(F.col(GATE) == "target").drop(GATE, "violations")
+
+
+def gate_quarantine(spark, path: str) -> DataFrame:
+    """The rows that did not, with their ``violations``."""
+    return published.read(spark, path).where(F.col(GATE) == "quarantine").drop(GATE)

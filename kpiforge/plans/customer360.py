@@ -17,6 +17,8 @@ column is the ``as_of`` instant, so a rebuild is reproducible.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ from kpiforge.operators import campaigns as CA
 from kpiforge.operators import customer as CU
 from kpiforge.operators import engagement as EN
 from kpiforge.operators import settlement as ST
+from kpiforge.sources import published
 from kpiforge.sources.domain import Domain
 
 KEY = "customer_uid"
@@ -67,30 +70,81 @@ def _yes_no(name: str):
     return label(F.col(name), "yes", "no").alias(name)
 
 
-def kpi_initial(d: Domain, as_of) -> DataFrame:
+def _customer_dim(d: Domain, as_of, as_of_events) -> DataFrame:
+    """The customer dimension with its classification and the class's name."""
+    manual = d.classification.select("customer_id", "classification_id", "manually_classified")
+    return d.customers.join(manual, "customer_id", "left").join(d.classification_ref, "classification_id", "left")
+
+
+def _stakes(d: Domain, as_of, as_of_events) -> DataFrame:
+    return d.sportsbook_stats.select(KEY, F.col("first_betslip_stake").cast("double").alias("first_sports_bet_amount"),
+                                     F.col("last_betslip_stake").cast("double").alias("last_sports_bet_amount"),
+                                     F.col("totalaveragecombi").alias("average_combination_length"))
+
+
+def _segments(d: Domain, as_of, as_of_events) -> DataFrame:
+    return d.segmentation.select(KEY, *CU.SEGMENT_SCORES,
+                                 F.col("lifetime_handle").cast("double").alias("lifetime_handle"),
+                                 F.col("daily_active_handle").cast("double").alias("daily_active_handle"),
+                                 "lifetime_bets")
+
+
+def _deposit_kinds(d: Domain) -> DataFrame:
+    return BO.promo_kind(d.bonuses, d.campaigns)
+
+
+#: The inputs of the three stars by name, each a function of (domain, bet clock,
+#: event clock) with one row per customer.
+INPUTS = {
+    "customer_dim": _customer_dim,
+    "stakes": _stakes,
+    "segments": _segments,
+    "margins": lambda d, as_of, ev: CU.theoretical_margin(d.rating),
+    "dim_totals": lambda d, as_of, ev: B.totals_by_dim_key(d.bets, d.customers),
+    "sessions": lambda d, as_of, ev: EN.session_metrics(d.sessions),
+    "mission_counts": lambda d, as_of, ev: EN.mission_counts(d.missions),
+    "missions": lambda d, as_of, ev: EN.mission_metrics(d.missions, ev),
+    # lifetime and 30-day measures and the league list share their passes over the bets
+    "bet_measures": lambda d, as_of, ev: B.customer_measures(B.valid_bets(d.bets), as_of, B.LIFETIME_AND_L30 + ["league_list"]),
+    "settled_bets": lambda d, as_of, ev: ST.settled_counts(d.slips, d.slip_bets, d.bet_map, d.combinations),
+    "balance": lambda d, as_of, ev: ST.latest_balance(d.wallets, d.balances),
+    "latest_campaign": lambda d, as_of, ev: CA.latest_campaign(d.bonus_activity),
+    "enrolled": lambda d, as_of, ev: CA.enrolled_list(d.bonus_activity, ev),
+    "predicted": lambda d, as_of, ev: EN.relative_lift_table(d.predictions),
+    "availability": lambda d, as_of, ev: BO.bonus_availability(d.bonuses),
+    "common_kind": lambda d, as_of, ev: BO.rarest_promo_kind(_deposit_kinds(d)).select(
+        KEY, F.col("bonus_type").alias("most_common_bonus_type")),
+    "recent_kind": lambda d, as_of, ev: BO.latest_promo_kind(_deposit_kinds(d)).select(
+        KEY, F.col("bonus_type").alias("most_recent_bonus_type"), F.col("campaign_name").alias("most_recent_campaign_name")),
+    "test_players": lambda d, as_of, ev: CU.test_players(d.customers).select(KEY),
+    "customer_base": lambda d, as_of, ev: CU.customer_base(d.customers, d.classification, d.segmentation),
+    # one pass over the bets: summary, parlay flags, league list, bet side of the product
+    "bet_rollup": lambda d, as_of, ev: B.batches_rollup(d.bets, as_of),
+    # one pass over the bonuses: availability labels and the bonus side of the product
+    "bonus_rollup": lambda d, as_of, ev: BO.bonus_rollup(d.bonuses, as_of),
+    "product_kinds": lambda d, as_of, ev: BO.fanout_promo_kinds(d.bets, d.bonuses, d.campaigns),
+}
+
+Inputs = Callable[[str], DataFrame]
+
+
+def direct_inputs(d: Domain, as_of, as_of_events=None) -> Inputs:
+    """Inputs computed where they are used."""
+    events = as_of if as_of_events is None else as_of_events
+    return lambda name: INPUTS[name](d, as_of, events)
+
+
+def kpi_initial(d: Domain, as_of, inputs: Inputs | None = None) -> DataFrame:
     """The first, 8-join customer table."""
-    dc = d.customers
-    tm = CU.theoretical_margin(d.rating)
-    ngr = B.totals_by_dim_key(d.bets, dc)
-    cs = EN.session_metrics(d.sessions)
-    ms = EN.mission_counts(d.missions)
-    fcc = d.classification.select("customer_id", "classification_id", "manually_classified")
-    ss = d.sportsbook_stats.select(KEY, F.col("first_betslip_stake").cast("double").alias("first_sports_bet_amount"),
-                                   F.col("last_betslip_stake").cast("double").alias("last_sports_bet_amount"),
-                                   F.col("totalaveragecombi").alias("average_combination_length"))
-    msm = d.segmentation.select(KEY, *CU.SEGMENT_SCORES,
-                                F.col("lifetime_handle").cast("double").alias("lifetime_handle"),
-                                F.col("daily_active_handle").cast("double").alias("daily_active_handle"),
-                                "lifetime_bets")
-
-    j = (dc.join(fcc, "customer_id", "left")
-         .join(d.classification_ref, "classification_id", "left"))
-    j = _left(j, ss, "_ss")
-    j = _left(j, tm, "_tm")
-    j = j.join(ngr, "customer_id", "left")
-    j = _left(j, msm, "_msm")
-    j = _left(j, cs, "_cs")
-    j = _left(j, ms, "_ms")
+    get = inputs or direct_inputs(d, as_of)
+    totals = get("dim_totals")
+    j = get("customer_dim")
+    j = _left(j, get("stakes"), "_stakes")
+    j = _left(j, get("margins"), "_margins")
+    j = _left(j, totals, "_totals") if KEY in totals.columns else j.join(totals, "customer_id", "left")
+    j = _left(j, get("segments"), "_segments")
+    j = _left(j, get("sessions"), "_sessions")
+    j = _left(j, get("mission_counts"), "_missions")
     return j.select(
         "customer_id", KEY, "alias",
         F.coalesce("classification_name", "punter_category_current").alias("classification_name_current"),
@@ -109,60 +163,27 @@ def kpi_initial(d: Domain, as_of) -> DataFrame:
         F.coalesce("completed_mission_count", F.lit(0)).alias("completed_mission_count"))
 
 
-def _combined_parts(d: Domain, as_of, as_of_events):
-    """Customer-grain inputs of the combined build."""
-    vb = B.valid_bets(d.bets)
-    # lifetime/30-day KPIs and the league list share one pass over the bets
-    lt = B.customer_measures(vb, as_of, B.LIFETIME_AND_L30 + ["league_list"])
-    kinds = BO.promo_kind(d.bonuses, d.campaigns)
-    return {
-        "lt": lt,
-        "tm": CU.theoretical_margin(d.rating),
-        "cs": EN.session_metrics(d.sessions),
-        "m": EN.mission_metrics(d.missions, as_of_events),
-        "sbc": ST.settled_counts(d.slips, d.slip_bets, d.bet_map, d.combinations),
-        "ccwb": ST.latest_balance(d.wallets, d.balances),
-        "mrac": CA.latest_campaign(d.bonus_activity),
-        "ebc": CA.enrolled_list(d.bonus_activity, as_of_events),
-        "pr": EN.relative_lift_table(d.predictions),
-        "abb": BO.bonus_availability(d.bonuses),
-        "mcbt": BO.rarest_promo_kind(kinds).select(KEY, F.col("bonus_type").alias("most_common_bonus_type")),
-        "mrt": BO.latest_promo_kind(kinds).select(
-            KEY, F.col("bonus_type").alias("most_recent_bonus_type"),
-            F.col("campaign_name").alias("most_recent_campaign_name")),
-        "gta": CU.test_players(d.customers).select(KEY),
-    }
-
-
-def kpi_combined(d: Domain, as_of, as_of_events=None) -> DataFrame:
+def kpi_combined(d: Domain, as_of, as_of_events=None, inputs: Inputs | None = None, unique: bool = False) -> DataFrame:
     """The combined customer table (19 left joins, DISTINCT).
 
     ``as_of`` is the clock of the bet measures; ``as_of_events`` (default
-    ``as_of``) the clock of the mission / campaign look-backs.
+    ``as_of``) the clock of the mission / campaign look-backs. ``unique`` says that
+    every input is known to have one row per key; then the DISTINCT is a no-op
+    and left out.
     """
-    as_of_events = as_of if as_of_events is None else as_of_events
-    p = _combined_parts(d, as_of, as_of_events)
-    dc = d.customers
-    fcc = d.classification.select("customer_id", "classification_id", "manually_classified")
-    ss = d.sportsbook_stats.select(KEY, F.col("first_betslip_stake").cast("double").alias("first_sports_bet_amount"),
-                                   F.col("last_betslip_stake").cast("double").alias("last_sports_bet_amount"),
-                                   F.col("totalaveragecombi").alias("average_combination_length"))
-    msm = d.segmentation.select(KEY, *CU.SEGMENT_SCORES,
-                                F.col("lifetime_handle").cast("double").alias("lifetime_handle"),
-                                F.col("daily_active_handle").cast("double").alias("daily_active_handle"))
-
-    j = (dc.join(fcc, "customer_id", "left")
-         .join(d.classification_ref, "classification_id", "left"))
-    j = _left(j, ss, "_ss")
-    j = _left(j, p["tm"], "_tm")
-    j = _left(j, msm, "_msm")
-    j = _left(j, p["cs"], "_cs")
-    j = _left(j, p["m"], "_m")
-    # From here on the reference joins on msm.customer_uid (J3): an unscored
-    # customer loses every later KPI. Same rows: base key + "msm matched".
-    via = F.col("_msm").isNotNull()
-    for name in ("sbc", "ccwb", "mrac", "ebc", "pr", "abb", "mcbt", "mrt", "lt", "gta"):
-        j = _left(j, p[name], f"_{name}", via)
+    get = inputs or direct_inputs(d, as_of, as_of_events)
+    j = get("customer_dim")
+    j = _left(j, get("stakes"), "_stakes")
+    j = _left(j, get("margins"), "_margins")
+    j = _left(j, get("segments").drop("lifetime_bets"), "_segments")
+    j = _left(j, get("sessions"), "_sessions")
+    j = _left(j, get("missions"), "_missions")
+    # From here on the reference joins on the segmentation's key (J3): an unscored
+    # customer loses every later KPI. Same rows: base key + "segmentation matched".
+    via = F.col("_segments").isNotNull()
+    for name in ("settled_bets", "balance", "latest_campaign", "enrolled", "predicted", "availability",
+                 "common_kind", "recent_kind", "bet_measures", "test_players"):
+        j = _left(j, get(name), f"_{name}", via)
 
     classification = F.coalesce("classification_name", "punter_category_current")
     out = j.select(
@@ -177,7 +198,7 @@ def kpi_combined(d: Domain, as_of, as_of_events=None) -> DataFrame:
         "tiger_l30_missions_completed",
         F.coalesce("bonus_wallet_balance", F.lit(0.0)).alias("bonus_wallet_balance"),
         F.coalesce("settled_bet_count", F.lit(0)).alias("settled_bet_count"),
-        F.col("_mrac").isNotNull().alias("is_bonus_campaign_enrolled"),
+        F.col("_latest_campaign").isNotNull().alias("is_bonus_campaign_enrolled"),
         "most_recent_active_campaign_id", "enrolled_bonus_campaigns",
         "pred_real_money_active_days_next30_bonus_0", "pred_real_money_active_days_next30_bonus_1",
         "pred_active_days_next30_bonus_lift", "predicted_revenue_next_30",
@@ -198,7 +219,7 @@ def kpi_combined(d: Domain, as_of, as_of_events=None) -> DataFrame:
         F.col("registration_date").alias("tiger_registration_date"),
         F.col("created").alias("lv_registration_date"),
         "etl_created", "etl_modified", "acquisition_channel",
-        F.col("_gta").isNotNull().alias("test_account_flag"),
+        F.col("_test_players").isNotNull().alias("test_account_flag"),
         *DIM_PASSTHROUGH, "alias",
         *CU.SEGMENT_SCORES,
         "manually_classified", "ftd_date", F.col("ftd_date").isNotNull().alias("deposited"),
@@ -207,46 +228,36 @@ def kpi_combined(d: Domain, as_of, as_of_events=None) -> DataFrame:
         "tiger_lifetime_missions_completed",
         CU.do_not_bonus(classification).alias("do_not_bonus"),
         as_timestamp(as_of).cast("timestamp").alias("data_update_time"))
-    return out.distinct()
+    return out if unique else out.distinct()
 
 
-def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None = None) -> DataFrame:
+def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None = None, inputs: Inputs | None = None,
+                unique: bool = False) -> DataFrame:
     """The batches customer table. Reads the initial table (built here
     when not given) and joins its later inputs on the initial table's key.
 
     Its lifetime/30-day measures come from the bets x bonuses product and its
     bonus kinds from the bet's campaign -- both computed without producing
-    the product (see :mod:`kpiforge.operators.bonus`).
+    the product (see :mod:`kpiforge.operators.bonus`). ``unique`` as in
+    :func:`kpi_combined`.
     """
-    as_of_events = as_of if as_of_events is None else as_of_events
-    kpi = initial if initial is not None else kpi_initial(d, as_of)
-    c = CU.customer_base(d.customers, d.classification, d.segmentation)
-    # One pass over the bets: summary, parlay flags, league list, fan-out bet side.
-    roll = B.batches_rollup(d.bets, as_of)
-    sbc = ST.settled_counts(d.slips, d.slip_bets, d.bet_map, d.combinations)
-    ccwb = ST.latest_balance(d.wallets, d.balances)
-    mrac = CA.latest_campaign(d.bonus_activity)
-    ebc = CA.enrolled_list(d.bonus_activity, as_of_events)
-    pr = EN.relative_lift_table(d.predictions)
-    ms = EN.mission_metrics(d.missions, as_of_events).drop("active_mission_count", "completed_mission_count")
-    # one pass over the bonuses: availability labels + fan-out bonus side
-    bonus = BO.bonus_rollup(d.bonuses, as_of)
-    kinds = BO.fanout_promo_kinds(d.bets, d.bonuses, d.campaigns)
-    gta = CU.test_players(d.customers).select(KEY)
+    get = inputs or direct_inputs(d, as_of, as_of_events)
+    kpi = initial if initial is not None else kpi_initial(d, as_of, inputs)
     kpi_cols = kpi.select(KEY, "created", "age_group", "ftd_date", "classification_name_current",
                           *BATCHES_PASSTHROUGH)
-
-    j = c
-    for name, df in (("roll", roll), ("sbc", sbc), ("ccwb", ccwb), ("mrac", mrac), ("ebc", ebc)):
-        j = _left(j, df, f"_{name}")
+    j = get("customer_base")
+    for name in ("bet_rollup", "settled_bets", "balance", "latest_campaign", "enrolled"):
+        j = _left(j, get(name), f"_{name}")
     j = _left(j, kpi_cols, "_kpi")
-    for name, df in (("pr", pr), ("ms", ms), ("bonus", bonus), ("kinds", kinds)):
+    missions = get("missions").drop("active_mission_count", "completed_mission_count")
+    for name, df in (("predicted", get("predicted")), ("missions", missions), ("bonus_rollup", get("bonus_rollup")),
+                     ("product_kinds", get("product_kinds"))):
         j = _left(j, df, f"_{name}")
     # The reference joins the lifetime/30-day, parlay, league and test inputs
     # on kpi.customer_uid (J3): without an initial-table row they are NULL.
     via = F.col("_kpi").isNotNull()
-    j = _left(j, gta, "_gta", via)
-    j = j.select("*", *BO.fanout_columns(via & F.col("_roll").isNotNull()),
+    j = _left(j, get("test_players"), "_test_players", via)
+    j = j.select("*", *BO.fanout_columns(via & F.col("_bet_rollup").isNotNull()),
                  F.when(via, F.col("placed_a_parlay_bet")).alias("_parlay"),
                  F.when(via, F.col("bet_sports")).alias("_sports"),
                  F.when(via, F.col("league_list")).alias("_leagues"))
@@ -263,7 +274,7 @@ def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None =
         *CU.SEGMENT_SCORES,
         F.coalesce("settled_bet_count", F.lit(0)).alias("settled_bet_count"),
         F.coalesce("bonus_wallet_balance", F.lit(0.0)).alias("bonus_wallet_balance"),
-        F.col("_mrac").isNotNull().alias("is_bonus_campaign_enrolled"),
+        F.col("_latest_campaign").isNotNull().alias("is_bonus_campaign_enrolled"),
         F.col("most_recent_active_campaign_id").alias("most_recent_active_campign_id"),
         "enrolled_bonus_campaigns", F.col("ftd_date").isNotNull().alias("deposited"), "ftd_date",
         "pred_real_money_active_days_next30_bonus_0", "pred_real_money_active_days_next30_bonus_1",
@@ -282,15 +293,21 @@ def kpi_batches(d: Domain, as_of, as_of_events=None, initial: DataFrame | None =
         _yes_no("placed_a_parlay_bet"),
         "classification_name_current", "league_list", *BATCHES_PASSTHROUGH,
         "acquisition_channel",
-        F.col("_gta").isNotNull().alias("test_account_flag"),
+        F.col("_test_players").isNotNull().alias("test_account_flag"),
         as_timestamp(as_of).cast("timestamp").alias("data_update_time"))
-    return out.distinct()
+    return out if unique else out.distinct()
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """``CREATE OR REPLACE TABLE ... AS`` -- full replace of a parquet
-    table, clustered by customer within files."""
-    df.sortWithinPartitions(KEY).write.mode("overwrite").parquet(path)
+    """``CREATE OR REPLACE TABLE ... AS`` -- full replace of a parquet table,
+    range-clustered by customer. The new version is published whole: readers see
+    the old table until it is complete."""
+    published.publish(df.repartitionByRange(KEY), path, cluster_by=KEY)
+
+
+def read_table(spark, path: str) -> DataFrame:
+    """The table that :func:`write_table` last published at ``path``."""
+    return published.read(spark, path)
 
 
 def batches_two_hop(d: Domain, as_of, as_of_events, initial_path: str) -> DataFrame:
@@ -298,5 +315,5 @@ def batches_two_hop(d: Domain, as_of, as_of_events, initial_path: str) -> DataFr
     table, then build the batches table reading the persisted copy (the
     written table also cuts the lineage between the two builds)."""
     write_table(kpi_initial(d, as_of), initial_path)
-    initial = d.tables.spark.read.parquet(initial_path)
+    initial = read_table(d.tables.spark, initial_path)
     return kpi_batches(d, as_of, as_of_events, initial=initial)

@@ -20,11 +20,13 @@ from kpiforge.operators import bonus as BO
 from kpiforge.operators import campaigns as CA
 from kpiforge.operators import contract as CO
 from kpiforge.operators import customer as CU
+from kpiforge.operators import daily as DA
 from kpiforge.operators import engagement as EN
 from kpiforge.operators import leagues as LG
 from kpiforge.operators import reconcile as RE
 from kpiforge.operators import settlement as ST
 from kpiforge.plans import customer360 as K
+from kpiforge.plans.stored_kpi import StoredKpi
 from kpiforge.functions.predicates import as_timestamp
 from kpiforge.session import ensure_checkpoint_dir
 from kpiforge.sources.domain import Domain, customer_versions, events_level
@@ -399,27 +401,20 @@ def q_activity_stream(spark, sf):
 QUERIES["activity_stream"] = q_activity_stream
 
 
-def _kpi_versions(spark, sf):
-    d = _domain(spark, sf)
-    return K.kpi_batches(d, BETS_AS_OF, EVENTS_AS_OF), K.kpi_combined(d, BETS_AS_OF, EVENTS_AS_OF)
+def _stored(spark, sf) -> StoredKpi:
+    return StoredKpi(spark, sf, BETS_AS_OF, EVENTS_AS_OF)
 
 
 def q_reconcile_kpi_columns(spark, sf):
     """The reference's own check: batches vs combined table, mismatching
-    customers per column (over the full outer join of both tables)."""
-    from kpiforge.plans.kpi_pairs import BATCHES_VS_COMBINED, KPI_TOLERANCE
-
-    new, old = _kpi_versions(spark, sf)
-    flags = RE.diff_flags(new, old, "customer_uid", BATCHES_VS_COMBINED, tol=KPI_TOLERANCE)
-    return RE.mismatch_columns(flags, RE.pair_labels(BATCHES_VS_COMBINED))
+    customers per column (over the full outer join of both tables). Both tables
+    and their flags are stored once and read by every key below."""
+    return RE.mismatch_columns(*_stored(spark, sf).batches_flags())
 
 
 def q_reconcile_kpi_rows(spark, sf):
-    from kpiforge.plans.kpi_pairs import BATCHES_VS_COMBINED, KPI_TOLERANCE
-
-    new, old = _kpi_versions(spark, sf)
-    flags = RE.diff_flags(new, old, "customer_uid", BATCHES_VS_COMBINED, tol=KPI_TOLERANCE)
-    return RE.mismatch_rows(flags, "customer_uid", RE.pair_labels(BATCHES_VS_COMBINED))
+    flags, labels = _stored(spark, sf).batches_flags()
+    return RE.mismatch_rows(flags, "customer_uid", labels)
 
 
 QUERIES["reconcile_kpi_columns"] = q_reconcile_kpi_columns
@@ -440,7 +435,8 @@ QUERIES["kpi_batches_two_hop"] = q_kpi_batches_two_hop
 def q_drift_count_kpi(spark, sf):
     """The ad-hoc check on the real tables: combined RIGHT JOIN batches,
     distinct combined customers whose lifetime ggr/handle differs by > 0.1."""
-    new, old = _kpi_versions(spark, sf)
+    stored = _stored(spark, sf)
+    new, old = stored.batches(), stored.combined()
     pred = F.abs(F.col("l.ggr_to_handle_lt") - F.col("r.ggr_to_handle_lt")) > 0.1
     return RE.drift_count(old, new, "customer_uid", pred)
 
@@ -450,7 +446,8 @@ QUERIES["drift_count_kpi"] = q_drift_count_kpi
 
 def q_drift_counts_kpi(spark, sf):
     """Every predicate of the ad-hoc check, over one join of the real tables."""
-    new, old = _kpi_versions(spark, sf)
+    stored = _stored(spark, sf)
+    new, old = stored.batches(), stored.combined()
 
     def unequal(name):
         return F.col(f"l.{name}") != F.col(f"r.{name}")
@@ -484,24 +481,158 @@ def q_last_stake(spark, sf):
 QUERIES["last_stake"] = q_last_stake
 
 
-def _initial_flags(spark, sf):
-    from kpiforge.plans.kpi_pairs import INITIAL_VS_COMBINED
-
-    d = _domain(spark, sf)
-    new, old = K.kpi_initial(d, BETS_AS_OF), K.kpi_combined(d, BETS_AS_OF, EVENTS_AS_OF)
-    return RE.diff_flags(new, old, "customer_uid", INITIAL_VS_COMBINED), RE.pair_labels(INITIAL_VS_COMBINED)
-
-
 def q_reconcile_initial_columns(spark, sf):
     """The other reference check: initial vs combined table, per column."""
-    return RE.mismatch_columns(*_initial_flags(spark, sf))
+    return RE.mismatch_columns(*_stored(spark, sf).initial_flags())
 
 
 def q_reconcile_initial_rows(spark, sf):
     """Initial vs combined table, per customer."""
-    flags, labels = _initial_flags(spark, sf)
+    flags, labels = _stored(spark, sf).initial_flags()
     return RE.mismatch_rows(flags, "customer_uid", labels)
 
 
 QUERIES["reconcile_initial_columns"] = q_reconcile_initial_columns
 QUERIES["reconcile_initial_rows"] = q_reconcile_initial_rows
+
+
+# ---------------------------------------------------------------- stored tables
+def q_bet_fact_stored(spark, sf):
+    b = _stored(spark, sf).bet_fact()
+    return b.select("customer_uid", "src_betslip_uuid", "bet_id", "wager_type", "league", "sport",
+                    _money("handle"), F.col("bonus_total").cast("double").alias("bonus_cost"),
+                    F.to_date("ticket_delivery_date").alias("delivery_date"))
+
+
+def q_lifetime_and_l30_stored(spark, sf):
+    return _stored(spark, sf).bet_measures()
+
+
+def q_kpi_initial_stored(spark, sf):
+    return _stored(spark, sf).initial()
+
+
+def q_kpi_combined_stored(spark, sf):
+    return _stored(spark, sf).combined()
+
+
+def q_kpi_batches_stored(spark, sf):
+    return _stored(spark, sf).batches()
+
+
+def q_lifetime_and_l30_daily(spark, sf):
+    """One load of everything before the last KPI day, one of that day alone,
+    then the roll-up at the clock."""
+    bets = _stored(spark, sf).bet_fact()
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kpiforge-daily/{uuid.uuid4().hex}"
+    last = BETS_AS_OF - dt.timedelta(days=1)
+    DA.load(DA.bets_before(bets, last), root, "history")
+    for day in (last, BETS_AS_OF):
+        DA.load(DA.bets_of_day(bets, day), root, day.isoformat())
+    later = bets.where(F.col("kpi_date") >= as_timestamp(BETS_AS_OF + dt.timedelta(days=1)))
+    DA.load(later, root, "later")
+    return DA.rolled_up(spark, root, BETS_AS_OF)
+
+
+# ---------------------------------------------------------------- activity status as a stored model
+def q_activity_new_keys_as_written(spark, sf):
+    f1, f2 = _feeds(spark, sf)
+    return AC.new_activity_keys(f1, f2, _history_target(spark, sf), BETS_AS_OF, match="as_written")
+
+
+def _activity_path(spark):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/kpiforge-activity/{uuid.uuid4().hex}"
+
+
+def q_build_status_full(spark, sf):
+    path = _activity_path(spark)
+    AC.build_status(spark, *_feeds(spark, sf), path, mode="full")
+    return AC.read_target(spark, path)
+
+
+def q_build_status_incremental(spark, sf):
+    """From an empty target, in two runs of the incremental mode: the first month
+    of the second run lies in the middle of the data."""
+    f1, f2 = _feeds(spark, sf)
+    path = _activity_path(spark)
+    cut = as_timestamp(AC.first_incremental_month(BETS_AS_OF))
+    first = f1.filter(F.col("ticket_delivery_date") < cut), f2.filter(F.coalesce("ticket_delivery_date", "kpi_date") < cut)
+    AC.build_status(spark, *first, path, dt.date(1900, 1, 1), mode="incremental")
+    AC.build_status(spark, f1, f2, path, BETS_AS_OF, mode="incremental")
+    return AC.read_target(spark, path)
+
+
+def q_evolved_target(spark, sf):
+    """The stored target gains a column with an append; months written before show NULL."""
+    f1, f2 = _feeds(spark, sf)
+    path = _activity_path(spark)
+    AC.write_full(_history_target(spark, sf), path)
+    incoming = AC.new_activity_keys(f1, f2, AC.read_target(spark, path), BETS_AS_OF).withColumn("source_count", F.lit(2).cast("bigint"))
+    AC.append_evolving(spark, incoming, path)
+    return AC.read_target(spark, path)
+
+
+# ---------------------------------------------------------------- contract at the moment of writing
+def _gate(spark, sf) -> str:
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kpiforge-gate/{uuid.uuid4().hex}"
+    CO.write_gate(_events_level(spark, sf), CO.EVENTS_LEVEL, path)
+    return path
+
+
+def q_contract_enforce(spark, sf):
+    """The rows that keep the contract, as the gate wrote them."""
+    t = CO.gate_target(spark, _gate(spark, sf))
+    return t.select("id", "customer_uid", "cashout_count", F.col("requested_display_odds").cast("double").alias("requested_display_odds"),
+                    F.col("prorated_stake").cast("double").alias("prorated_stake"), "start_date", "last_updated_date")
+
+
+def q_contract_quarantine(spark, sf):
+    """The rows that do not, and why."""
+    q = CO.gate_quarantine(spark, _gate(spark, sf))
+    return q.select("id", "customer_uid", "cashout_count", F.array_join("violations", ",").alias("violations"))
+
+
+def q_num_diff_sql(spark, sf):
+    """R2 as a function of the session's catalog, called from SQL text."""
+    from kpiforge.functions import sql as functions
+
+    functions.register(spark)
+    old, new = _versions(spark, sf)
+    return spark.sql("""
+        SELECT coalesce(n.customer_uid, o.customer_uid) AS customer_uid,
+               num_diff(n.total_price, o.total_price, {tol}) AS diff_total_price,
+               guarded_ratio(n.total_price, o.total_price) AS price_ratio
+        FROM {old} o FULL OUTER JOIN {new} n ON n.customer_uid = o.customer_uid""", old=old, new=new, tol=RECONCILE_TOL)
+
+
+# ---------------------------------------------------------------- forms that ran inside a wide table only
+def q_league_group_counts_batches(spark, sf):
+    return LG.league_group_counts(_domain(spark, sf).bets, BETS_AS_OF, "batches")
+
+
+def q_parlay_flag_batches(spark, sf):
+    return B.parlay_flag(_domain(spark, sf).bets, "batches")
+
+
+def q_enrolled_list_uncapped(spark, sf):
+    return CA.enrolled_list(_domain(spark, sf).bonus_activity, EVENTS_AS_OF, top_n=None, max_chars=None)
+
+
+QUERIES |= {
+    "bet_fact_stored": q_bet_fact_stored,
+    "lifetime_and_l30_stored": q_lifetime_and_l30_stored,
+    "lifetime_and_l30_daily": q_lifetime_and_l30_daily,
+    "kpi_initial_stored": q_kpi_initial_stored,
+    "kpi_combined_stored": q_kpi_combined_stored,
+    "kpi_batches_stored": q_kpi_batches_stored,
+    "activity_new_keys_as_written": q_activity_new_keys_as_written,
+    "build_status_full": q_build_status_full,
+    "build_status_incremental": q_build_status_incremental,
+    "evolved_target": q_evolved_target,
+    "contract_enforce": q_contract_enforce,
+    "contract_quarantine": q_contract_quarantine,
+    "num_diff_sql": q_num_diff_sql,
+    "league_group_counts_batches": q_league_group_counts_batches,
+    "parlay_flag_batches": q_parlay_flag_batches,
+    "enrolled_list_uncapped": q_enrolled_list_uncapped,
+}

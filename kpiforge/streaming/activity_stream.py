@@ -6,7 +6,7 @@ distinct (customer, month) pairs and hands them to the same upsert the batch
 job uses (:func:`kpiforge.operators.activity.upsert_months`) through
 ``foreachBatch``: new keys are anti-joined against the target (NULL-safe, so
 a replayed micro-batch after a failure inserts nothing twice), classified
-against the target's history and written by dynamic partition overwrite.
+against the target's first-month index and neighbouring months, and appended.
 
 ``trigger(availableNow=True)`` processes everything present and stops, which
 is how a scheduled run uses it; a long-running job would use a processing

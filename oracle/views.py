@@ -184,7 +184,9 @@ from orders where o_orderstatus <> 'P' group by o_custkey""",
 select cast(l.l_orderkey as varchar) || '-' || cast(l.l_linenumber as varchar) as id,
   case when l.l_returnflag = 'R' and l.l_linestatus = 'O' then null
        else cast(o.o_orderdate as timestamp) end as last_updated_date,
-  cast(o.o_custkey as varchar) as customer_uid
+  cast(o.o_custkey as varchar) as customer_uid, cast(l.l_linenumber as bigint) as cashout_count,
+  l.l_discount + 1.0 as requested_display_odds, cast(cast(l.l_extendedprice as decimal(18,2)) as double) as prorated_stake,
+  cast(o.o_orderdate as timestamp) as start_date
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey""",
 }
 
@@ -200,6 +202,8 @@ def with_views(body: str, ctes: list[tuple[str, str]] | None = None) -> str:
     """Prefix ``body`` with the view CTEs it (and ``ctes``) reference,
     followed by the query's own CTEs in the given order."""
     ctes = ctes or []
+    if body.startswith("with "):  # a statement with its own CTEs
+        body = f"select * from ({body})"
     own = {n for n, _ in ctes}
     text = body + " ".join(s for _, s in ctes)
     needed: list[str] = []
