@@ -238,7 +238,8 @@ def read_archives(index: DataFrame) -> DataFrame:
                                          _page_of(headers["WARC-Refers-To"]) if kind == "revisit" else None))
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
     bundles = index.select("bundle").distinct()
-    return bundles.mapInArrow(run, READ)
+    # names are few and small: without a number of its own this table would be one partition, and one task
+    return bundles.repartition(max(bundles.count(), 1)).mapInArrow(run, READ)
 
 
 def fetch(index: DataFrame, page_ids: DataFrame) -> DataFrame:
