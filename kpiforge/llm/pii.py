@@ -19,17 +19,21 @@ from pyspark.sql import types as T
 
 from kpiforge.llm.common import slices, stored, text_buffers
 
-#: The base patterns and their order.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
-CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+#: The base patterns and their order. An address is searched from
+#: its @: the local part is what stands before it, and DOMAIN what follows. A
+#: number is tried at the start of its run of digits only; the possessive runs
+#: never give back. So each character is looked at a few times, however long the
+#: runs are.
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
 
-#: Words on either side of an entity, within its line, that count as its context.
+#: Words on either side of an entity, on its line and the neighbouring ones, that count as its context.
 REACH = 8
-MIN_TEXTS, GENERALISE, REMOVE = 3, 0.9, 0.97
-MIN_TERM_BYTES = 4
+MIN_TEXTS, GENERALISE, REMOVE = 2, 0.9, 0.97
 #: Terms a task holds at once (8 bytes each); more take several passes.
 BLOCK_TERMS = 1_000_000
 
@@ -44,12 +48,24 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    out = []
+    low, at = 0, text.find("@")
+    while at >= 0:
+        before = text[low:at]
+        start = low + len(before.rstrip(LOCAL))
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            out.append((start, domain.end()))
+        low = domain.end() if domain else at + 1
+        at = text.find("@", low)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by kind as listed, then start.
     Leftmost non-overlapping matches per kind; those that fail are dropped."""
-    out = []
-    if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out = [("email", *span) for span in _emails(text)]
     out += [("ip", *m.span()) for m in IP.finditer(text)
             if all(len(p := part.lstrip("0")) < 4 and int(p or 0) <= 255 for part in m[0].split("."))]
     for m in CARD.finditer(text):
@@ -78,7 +94,7 @@ def _terms(raw: np.ndarray, off: np.ndarray):
 
     start, end, h, first = K.words(raw, off, K.ALNUM)
     lead = raw[start] if len(start) else np.zeros(0, np.uint8)
-    use = (end - start >= MIN_TERM_BYTES) & ~((lead >= 0x30) & (lead <= 0x39))
+    use = ~((lead >= 0x30) & (lead <= 0x39))  # numbers are the patterns' business
     count = np.concatenate([[0], np.cumsum(use)])
     return start[use], end[use], h[use].view(np.int64), count[first]
 
@@ -102,23 +118,29 @@ def contexts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             raw, off = text_buffers(batch.column(0))
             rows = []
-            for r in (i + r for i, j in slices(off) for r in np.flatnonzero(_maybe(raw, off[i:j + 1]))):
-                text = raw[off[r]:off[r + 1]].tobytes().decode()
-                spans = base_spans(text)
-                if not spans:
+            for i, j in slices(off):
+                maybe = np.flatnonzero(_maybe(raw, off[i:j + 1]))
+                if not len(maybe):
                     continue
-                digest = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
-                pairs = set()
-                for kind, s, e in spans:
-                    entity = _entity(kind, text[s:e])
-                    pairs.add((entity, 0))
-                    left, right = text[text.rfind("\n", 0, s) + 1:s], text[e:text.find("\n", e) if "\n" in text[e:] else len(text)]
-                    for piece, side in ((left, slice(-REACH, None)), (right, slice(0, REACH))):
-                        b = piece.encode()
-                        if b:
-                            h = _terms(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[2]
-                            pairs.update((entity, int(t)) for t in h[side])
-                rows.extend((digest, a, t) for a, t in pairs)
+                start, end, h, first = _terms(raw, off[i:j + 1])
+                for r in maybe.tolist():
+                    b = raw[off[i + r]:off[i + r + 1]]
+                    text = b.tobytes().decode()
+                    spans = base_spans(text)
+                    if not spans:
+                        continue
+                    digest = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+                    byte = np.append(np.flatnonzero((b & 0xC0) != 0x80), len(b)) + off[i + r]  # of each code point
+                    own = slice(int(first[r]), int(first[r + 1]))
+                    starts, ends, terms = start[own], end[own], h[own]
+                    pairs = set()
+                    for kind, s, e in spans:
+                        entity = _entity(kind, text[s:e])
+                        pairs.add((entity, 0))
+                        left, right = int(np.searchsorted(ends, byte[s], "right")), int(np.searchsorted(starts, byte[e], "left"))
+                        pairs.update((entity, t) for t in terms[max(left - REACH, 0):left].tolist())
+                        pairs.update((entity, t) for t in terms[right:right + REACH].tolist())
+                    rows.extend((digest, a, t) for a, t in pairs)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["text", "entity", "term"])
     return docs.select("text").mapInArrow(run, "text long, entity long, term long")
@@ -185,9 +207,10 @@ def found(docs: DataFrame, risky: DataFrame | None = None, remove: float = REMOV
     ``sanitised`` text added: entities become [KIND], terms that disclose
     ``remove`` or more are deleted, others become [WORD] or [NAME].
 
-    A null text counts as empty. A term within a base span is no span of its
-    own. Repeated rows are treated alike; extra columns pass through (ones
-    named like the added columns are replaced). Map-side: no shuffle."""
+    A null text counts as empty, an empty table stays empty. A term within a base
+    span is no span of its own. Repeated rows are treated alike; extra columns
+    pass through (ones named like the added columns are replaced). A very long
+    text is searched in time linear in its length. Map-side: no shuffle."""
     docs = docs.drop("spans", "sanitised")
     spark = docs.sparkSession
     blocks = list(_flagged_blocks(risky, remove, most)) if risky is not None else []
@@ -217,7 +240,7 @@ def found(docs: DataFrame, risky: DataFrame | None = None, remove: float = REMOV
                     text = raw[off[i + r]:off[i + r + 1]].tobytes().decode()
                     own = base_spans(text) if maybe[r] else []
                     more = sorted((x["start"], x["end"], x["removed"]) for x in extra[r] or ())
-                    more = [x for x in more if not any(s < x[1] and x[0] < e for _, s, e in own)]
+                    more = _outside(more, own)
                     spans.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in [*own, *(("term", s, e) for s, e, _ in more)]])
                     clean.append(_sanitised(text, own, more) if own or more else text)
                 yield pa.RecordBatch.from_arrays(
@@ -226,6 +249,19 @@ def found(docs: DataFrame, risky: DataFrame | None = None, remove: float = REMOV
     return rows.mapInArrow(run, schema)
 
 
+def _outside(terms: list[tuple], spans: list[tuple]) -> list[tuple]:
+    """Those of the sorted ``terms`` (start, end, ...) that overlap none of ``spans``."""
+    out, at, reach = [], 0, -1
+    ends = sorted((s, e) for _, s, e in spans)
+    for term in terms:
+        while at < len(ends) and ends[at][0] < term[1]:
+            reach = max(reach, ends[at][1])
+            at += 1
+        if reach <= term[0]:
+            out.append(term)
+    return out
+
+
 def _flagged_blocks(risky: DataFrame, remove: float, most: int):
     """Sorted term hashes with the flag that a term is deleted, in bounded blocks."""
     n = max(1, -(-risky.count() // most))
