@@ -146,7 +146,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = R
     The index holds every row, once a table, sorted by bucket over the cluster;
     a bucket that very many rows share spreads over several partitions. The
     queries come in blocks of ``query_block``: a block and the buckets it visits
-    go to all tasks, and a task returns at most ``k`` rows for a query."""
+    go to all tasks, and a task returns at most ``k`` rows for a query. A block's
+    result is written before the next block."""
     spark = vectors.sparkSession
     rows = vectors.withColumn("_kf_q", F.coalesce(is_query, F.lit(False))).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), "_kf_q").where(
@@ -167,7 +168,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = R
             block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == b).select("vec_id", "v").collect()
             if not block:
                 continue
-            one = _probe(spark, table, index, block, sample_ids, sample, k)
+            one = stored(_probe(spark, table, index, block, sample_ids, sample, k), "found")
             out = one if out is None else out.union(one)
     if out is None:
         out = spark.createDataFrame([], FOUND)
@@ -216,15 +217,21 @@ def _top(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
 def _probe(spark, table: DataFrame, index: Index, block, sample_ids, sample, k: int) -> DataFrame:
     ids = np.array([x[0] for x in block], np.int64)
     q = np.array([x[1] for x in block])
-    seen = np.packbits(index.visited(q), axis=1)  # a bit for each query
-    # the k-th best of the sample bounds each query's result from below; its rows are candidates like any
-    score = np.where(ids[:, None] == sample_ids[None], -np.inf, q @ sample.T)
-    n = min(k, score.shape[1])
-    at = np.argpartition(-score, n - 1, axis=1)[:, :n]
-    worst = np.take_along_axis(score, at, 1).min(1)
-    first = [(int(ids[i]), int(sample_ids[j]), float(s)) for i, j, s in zip(
-        np.repeat(np.arange(len(ids)), n), at.ravel(), _exact(np.repeat(q, n, 0), sample[at.ravel()]), strict=True) if score[i, j] > -np.inf]
-    floor = np.where(np.isfinite(worst) & (n == k), worst - 1e-9 * (1 + np.abs(worst)), -np.inf)
+    seen = index.visited(q)
+    # the sample's rows in the visited buckets: their k-th best score bounds the result from below, and where
+    # they are too few to fill a result the query visits every bucket; rows are found by the buckets alone
+    met = np.zeros((len(q), len(sample)), bool)
+    for t, bucket in enumerate(index.buckets(sample)):
+        met |= seen[t][:, bucket]
+    met &= ids[:, None] != sample_ids[None]
+    few = met.sum(1) < k
+    seen[:, few] = True
+    floor = np.full(len(q), -np.inf)
+    if not few.all():
+        score = np.where(met[~few], q[~few] @ sample.T, -np.inf)
+        worst = -np.partition(-score, k - 1, axis=1)[:, k - 1]
+        floor[~few] = worst - 1e-9 * (1 + np.abs(worst))
+    seen = np.packbits(seen, axis=1)  # a bit for each query
     held = spark.sparkContext.broadcast((ids, q, seen, floor))
 
     def run(batches):
@@ -254,7 +261,7 @@ def _probe(spark, table: DataFrame, index: Index, block, sample_ids, sample, k:
             kept = _top(*(np.concatenate(x) for x in zip(*found, strict=True)), k)
         if len(kept[0]):
             yield pa.RecordBatch.from_arrays([pa.array(ids[kept[0]]), pa.array(kept[1]), pa.array(kept[2])], ["query_id", "vec_id", "score"])
-    return table.mapInArrow(run, FOUND).union(spark.createDataFrame(first, FOUND))
+    return table.mapInArrow(run, FOUND)
 
 
 def op1_multiprobe_lsh(spark, sf_dir: str) -> DataFrame:
