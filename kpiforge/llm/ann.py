@@ -220,17 +220,18 @@ def _probe(spark, table: DataFrame, index: Index, block, sample_ids, sample, k:
     seen = index.visited(q)
     # the sample's rows in the visited buckets: their k-th best score bounds the result from below, and where
     # they are too few to fill a result the query visits every bucket; rows are found by the buckets alone
-    met = np.zeros((len(q), len(sample)), bool)
-    for t, bucket in enumerate(index.buckets(sample)):
-        met |= seen[t][:, bucket]
-    met &= ids[:, None] != sample_ids[None]
-    few = met.sum(1) < k
-    seen[:, few] = True
+    bucket = index.buckets(sample)
     floor = np.full(len(q), -np.inf)
-    if not few.all():
-        score = np.where(met[~few], q[~few] @ sample.T, -np.inf)
-        worst = -np.partition(-score, k - 1, axis=1)[:, k - 1]
-        floor[~few] = worst - 1e-9 * (1 + np.abs(worst))
+    for part in range(0, len(q), 256):
+        own = slice(part, part + 256)
+        met = ids[own, None] != sample_ids[None]
+        met &= np.any([seen[t][own][:, bucket[t]] for t in range(len(bucket))], axis=0)
+        few = met.sum(1) < k
+        seen[:, part:part + len(few)][:, few] = True
+        if not few.all():
+            score = np.where(met, q[own] @ sample.T, -np.inf)
+            worst = -np.partition(-score, k - 1, axis=1)[:, k - 1]
+            floor[own] = np.where(few, -np.inf, worst - 1e-9 * (1 + np.abs(np.where(few, 0, worst))))
     seen = np.packbits(seen, axis=1)  # a bit for each query
     held = spark.sparkContext.broadcast((ids, q, seen, floor))
 
