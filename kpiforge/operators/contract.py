@@ -57,12 +57,26 @@ class Contract:
             for c in self.columns])
 
 
+#: What the columns mean, for readers of the stored tables.
+DESCRIPTIONS = {
+    "id": "key of the row", "event_id": "the sports event", "location": "where the bet was placed",
+    "src_betslip_uuid": "the slip the line belongs to", "customer_uid": "the customer", "bet_id": "the bet within its slip",
+    "betslip_status": "state of the slip", "bet_combination_status": "state of the bet's combination",
+    "ticket_delivery_date": "when the ticket reached the customer", "last_updated_date": "last change of the row",
+    "src_campaign_id": "campaign the bet was placed under", "start_date": "start of the event",
+    "kpi_timestamp_id": "day the row counts for", "originproviderid": "provider the event comes from",
+    "requested_display_odds": "odds the customer saw", "cashout_count": "number of cash-outs", "prorated_stake": "stake shared out over the lines",
+    "year_month": "first day of a month with activity",
+    "activity_status": "Acquired in the first month, Retained after a month with activity, else Reactivated",
+}
+
+
 def _cols(spec: str, tests: dict[str, tuple[str, ...]] | None = None) -> tuple[Column_, ...]:
     tests = tests or {}
     out = []
     for line in spec.strip().splitlines():
         name, typ = line.split()
-        out.append(Column_(name, typ, tests.get(name, ())))
+        out.append(Column_(name, typ, tests.get(name, ()), DESCRIPTIONS.get(name, "")))
     return tuple(out)
 
 
@@ -280,7 +294,13 @@ def violations(df: DataFrame, contract: Contract):
 def gated(df: DataFrame, contract: Contract) -> DataFrame:
     """``df`` cast to the contract, with the column ``violations``; values that do
     not fit are NULL, their rows are the ones with a violation."""
-    return enforce(df.withColumn("violations", violations(df, contract)), contract, on_loss="null")
+    return documented(enforce(df.withColumn("violations", violations(df, contract)), contract, on_loss="null"), contract)
+
+
+def documented(df: DataFrame, contract: Contract) -> DataFrame:
+    """``df`` with the contract's descriptions as column comments; they are part of the schema a table is stored with."""
+    text = {c.name: c.description for c in contract.columns if c.description}
+    return df.select(*[F.col(n).alias(n, metadata={"comment": text[n]}) if n in text else F.col(n) for n in df.columns])
 
 
 def write_gate(df: DataFrame, contract: Contract, path: str) -> dict[str, int]:

@@ -592,6 +592,13 @@ def q_contract_quarantine(spark, sf):
     return q.select("id", "customer_uid", "cashout_count", F.array_join("violations", ",").alias("violations"))
 
 
+def q_contract_check_status(spark, sf):
+    """The status table as built, against its declared contract."""
+    path = _activity_path(spark)
+    AC.build_status(spark, *_feeds(spark, sf), path, mode="full")
+    return CO.check(AC.read_target(spark, path), CO.MONTHLY_STATUS)
+
+
 def q_num_diff_sql(spark, sf):
     """R2 as a function of the session's catalog, called from SQL text."""
     from kpiforge.functions import sql as functions
@@ -631,6 +638,7 @@ QUERIES |= {
     "evolved_target": q_evolved_target,
     "contract_enforce": q_contract_enforce,
     "contract_quarantine": q_contract_quarantine,
+    "contract_check_status": q_contract_check_status,
     "num_diff_sql": q_num_diff_sql,
     "league_group_counts_batches": q_league_group_counts_batches,
     "parlay_flag_batches": q_parlay_flag_batches,

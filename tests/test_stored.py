@@ -203,6 +203,9 @@ def test_write_gate_splits_and_counts_in_one_pass(spark, tmp_path):
     assert t.dtypes == [("id", "string"), ("n", "bigint"), ("d", "date"), ("extra", "string")] and [r.id for r in t.collect()] == ["a"]
     q = {r.extra: r.violations for r in CO.gate_quarantine(spark, path).collect()}
     assert q == {"y": ["id:not_null"], "z": ["n:type"], "w": ["id:not_null", "n:type"]}
+    described = CO.Contract("t", (CO.Column_("id", "string", (), "the key"), *c.columns[1:]))
+    CO.write_gate(df, described, path)
+    assert CO.gate_target(spark, path).schema["id"].metadata["comment"] == "the key"
     assert CO.write_gate(df.limit(0), c, path) == {"rows": 0, "quarantined": 0} and CO.gate_target(spark, path).count() == 0
 
 
