@@ -13,10 +13,11 @@
    must also agree in ``AGREE`` of the tree's positions.
 4. Candidates are confirmed on the full shingle sets; confirmed links give the
    components.
-5. Dense regions that still hold several components are closed: every row
-   outside a region's largest component is compared, on the full sets, with all
-   rows of the region in other components, in blocks of bounded size. So
-   ``reach`` costs no link.
+5. Dense regions that still hold several components are closed by an exact
+   prefix filter: of their rows, those in different components that share one of
+   their rarest shingles are compared on the full sets, where these are many in
+   blocks of bounded size. So ``reach`` costs no link, and pages that only share
+   a template do not meet.
 
 Chance to lose a link: a pair of similarity s shares a base depth of d in one
 tree with s^d, so 16 trees miss a pair at exactly 0.8 with depth 3 with about
@@ -34,6 +35,7 @@ from kpiforge.llm.components import connected_components
 N_HASH, N_TREES, DEPTH, BASE_DEPTH = 128, 16, 16, 3
 SMALL_REGION, REACH = 32, 4
 AGREE = 10  # of the DEPTH positions of a path
+RARE = 1e-9  # chance that a linked pair agrees in fewer positions than `least_agreement`
 BLOCK = 1 << 20  # shingles on either side of one comparison of blocks, about
 SEED = 20231
 
@@ -227,31 +229,74 @@ def region_rows(reps: DataFrame) -> DataFrame:
     return reps.select("id", "sig", "component", "n").mapInArrow(run, "tree int, base long, id long, component long, n long")
 
 
+def shingles_of(sets: DataFrame) -> DataFrame:
+    """(id, s): one row per shingle of ``sets(id, items)``."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            raw, off = text_buffers(batch.column(1))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for i, j in slices(off):
+                s = np.frombuffer(raw[off[i]:off[j]].tobytes(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[i:j], np.diff(off[i:j + 1]) // 8)), pa.array(s)], ["id", "s"])
+    return sets.select("id", "items").mapInArrow(run, "id long, s long")
+
+
+def prefix_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, s): of each set's shingles, rarest among ``sets`` first, as many that two
+    sets of the wanted similarity must share one of them; those of a single set are
+    left out. A set of n can lose n - ceil(n * percent / 100) shingles to a partner."""
+    shingles = stored(shingles_of(sets), "exploded")
+    often = stored(shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "often")
+    n = F.size("ranked")
+    return (shingles.join(often, "s", "left")
+            .groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("ranked"))
+            .select("id", F.explode(F.slice("ranked", F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)).alias("v"))
+            .where("v.df > 1").select("id", F.col("v.s").alias("s")))
+
+
+def least_agreement(percent: int) -> int:
+    """Of all positions: two sets of that similarity agree in fewer with a chance below ``RARE``."""
+    from math import comb
+
+    p, at, chance = percent / 100, 0, 0.0
+    while at < N_HASH:
+        chance += comb(N_HASH, at) * p ** at * (1 - p) ** (N_HASH - at)
+        if chance >= RARE:
+            break
+        at += 1
+    return at
+
+
 def links_out(percent: int):
-    """For one block: the linked pairs of components, its outsiders against its rows."""
+    """For one block: the linked pairs of components, its outsiders against its rows.
+    Sets meet only where sizes and signatures allow a link."""
+    least = least_agreement(percent)
+
     def run(part):
         import pyarrow as pa
 
         outside = part.column("outside").to_numpy()
         of = part.column("component").to_numpy()
         items = part.column("items").to_pylist()
+        sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(len(items), N_HASH)
         size = np.array([len(x) for x in items], np.int64) // 8
-        names, at = np.unique(np.frombuffer(b"".join(items), np.uint64), return_inverse=True)
-        end = np.cumsum(size)
         row = np.flatnonzero(~outside)
+        of_row, sig_row, size_row = of[row], sig[row], size[row]
         found = [np.zeros((2, 0), np.int64)]
-        if len(row):
-            row_at = at[np.repeat(~outside, size)]
-            first = np.cumsum(size[row]) - size[row]
-            has = np.zeros(len(names), np.int64)
-            for i in np.flatnonzero(outside):
-                own = at[end[i] - size[i]:end[i]]
-                has[own] = 1
-                meet = np.add.reduceat(has[row_at], first)
-                has[own] = 0
-                linked = (of[row] != of[i]) & (100 * meet >= percent * (size[row] + size[i] - meet))
-                other = np.unique(of[row[linked]])
-                found.append(np.stack([np.minimum(other, of[i]), np.maximum(other, of[i])]))
+        for i in np.flatnonzero(outside):
+            own = np.frombuffer(items[i], np.uint64)
+            at = np.flatnonzero((of_row != of[i]) & (100 * np.minimum(size_row, size[i]) >= percent * np.maximum(size_row, size[i])))
+            at = at[(sig_row[at] == sig[i]).sum(1) >= least]
+            other = set()
+            for r in at:
+                if of_row[r] not in other:
+                    meet = len(np.intersect1d(own, np.frombuffer(items[row[r]], np.uint64), assume_unique=True))
+                    if 100 * meet >= percent * (size_row[r] + size[i] - meet):
+                        other.add(of_row[r])
+            to = np.array(sorted(other), np.int64)
+            found.append(np.stack([np.minimum(to, of[i]), np.maximum(to, of[i])]))
         pairs = np.unique(np.concatenate(found, 1), axis=1)
         return pa.table({"a": pairs[0], "b": pairs[1]})
     return run
@@ -259,32 +304,49 @@ def links_out(percent: int):
 
 def closing_links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
     """Distinct pairs (a < b) of components of ``reps(id, sig, component, n)`` with
-    a link between two rows that share a dense region.
-
-    Rows of a region's largest component are compared with its other rows only.
-    Both sides are split by hash into blocks of about ``BLOCK`` shingles and each
-    block of one meets each of the other, so no task holds a region."""
+    a link between two rows of dense regions that hold several components.
+
+    Two linked rows share one of their prefix shingles (exact, see
+    :func:`prefix_shingles`): rows that only share a template mostly do not, and never
+    meet. Rows of the largest component at a shingle meet its other rows only. At a
+    shingle of few rows these pairs are joined and confirmed; the rows of another are
+    split by hash, on both sides, into blocks of about ``BLOCK`` shingles, and each block
+    of one side meets each of the other, so no task holds a frequent shingle's rows."""
     trees = stored(region_rows(reps), "regions")
     key = ["tree", "base"]
-    sizes = trees.groupBy(*key, "component").agg(F.count("*").alias("rows"), F.sum("n").alias("w"))
-    mixed = (sizes.groupBy(*key).agg(F.sum("rows").alias("rows"), F.count("*").alias("parts"), F.sum("w").alias("w"),
-                                     F.max(F.struct("rows", "component", "w")).alias("main"))
-             .where((F.col("rows") > SMALL_REGION) & (F.col("parts") > 1))
-             .select(*key, F.col("main.component").alias("main"), F.ceil(F.col("w") / BLOCK).cast("int").alias("blocks"),
-                     F.ceil((F.col("w") - F.col("main.w")) / BLOCK).cast("int").alias("chunks")))
-    rows = stored(trees.join(stored(mixed, "mixed"), key).select(*key, "id", "component", "main", "blocks", "chunks"), "dense")
-    ids = rows.select("id").distinct()
+    mixed = (trees.groupBy(*key, "component").agg(F.count("*").alias("rows"))
+             .groupBy(*key).agg(F.sum("rows").alias("rows"), F.count("*").alias("parts")).where((F.col("rows") > SMALL_REGION) & (F.col("parts") > 1)))
+    ids = stored(trees.join(stored(mixed.select(*key), "mixed"), key).select("id").distinct(), "dense")
+    dense = stored(reps.join(ids, "id", "left_semi"), "rows")
     sets = stored(shingle_sets_of(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi"), k)
                   .withColumn("h", F.xxhash64("items")).dropDuplicates(["id", "h"]).where("length(items) > 0"), "sets")
-    rows = rows.join(sets, "id")
+    at = stored(prefix_shingles(sets, percent).join(dense.select("id", "component", "n"), "id"), "prefixes")
+    lists = (at.groupBy("s", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("w"))
+             .groupBy("s").agg(F.sum("rows").alias("rows"), F.count("*").alias("parts"), F.sum("w").alias("w"),
+                               F.max(F.struct("rows", "component", "w")).alias("main"))
+             .where(F.col("parts") > 1)
+             .select("s", "rows", F.col("main.component").alias("main"), F.ceil(F.col("w") / BLOCK).cast("int").alias("blocks"),
+                     F.ceil((F.col("w") - F.col("main.w")) / BLOCK).cast("int").alias("chunks")))
+    at = stored(at.join(stored(lists, "lists"), "s"), "meeting")
+
+    few = at.where(F.col("rows") <= SMALL_REGION)
+    x = few.where("component <> main").select("s", F.col("id").alias("x"), F.col("component").alias("of_x"), F.col("n").alias("n_x"))
+    y = few.select("s", F.col("id").alias("y"), F.col("component").alias("of_y"), F.col("n").alias("n_y"))
+    pairs = stored(x.join(y, "s").where((F.col("of_x") != F.col("of_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
+                   .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+    of = [dense.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b")]
+    joined = (links_among(docs, pairs, k, percent).join(of[0], "a").join(of[1], "b")
+              .select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")))
+
+    rows = (at.where(F.col("rows") > SMALL_REGION).select("s", "id", "component", "main", "blocks", "chunks")
+            .join(dense.select("id", "sig"), "id").join(sets, "id"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    members = rows.select(*key, own("blocks").alias("block"), every("chunks").alias("chunk"),
-                          F.lit(False).alias("outside"), "component", "items")
-    outsiders = rows.where("component <> main").select(*key, every("blocks").alias("block"), own("chunks").alias("chunk"),
-                                                       F.lit(True).alias("outside"), "component", "items")
-    return (members.union(outsiders).groupBy(*key, "block", "chunk")
-            .applyInArrow(links_out(percent), "a long, b long").distinct())
+    payload = ["component", "sig", "items"]
+    members = rows.select("s", own("blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("outside"), *payload)
+    outsiders = rows.where("component <> main").select("s", every("blocks").alias("block"), own("chunks").alias("chunk"), F.lit(True).alias("outside"), *payload)
+    blocked = members.union(outsiders).groupBy("s", "block", "chunk").applyInArrow(links_out(percent), "a long, b long")
+    return joined.union(blocked).distinct()
 
 
 def links_among(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:

@@ -149,3 +149,45 @@ def test_components_of_long_paths(spark):
     edges = spark.createDataFrame(list(zip(order[:-1], order[1:], strict=True)) + [(1000, 1001), (1001, 1000)], "a long, b long")
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert got == {i: 0 for i in range(n)} | {1000: 1000, 1001: 1000}
+
+
+def templated(n, shared, own, seed=6):
+    """Texts with ``shared`` words in common and ``own`` of their own."""
+    rng = random.Random(seed)
+    head = [f"t{i}" for i in range(shared)]
+    return [(i, " ".join(head + [f"o{rng.randrange(10 ** 9)}" for _ in range(own)])) for i in range(n)]
+
+
+def test_templated_pages_equal_brute_force(spark, docs):
+    """One dense region: pages far from each other, pages near the limit, and near copies of some."""
+    rng = random.Random(7)
+    rows = templated(500, 60, 22) + [(i + 1000, t) for i, t in templated(150, 68, 10, 8)]
+    for i, t in rng.sample(rows, 60):
+        w = t.split()
+        w[rng.randrange(len(w))] = f"z{i}"
+        rows.append((i + 5000, " ".join(w)))
+    check(docs, rows)
+
+
+def test_rows_that_only_share_a_template_do_not_meet(spark, docs):
+    sets = forest.shingle_sets_of(docs(*templated(300, 60, 22)).withColumnRenamed("doc_id", "id"), 4)
+    assert forest.prefix_shingles(sets, 80).count() == 0
+    near = forest.prefix_shingles(forest.shingle_sets_of(docs(*templated(40, 60, 4)).withColumnRenamed("doc_id", "id"), 4), 80)
+    assert {r.s for r in near.collect()} and near.select("id").distinct().count() == 40
+
+
+def test_frequent_prefix_shingles_are_compared_in_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(forest, "BLOCK", 2000)
+    rows = templated(90, 50, 9)
+    for i, t in templated(90, 50, 9)[:20]:
+        rows.append((i + 500, t + " end"))
+    parts = spark.createDataFrame([(i, i) for i, _ in rows], "id long, component long")
+    reps = forest.shingle_rows(docs(*rows), 4).selectExpr("doc_id as id", "sig", "n_shingles as n").join(parts, "id")
+    got = {tuple(r) for r in forest.closing_links(docs(*rows), reps, 4, 80).collect()}
+    sets = {i: set_of(t, 4) for i, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert got == want and len(want) >= 20
+
+
+def test_the_least_agreement_of_a_link():
+    assert 68 <= forest.least_agreement(80) <= 76 and forest.least_agreement(100) == 128
