@@ -244,16 +244,23 @@ def shingles_of(sets: DataFrame) -> DataFrame:
 
 
 def prefix_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, s): of each set's shingles, rarest among ``sets`` first, as many that two
-    sets of the wanted similarity must share one of them; those of a single set are
-    left out. A set of n can lose n - ceil(n * percent / 100) shingles to a partner."""
+    """(id, left, s): of each set's shingles, rarest among ``sets`` first, as many that
+    two sets of the wanted similarity must share one of them; those of a single set are
+    left out. A set of n can lose n - ceil(n * percent / 100) shingles to a partner.
+    ``left`` counts the set's shingles from this one on, itself included."""
     shingles = stored(shingles_of(sets), "exploded")
     often = stored(shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "often")
     n = F.size("ranked")
     return (shingles.join(often, "s", "left")
             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("ranked"))
-            .select("id", F.explode(F.slice("ranked", F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)).alias("v"))
-            .where("v.df > 1").select("id", F.col("v.s").alias("s")))
+            .select("id", n.cast("long").alias("n"), F.posexplode(F.slice("ranked", F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)).alias("pos", "v"))
+            .where("v.df > 1").select("id", (F.col("n") - F.col("pos")).alias("left"), F.col("v.s").alias("s")))
+
+
+def _can_link(percent: int, n_x, n_y, left_x, left_y, least):
+    """Whether two sets that first meet at a prefix shingle can still share enough:
+    no more than what either has left from there on. Columns or arrays."""
+    return (100 + percent) * least(left_x, left_y) >= percent * (n_x + n_y)
 
 
 def least_agreement(percent: int) -> int:
@@ -271,7 +278,7 @@ def least_agreement(percent: int) -> int:
 
 def links_out(percent: int):
     """For one block: the linked pairs of components, its outsiders against its rows.
-    Sets meet only where sizes and signatures allow a link."""
+    Sets meet only where sizes, places of the shared shingle and signatures allow a link."""
     least = least_agreement(percent)
 
     def run(part):
@@ -282,21 +289,24 @@ def links_out(percent: int):
         items = part.column("items").to_pylist()
         sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(len(items), N_HASH)
         size = np.array([len(x) for x in items], np.int64) // 8
+        left = part.column("left").to_numpy()
+        names, at = np.unique(np.frombuffer(b"".join(items), np.uint64), return_inverse=True)
+        begin = np.cumsum(size) - size
         row = np.flatnonzero(~outside)
-        of_row, sig_row, size_row = of[row], sig[row], size[row]
+        has = np.zeros(len(names), np.int64)
         found = [np.zeros((2, 0), np.int64)]
         for i in np.flatnonzero(outside):
-            own = np.frombuffer(items[i], np.uint64)
-            at = np.flatnonzero((of_row != of[i]) & (100 * np.minimum(size_row, size[i]) >= percent * np.maximum(size_row, size[i])))
-            at = at[(sig_row[at] == sig[i]).sum(1) >= least]
-            other = set()
-            for r in at:
-                if of_row[r] not in other:
-                    meet = len(np.intersect1d(own, np.frombuffer(items[row[r]], np.uint64), assume_unique=True))
-                    if 100 * meet >= percent * (size_row[r] + size[i] - meet):
-                        other.add(of_row[r])
-            to = np.array(sorted(other), np.int64)
-            found.append(np.stack([np.minimum(to, of[i]), np.maximum(to, of[i])]))
+            to = row[(of[row] != of[i]) & _can_link(percent, size[row], size[i], left[row], left[i], np.minimum)]
+            to = to[(sig[to] == sig[i]).sum(1) >= least]
+            if not len(to):
+                continue
+            own = at[begin[i]:begin[i] + size[i]]
+            has[own] = 1
+            start = np.cumsum(size[to]) - size[to]
+            meet = np.add.reduceat(has[at[np.arange(size[to].sum()) + np.repeat(begin[to] - start, size[to])]], start)
+            has[own] = 0
+            other = np.unique(of[to[100 * meet >= percent * (size[to] + size[i] - meet)]])
+            found.append(np.stack([np.minimum(other, of[i]), np.maximum(other, of[i])]))
         pairs = np.unique(np.concatenate(found, 1), axis=1)
         return pa.table({"a": pairs[0], "b": pairs[1]})
     return run
@@ -308,7 +318,7 @@ def closing_links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
 
     Two linked rows share one of their prefix shingles (exact, see
     :func:`prefix_shingles`): rows that only share a template mostly do not, and never
-    meet. Rows of the largest component at a shingle meet its other rows only. At a
+    meet; a pair also needs enough shingles left from there on. Rows of the largest component at a shingle meet its other rows only. At a
     shingle of few rows these pairs are joined and confirmed; the rows of another are
     split by hash, on both sides, into blocks of about ``BLOCK`` shingles, and each block
     of one side meets each of the other, so no task holds a frequent shingle's rows."""
@@ -330,19 +340,19 @@ def closing_links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
     at = stored(at.join(stored(lists, "lists"), "s"), "meeting")
 
     few = at.where(F.col("rows") <= SMALL_REGION)
-    x = few.where("component <> main").select("s", F.col("id").alias("x"), F.col("component").alias("of_x"), F.col("n").alias("n_x"))
-    y = few.select("s", F.col("id").alias("y"), F.col("component").alias("of_y"), F.col("n").alias("n_y"))
-    pairs = stored(x.join(y, "s").where((F.col("of_x") != F.col("of_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
+    x = few.where("component <> main").select("s", F.col("id").alias("x"), F.col("component").alias("of_x"), F.col("n").alias("n_x"), F.col("left").alias("left_x"))
+    y = few.select("s", F.col("id").alias("y"), F.col("component").alias("of_y"), F.col("n").alias("n_y"), F.col("left").alias("left_y"))
+    pairs = stored(x.join(y, "s").where((F.col("of_x") != F.col("of_y")) & _can_link(percent, F.col("n_x"), F.col("n_y"), "left_x", "left_y", F.least))
                    .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
     of = [dense.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b")]
     joined = (links_among(docs, pairs, k, percent).join(of[0], "a").join(of[1], "b")
               .select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")))
 
-    rows = (at.where(F.col("rows") > SMALL_REGION).select("s", "id", "component", "main", "blocks", "chunks")
+    rows = (at.where(F.col("rows") > SMALL_REGION).select("s", "id", "left", "component", "main", "blocks", "chunks")
             .join(dense.select("id", "sig"), "id").join(sets, "id"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    payload = ["component", "sig", "items"]
+    payload = ["component", "left", "sig", "items"]
     members = rows.select("s", own("blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("outside"), *payload)
     outsiders = rows.where("component <> main").select("s", every("blocks").alias("block"), own("chunks").alias("chunk"), F.lit(True).alias("outside"), *payload)
     blocked = members.union(outsiders).groupBy("s", "block", "chunk").applyInArrow(links_out(percent), "a long, b long")
