@@ -1,14 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Insult words and stems are learned from labelled rows, with log-odds weights.
-Texts are searched for them; each clause that holds one is read by a cascade of
-transducers:
-
-* lexical: word -> symbol (insult with weight, threat, target, negation,
-  reporting verb, quotation mark, other);
-* clause: runs over the symbols with a small state (negated? reported?
-  addressed? threatening?) and emits one pattern per insult or threat;
-* scoring: a pattern's weight, learned in the same way, times the insult's.
+Insult words and stems, weights of threat words and further reporting words are
+learned from labelled rows, with log-odds weights. Texts are searched for insults
+and threats; each clause that holds one is read by transducers, which are data
+(states, arcs, weights) and are composed into one machine:
+
+* lexical: word -> symbol with a weight (insult, threat, target, negation,
+  reporting verb, quotation mark, other), between marks of the clause's ends;
+* negation, reported speech, target, threat: each rewrites the symbols it knows
+  (insult -> negated, reported, addressed insult) and passes the others on; the
+  target machine guesses at the start whether someone is addressed, and only the
+  right guess ends in a final state;
+* scoring: one arc for each pattern, with the pattern's weight.
+
+Composition multiplies arc weights. A clause counts as its best path: the sum of
+arc weight times the word's own weight.
 
 A text's score is a logistic function of its matched clauses, not of isolated
 words: a negated or reported insult counts as its pattern has earned."""
@@ -41,22 +47,130 @@ PATTERNS = ("plain", "addressed", "negated", "reported", "threat")
 #: Weights the patterns start from; labelled rows move them.
 PRIOR = {"plain": 1.0, "addressed": 1.2, "negated": 0.6, "reported": 0.6, "threat": 0.8}
 
+#: Weight of a threat word that the labelled rows do not hold often enough.
+THREAT = 2.0
+
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
 CLAUSE_END = re.compile(r"[.!?;:\n]")
 
 
+@dataclass(frozen=True)
+class Transducer:
+    """``arcs[state][symbol]``: the (output, weight, next state) to choose from; an
+    output of "" writes nothing. A path counts if it ends in one of ``final``."""
+    start: object
+    arcs: dict
+    final: frozenset
+
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: ``other`` reads what this machine writes. Only states that
+        can be reached from the start are built; weights are multiplied."""
+        start = (self.start, other.start)
+        arcs, todo = {}, [start]
+        while todo:
+            here = todo.pop()
+            if here in arcs:
+                continue
+            a, b = here
+            arcs[here] = {}
+            for symbol, choices in self.arcs[a].items():
+                out = []
+                for written, w, a2 in choices:
+                    for said, v, b2 in [("", 1.0, b)] if written == "" else other.arcs[b].get(written, []):
+                        out.append((said, w * v, (a2, b2)))
+                        todo.append((a2, b2))
+                if out:
+                    arcs[here][symbol] = out
+        return Transducer(start, arcs, frozenset(x for x in arcs if x[0] in self.final and x[1] in other.final))
+
+    def numbered(self) -> Transducer:
+        """The same machine with whole numbers as states."""
+        name = {x: i for i, x in enumerate(self.arcs)}
+        return Transducer(name[self.start], {name[x]: {s: [(o, w, name[n]) for o, w, n in c] for s, c in by.items()} for x, by in self.arcs.items()},
+                          frozenset(name[x] for x in self.final))
+
+    def best(self, tape: list[tuple[str, float]]) -> tuple[float, list[tuple[str, float]]] | None:
+        """(value, written symbols with the weight of the word they were read at) of the
+        best path over the weighted symbols; None if no path ends in a final state."""
+        at = {self.start: (0.0, None)}
+        for symbol, own in tape:
+            to: dict = {}
+            for state, (value, trail) in at.items():
+                for written, w, n in self.arcs[state].get(symbol, ()):
+                    v = value + w * own if written else value
+                    if n not in to or v > to[n][0]:
+                        to[n] = (v, (trail, written, own) if written else trail)
+            at = to
+        ends = [at[x] for x in sorted(self.final & at.keys())]
+        if not ends:
+            return None
+        value, trail = max(ends, key=lambda e: e[0])
+        out = []
+        while trail:
+            trail, written, own = trail
+            out.append((written, own))
+        return value, out[::-1]
+
+
+#: What the lexical machine writes: clause start and end, insult, threat, target, negation, reporting verb, quotation mark, other word.
+SYMBOLS = ("^", "$", "I", "K", "T", "N", "R", "Q", "o")
+#: What further machines write of these: negated, reported, addressed insult, end of a clause that cannot threaten.
+MARKED = ("I-", "Ir", "Ia", "$-")
+
+
+def _machine(start: str, final: str, rules: dict[str, dict[str, tuple[str, str] | list | None]]) -> Transducer:
+    """A machine from the rules that do more than pass a symbol on and stay; None: no arc."""
+    arcs: dict = {}
+    for state, special in rules.items():
+        arcs[state] = {s: [(s, 1.0, state)] for s in SYMBOLS + MARKED}
+        for s, to in special.items():
+            arcs[state][s] = [(o, 1.0, n) for o, n in (to if isinstance(to, list) else [to])] if to else []
+    return Transducer(start, arcs, frozenset(final.split()))
+
+
+NEGATION = _machine("open", "open negated", {
+    "open": {"N": ("N", "negated")},
+    "negated": {"I": ("I-", "open"), "$": ("$-", "negated")}})
+_TOLD = {"I": "Ir", "I-": "Ir"}
+REPORTED = _machine("own", "own quoted told both", {
+    "own": {"R": ("R", "told"), "Q": ("Q", "quoted")},
+    "quoted": {s: (o, "quoted") for s, o in _TOLD.items()} | {"R": ("R", "both"), "Q": ("Q", "own")},
+    "told": {s: (o, "told") for s, o in _TOLD.items()} | {"Q": ("Q", "both"), "$": ("$-", "told")},
+    "both": {s: (o, "both") for s, o in _TOLD.items()} | {"Q": ("Q", "told"), "$": ("$-", "both")}})
+TARGET = _machine("start", "nobody somebody", {
+    "start": {"^": [("^", "nobody"), ("^", "awaited")]},
+    "nobody": {"T": None, "$": ("$-", "nobody")},
+    "awaited": {"I": ("Ia", "awaited"), "T": ("T", "somebody")},
+    "somebody": {"I": ("Ia", "somebody")}})
+THREATENING = _machine("calm", "calm raised", {
+    "calm": {"K": ("", "raised"), "$": ("", "calm"), "$-": ("", "calm")},
+    "raised": {"K": ("", "raised"), "$": ("threat", "raised"), "$-": ("", "raised")}})
+CASCADE = NEGATION.then(REPORTED).then(TARGET).then(THREATENING)
+
+
+def scoring(patterns: dict[str, float]) -> Transducer:
+    """One state; an arc for each pattern, all other symbols are dropped."""
+    named = {"I": "plain", "Ia": "addressed", "I-": "negated", "Ir": "reported", "threat": "threat"}
+    return Transducer(0, {0: {s: [(named[s], patterns[named[s]], 0)] if s in named else [("", 1.0, 0)]
+                              for s in (*SYMBOLS, *MARKED, "threat")}}, frozenset([0]))
+
+
 @dataclass
 class Grammar:
     """words: insult -> log-odds; stems: the same for beginnings of words;
-    patterns: weight of each; bias: score of a text without any match."""
+    patterns: weight of each; bias: score of a text without any match; threats:
+    learned weights of threat words; reporting: learned reporting words."""
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
     patterns: dict[str, float] = field(default_factory=lambda: dict(PRIOR))
     bias: float = -3.0
+    threats: dict[str, float] = field(default_factory=dict)
+    reporting: frozenset[str] = frozenset()
 
     def __post_init__(self):
         heads = sorted({*self.words, *self.stems, *THREATS}, key=lambda w: (-len(w), w))
         self._find = re.compile(rf"(?<![^\W\d_])(?:{_trie(heads)})") if heads else None
+        self._machine = CASCADE.then(scoring(self.patterns)).numbered()
 
     def weight(self, word: str) -> float:
         """Of an insult; 0 for other words. The longest learned stem decides."""
@@ -67,31 +181,31 @@ class Grammar:
                 return self.stems[word[:n]]
         return 0.0
 
-    def clause(self, words: list[str]) -> list[tuple[str, float]]:
-        """Patterns of one clause, with the weight of the insult in each."""
-        negated = reported = addressed = quoted = False
-        out: list[tuple[str, float]] = []
-        threats = 0
-        pending: list[tuple[int, bool, bool]] = []
-        for at, w in enumerate(words):
+    def tape(self, words: list[str]) -> list[tuple[str, float]]:
+        """The lexical machine: symbols of a clause with the weight of each word. The end
+        carries the weight of the strongest threat word."""
+        out, threat = [("^", 0.0)], 0.0
+        for w in words:
             if w in "\"“”«»":
-                quoted = not quoted
+                out.append(("Q", 0.0))
             elif w in NEGATIONS:
-                negated = True
-            elif w in REPORTING:
-                reported = True
+                out.append(("N", 0.0))
+            elif w in REPORTING or w in self.reporting:
+                out.append(("R", 0.0))
             elif w in TARGETS:
-                addressed = True
+                out.append(("T", 0.0))
             elif w in THREATS:
-                threats += 1
-            elif weight := self.weight(w):
-                pending.append((weight, negated, reported or quoted))
-                negated = False
-        for weight, neg, rep in pending:
-            out.append(("reported" if rep else "negated" if neg else "addressed" if addressed else "plain", weight))
-        if threats and addressed and not negated and not reported:
-            out.append(("threat", 2.0))
-        return out
+                out.append(("K", 0.0))
+                threat = max(threat, self.threats.get(w, THREAT))
+            else:
+                weight = self.weight(w)
+                out.append(("I", weight) if weight else ("o", 0.0))
+        return [*out, ("$", threat)]
+
+    def clause(self, words: list[str]) -> list[tuple[str, float]]:
+        """Patterns of one clause, with the weight of the insult or threat in each."""
+        found = self._machine.best(self.tape(words))
+        return found[1] if found else []
 
     def matches(self, text: str) -> list[tuple[str, float, int, int]]:
         """(pattern, weight, first and end character of the clause) of a whole text."""
@@ -184,6 +298,10 @@ def _keys(text: str) -> set[tuple[str, str]]:
     return {("w", w) for w in found} | {("s", w[:n]) for w in found for n in range(MIN_STEM, min(len(w), MAX_STEM) + 1)}
 
 
+def _threat_keys(text: str) -> set[tuple[str, str]]:
+    return {("t", w) for w in THREATS.intersection(WORD.findall(text.lower()))}
+
+
 def learn(rows: list[tuple[str | None, int]], min_docs: int = 3, min_odds: float = 4.0) -> Grammar:
     """A grammar from (text, label) rows. Entries are words and stems whose
     smoothed log-odds reach ``min_odds`` and that ``min_docs`` toxic texts hold;
@@ -198,10 +316,10 @@ def learn(rows: list[tuple[str | None, int]], min_docs: int = 3, min_odds: float
     families = {y: one_of_each_family([t for t, label in rows if t and bool(label) == y]) if any(t and bool(label) == y for t, label in rows) else []
                 for y in (True, False)}
     for text in families[True]:
-        toxic.update(_keys(text))
-    often = {k for k, c in toxic.items() if c >= min_docs}
+        toxic.update(_keys(text) | _threat_keys(text))
+    often = {k for k, c in toxic.items() if c >= min_docs and k[0] != "t"}
     for text in families[False]:
-        clean.update(_keys(text) & often)
+        clean.update(_keys(text) & often | _threat_keys(text))
     m1, m0 = len(families[True]), len(families[False])
     odds = {k: math.log((toxic[k] + 0.5) / (m1 + 1)) - math.log((clean[k] + 0.5) / (m0 + 1)) for k in often}
     words: dict[str, float] = {}
@@ -213,7 +331,33 @@ def learn(rows: list[tuple[str | None, int]], min_docs: int = 3, min_odds: float
         if kind == "s" and any(x.startswith(w) and odds[k, x] > odds["s", w] + 0.3 and toxic[k, x] >= 0.7 * toxic["s", w] for k, x in often):
             continue  # a longer form says nearly as much and is more certain
         (words if kind == "w" else stems)[w] = odds[kind, w]
-    return _fitted(Grammar(words, stems), rows)
+    threats = {w: max(0.0, math.log((toxic["t", w] + 0.5) / (m1 + 1)) - math.log((clean["t", w] + 0.5) / (m0 + 1)))
+               for w in THREATS if toxic["t", w] + clean["t", w] >= min_docs}
+    return _fitted(Grammar(words, stems, threats=threats, reporting=_reporting_words(Grammar(words, stems), families, min_docs, min_odds)), rows)
+
+
+def _reporting_words(grammar: Grammar, families: dict[bool, list[str]], min_docs: int, min_odds: float) -> frozenset[str]:
+    """Words that stand before an insult in its clause, with no listed negation or
+    reporting word there, in at least ``min_docs`` clean texts and whose log-odds for clean ones, among texts with an insult, reach
+    ``min_odds``: they tell of the insult, as the listed reporting verbs do."""
+    seen = {y: Counter() for y in families}
+    texts = dict.fromkeys(families, 0)
+    for label, group in families.items():
+        for text in group:
+            before: set[str] = set()
+            hit = False
+            for clause in CLAUSE_END.split(text.lower()) if grammar.matches(text) else ():
+                said = WORD.findall(clause)
+                if not FRAMES.isdisjoint(said):
+                    continue  # a listed word explains this clause
+                last = max((i for i, w in enumerate(said) if grammar.weight(w)), default=-1)
+                hit = hit or last >= 0
+                before.update(w for w in said[:max(last, 0)] if len(w) > 2 and w not in CLOSED and not grammar.weight(w))
+            seen[label].update(before)
+            texts[label] += hit
+    clean, toxic = seen[False], seen[True]
+    return frozenset(w for w, c in clean.items() if c >= min_docs and
+                     math.log((c + 0.5) / (texts[False] + 1)) - math.log((toxic[w] + 0.5) / (texts[True] + 1)) >= min_odds)
 
 
 def _fitted(grammar: Grammar, rows: list[tuple[str | None, int]], steps: int = 600, pull: float = 0.002) -> Grammar:
@@ -234,8 +378,7 @@ def _fitted(grammar: Grammar, rows: list[tuple[str | None, int]], steps: int = 6
         b -= 2.0 * e.sum()
     grammar.patterns = {p: float(max(0.1, v / unit)) for p, v in zip(PATTERNS, w, strict=True)}
     grammar.patterns["addressed"] = max(grammar.patterns["addressed"], grammar.patterns["plain"])  # an address never weakens
-    grammar.bias = float(b)
-    return grammar
+    return Grammar(grammar.words, grammar.stems, grammar.patterns, float(b), grammar.threats, grammar.reporting)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> list[tuple[str | None, int]]:
@@ -258,7 +401,7 @@ def scored(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> D
     (ones named like the added columns are replaced). Map-side: no shuffle."""
     docs = docs.drop("score", "predicted")
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    held = docs.sparkSession.sparkContext.broadcast((grammar.words, grammar.stems, grammar.patterns, grammar.bias))
+    held = docs.sparkSession.sparkContext.broadcast((grammar.words, grammar.stems, grammar.patterns, grammar.bias, grammar.threats, grammar.reporting))
 
     def run(batches):
         import pyarrow as pa

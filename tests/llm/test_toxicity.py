@@ -74,9 +74,58 @@ def test_held_out_accuracy_on_the_documents(spark):
     got = X.scored(docs.select("doc_id", "text"), grammar).join(labels, "doc_id").where(is_held_out(F.col("doc_id"))).collect()
     clean = [r for r in got if not r.toxic]
     assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
-    # the labelled toxic rows here are few, and words of the smaller languages are in too few of them
-    english = [r for r in got if r.toxic and any(w in r.text.lower() for w in grammar.words)]
-    assert english and all(r.predicted for r in english)
+    toxic = [r for r in got if r.toxic]
+    # every toxic row counts; insults of the smaller languages are in too few labelled rows here
+    assert toxic and sum(r.predicted for r in toxic) >= 0.6 * len(toxic)
+
+
+def every_path(machine, tape):
+    """Brute force: all accepted paths of a machine, as (value, written)."""
+    def go(state, rest):
+        if not rest:
+            return [(0.0, [])] if state in machine.final else []
+        (symbol, own), out = rest[0], []
+        for written, w, n in machine.arcs[state].get(symbol, ()):
+            out += [(w * own + v if written else v, [(written, own)] * bool(written) + said) for v, said in go(n, rest[1:])]
+        return out
+    return go(machine.start, tape)
+
+
+def through_the_cascade(machines, tape):
+    """Brute force without composition: each machine reads all that the one before can write."""
+    tapes = [(1.0, tape)]
+    for m in machines:
+        tapes = [(1.0, said) for _, t in tapes for _, said in every_path(m, t)]
+    return [said for _, said in tapes]
+
+
+def test_the_composed_machine_equals_all_paths(grammar):
+    rng = random.Random(11)
+    single = (X.NEGATION, X.REPORTED, X.TARGET, X.THREATENING, X.scoring(grammar.patterns))
+    composed = single[0]
+    for m in single[1:]:
+        composed = composed.then(m)
+    words = ["snarp", "zorkelist", "you", "not", "said", '"', "hurt", "bara"]
+    for _ in range(400):
+        said = rng.choices(words, k=rng.randrange(8))
+        tape = grammar.tape(said)
+        paths = every_path(composed, tape)
+        value, written = grammar._machine.best(tape)
+        assert len(paths) == 1 and paths[0][0] == pytest.approx(value) and paths[0][1] == written == grammar.clause(said)
+        assert through_the_cascade(single, tape) == [written]
+        assert value == pytest.approx(sum(grammar.patterns[p] * w for p, w in written))
+
+
+def test_threat_weights_and_reporting_words_are_learned():
+    rng = random.Random(3)
+    def rare(): return " ".join(f"u{c}{rng.choice('abcdefgh')}{rng.choice('klmnopq')}{rng.choice('rstuvw')}" for c in rng.choices("bcdfg", k=30))
+    rows = [(f"snarp {rare()}.", 1) for _ in range(120)] + [(f"you will be shot {rare()}. i will shoot you.", 1) for _ in range(20)]
+    rows += [(f"{rare()}.", 0) for _ in range(1000)] + [(f"we beat them {rare()}.", 0) for _ in range(20)]
+    rows += [(f"{rare()}. the paper printed snarp again.", 0) for _ in range(5)]
+    g = X.learn(rows)
+    assert g.weight("snarp") > 3 and "printed" in g.reporting and "shot" not in g.reporting
+    assert g.threats["shoot"] > 3 and g.threats["beat"] == 0
+    assert [p for p, _ in g.clause("they printed snarp".split())] == ["reported"]
 
 
 def test_no_labels_empty_tables_nulls_and_clashes(spark, docs):
