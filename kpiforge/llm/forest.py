@@ -37,6 +37,7 @@ SMALL_REGION, REACH = 32, 4
 AGREE = 10  # of the DEPTH positions of a path
 RARE = 1e-9  # chance that a linked pair agrees in fewer positions than `least_agreement`
 BLOCK = 1 << 20  # shingles on either side of one comparison of blocks, about
+SKETCH_BITS = 20
 SEED = 20231
 
 
@@ -229,32 +230,61 @@ def region_rows(reps: DataFrame) -> DataFrame:
     return reps.select("id", "sig", "component", "n").mapInArrow(run, "tree int, base long, id long, component long, n long")
 
 
-def shingles_of(sets: DataFrame) -> DataFrame:
-    """(id, s): one row per shingle of ``sets(id, items)``."""
+def _bucket(s: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((s * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many of ``sets(id, items)`` hold a shingle of each of 2^SKETCH_BITS hash
+    buckets: a table of fixed size, added up by Spark."""
     def run(batches):
         import pyarrow as pa
 
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            raw, off = text_buffers(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            raw, off = text_buffers(batch.column(0))
             for i, j in slices(off):
-                s = np.frombuffer(raw[off[i]:off[j]].tobytes(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[i:j], np.diff(off[i:j + 1]) // 8)), pa.array(s)], ["id", "s"])
-    return sets.select("id", "items").mapInArrow(run, "id long, s long")
+                at, n = np.unique(_bucket(np.frombuffer(raw[off[i]:off[j]].tobytes(), np.uint64)), return_counts=True)
+                counts[at] += n
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["bucket", "n"])
+    found = sets.select("items").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << SKETCH_BITS, np.int32)
+    counts[found["bucket"].to_numpy()] = np.minimum(found["n"].to_numpy(), np.iinfo(np.int32).max)
+    return counts
 
 
 def prefix_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, left, s): of each set's shingles, rarest among ``sets`` first, as many that
-    two sets of the wanted similarity must share one of them; those of a single set are
-    left out. A set of n can lose n - ceil(n * percent / 100) shingles to a partner.
-    ``left`` counts the set's shingles from this one on, itself included."""
-    shingles = stored(shingles_of(sets), "exploded")
-    often = stored(shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "often")
-    n = F.size("ranked")
-    return (shingles.join(often, "s", "left")
-            .groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("ranked"))
-            .select("id", n.cast("long").alias("n"), F.posexplode(F.slice("ranked", F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)).alias("pos", "v"))
-            .where("v.df > 1").select("id", (F.col("n") - F.col("pos")).alias("left"), F.col("v.s").alias("s")))
+    """(id, left, s): of each set's shingles, those of rare buckets (:func:`shingle_counts`)
+    first, as many that two sets of the wanted similarity must share one of them; those
+    in the prefix of a single set are left out. A set of n can lose n - ceil(n * percent / 100)
+    shingles to a partner. ``left`` counts the set's shingles from this one on, itself included.
+
+    Any one order of the shingles finds every link, so the buckets' counts will do:
+    the first shingle two sets share is in the prefix of both. No row is made of a
+    shingle outside the prefixes."""
+    counts = shingle_counts(sets)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            raw, off = text_buffers(batch.column(1))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for i, j in slices(off):
+                s = np.frombuffer(raw[off[i]:off[j]].tobytes(), np.uint64)
+                size = np.diff(off[i:j + 1]) // 8
+                of = np.repeat(np.arange(j - i), size)
+                often = counts[_bucket(s)]
+                order = np.lexsort((s, often, of))  # set by set, as before
+                pos = np.arange(len(s)) - np.repeat(np.cumsum(size) - size, size)
+                keep = (pos <= np.repeat(size - -(-size * percent // 100), size)) & (often[order] > 1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j][of[keep]]), pa.array((size[of] - pos)[keep]), pa.array(s[order][keep].view(np.int64))],
+                                                 ["id", "left", "s"])
+    rows = stored(sets.select("id", "items").mapInArrow(run, "id long, left long, s long"), "prefix")
+    met = stored(rows.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("s"), "met")
+    return rows.join(met, "s", "left_semi").select("id", "left", "s")
 
 
 def _can_link(percent: int, n_x, n_y, left_x, left_y, least):

@@ -191,3 +191,15 @@ def test_frequent_prefix_shingles_are_compared_in_blocks(spark, docs, monkeypatc
 
 def test_the_least_agreement_of_a_link():
     assert 68 <= forest.least_agreement(80) <= 76 and forest.least_agreement(100) == 128
+
+
+def test_no_row_is_made_of_a_shingle_outside_the_prefixes(spark, docs, monkeypatch):
+    made = []
+    monkeypatch.setattr(forest, "stored", lambda df, label, keep=forest.stored: made.append(keep(df, label)) or made[-1])
+    rows = templated(60, 200, 4)
+    sets = forest.shingle_sets_of(docs(*rows).withColumnRenamed("doc_id", "id"), 4)
+    got = {(r.id, r.s) for r in forest.prefix_shingles(sets, 80).collect()}
+    n = [len(set_of(t, 4)) for _, t in rows]
+    assert made and max(df.count() for df in made) <= sum(x - -(-x * 80 // 100) + 1 for x in n) < sum(n) / 3
+    held = {i: {s for j, s in got if j == i} for i, _ in rows}
+    assert all(held[a] & held[b] for a in held for b in held)
