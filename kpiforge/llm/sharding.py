@@ -8,6 +8,8 @@ with room, group by group."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +82,7 @@ def _together(placed: DataFrame, capacity: int) -> DataFrame:
 
 
 def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None = None, rounds: int = ROUNDS,
-                    source: str | None = None, weights: dict | None = None) -> DataFrame:
+                    source: str | None = None, weights: dict | None = None, order: Sequence[str] = ()) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of
     ``docs(doc_id, text)``. Law ``rows``: counts of any two shards are at most
     one apart; slots run from 0 without gaps.
@@ -93,6 +95,10 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
     With ``source``, a column of ``docs``, the slots of each shard run in the mix
     of its sources to the target ``weights`` (see :func:`kpiforge.llm.mixing.mixed`).
 
+    With ``order``, columns of ``docs`` that give its rows an order, the slots of each
+    shard run in that order, and documents without links are dealt to the shards in
+    turn: a shard takes its rows from all of the order evenly.
+
     Null text counts as empty (size 8, crc32 0), so null and empty texts are
     one group. Null and repeated ids are placed row by row. Extra columns are
     ignored. An empty table gives an empty table."""
@@ -100,7 +106,13 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
     base = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"),
         F.concat_ws(":", F.xxhash64(text), F.xxhash64(F.lit(3), text)).alias("hub"),
-        *([F.col(source).alias("source")] if source else [])).withColumn("row", F.monotonically_increasing_id()), "base")
+        *([F.col(source).alias("source")] if source else []), *[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)])
+        .withColumn("row", F.monotonically_increasing_id()), "base")
+    dealt = []
+    if order:
+        by = [f"_order_{i}" for i in range(len(order))]
+        base = stored(global_rank(base, [*map(F.col, by), F.col("row")], "order").drop(*by), "ordered")
+        dealt = [F.pmod("_turn", F.lit(n_shards)), F.col("_turn")]
     total = base.count()
     members = base.select("row", "hub")
     if links is not None:
@@ -115,8 +127,11 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
     placed = stored(base.join(labels, "row", "left"), "labelled")
     placed = (placed.join(_together(placed, capacity).withColumn("_together", F.lit(True)), ["hub", "label"], "left")
               .withColumn("label", F.when(F.col("_together"), F.col("label")).otherwise(F.lit(n_shards))))
+    if order:  # a group of equal texts has the turn of its first row
+        first = base.groupBy("hub").agg(F.min("order").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("hub", "_first")
+        placed = placed.join(stored(first, "first"), "hub", "left").withColumn("_turn", F.coalesce("_first", "order"))
     # a group beyond a shard keeps its shards; what gives way there moves as whole groups
-    placed = global_rank(placed, [F.col("label"), F.coalesce("large", F.lit(False)).desc(), F.col("hub"), F.col("doc_id"), F.col("row")], "rank")
+    placed = global_rank(placed, [F.col("label"), F.coalesce("large", F.lit(False)).desc(), *dealt, F.col("hub"), F.col("doc_id"), F.col("row")], "rank")
     held = [0] * (n_shards + 1)
     for r in placed.groupBy("label").count().collect():
         held[r["label"]] = r["count"]
@@ -135,7 +150,10 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
             .withColumn("shard", F.when(F.col("_stays"), label).otherwise(shard).cast("int"))
             .withColumn("slot", F.when(F.col("_stays"), F.col("_at"))
                         .otherwise(step(kept, F.col("shard")) + F.col("_free") - step(before, F.col("shard")))))
-    if source:
+    if order:
+        out = global_rank(out.select("doc_id", "size", "text_crc32", "order", "shard"), [F.col("shard"), F.col("order")], "at")
+        out = out.withColumn("slot", F.col("at") - step(_running(quota), F.col("shard")))
+    elif source:
         out = mixed(out.select("doc_id", "size", "text_crc32", "source", "shard"), weights, within="shard").withColumn("slot", F.col("position"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
                       F.lit(None).cast("int").alias("grown_shard"))

@@ -137,3 +137,26 @@ def test_the_slots_of_each_shard_follow_the_target_weights(spark, monkeypatch):
             done[s] += 1
             if t % 32 == 0:
                 assert all(abs(done[k] - t * counts[k] ** 0.5 / total) <= 32 for k in counts)
+
+
+def test_sharding_keeps_the_order_of_the_mix(spark, tmp_path):
+    """The mix of two kinds of rows is read from the files as it was written."""
+    counts = {"a": 1800, "b": 600}
+    rows = [(i, f"{s}{i}", s) for s, n in counts.items() for i in range(n * 10, n * 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    C.mix_sources(spark, docs, SF).write.parquet(f"{tmp_path}/mixed")
+    files = sorted(tmp_path.glob("mixed/part-*"))
+    order = [r.doc_id for f in files for r in spark.read.parquet(str(f)).coalesce(1).collect()]
+    at = {d: p for p, d in enumerate(order)}
+    got = C.shard(spark, spark.read.parquet(f"{tmp_path}/mixed"), SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(at)
+    source = {i: s for i, _, s in rows}
+    for shard in range(C.N_SHARDS):
+        mine = [r.doc_id for r in sorted((r for r in got if r.shard == shard), key=lambda r: r.slot)]
+        assert len(mine) == 100 and mine == sorted(mine, key=at.get)
+        for t in range(1, 100):  # as even as the mix itself
+            assert abs(sum(source[d] == "a" for d in mine[:t]) - sum(source[d] == "a" for d in order[:t * C.N_SHARDS]) / C.N_SHARDS) <= 4
+    assert sorted(r.slot for r in got if r.shard == 0) == list(range(100))
+    spark.read.parquet(f"{tmp_path}/mixed").orderBy("doc_id").write.parquet(f"{tmp_path}/turned")
+    other = {r.doc_id: (r.shard, r.slot) for r in C.shard(spark, spark.read.parquet(f"{tmp_path}/turned"), SF).collect()}
+    assert other != {r.doc_id: (r.shard, r.slot) for r in got}
