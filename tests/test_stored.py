@@ -209,6 +209,22 @@ def test_write_gate_splits_and_counts_in_one_pass(spark, tmp_path):
     assert CO.write_gate(df.limit(0), c, path) == {"rows": 0, "quarantined": 0} and CO.gate_target(spark, path).count() == 0
 
 
+def test_write_gate_does_not_sort_by_folder(spark, tmp_path, monkeypatch):
+    """Spark sorts rows by their folder unless it may keep a writer open for each."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    names, seen, write = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.optimizer.plannedWrite.enabled"), [], DataFrameWriter.parquet
+
+    def settings():
+        return [spark.conf.get(n) for n in names]
+    before = settings()
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path: seen.append(settings()) or write(w, path))
+    c = CO.Contract("t", (CO.Column_("n", "int64", ("not_null",)),))
+    df = spark.createDataFrame([(i if i % 3 else None,) for i in range(99)], "n long").coalesce(1)
+    assert CO.write_gate(df, c, str(tmp_path / "g"))["quarantined"] == 33
+    assert seen == [["8", "false"]] and settings() == before
+    assert [r.n for r in CO.gate_target(spark, str(tmp_path / "g")).collect()] == [i for i in range(99) if i % 3]
+
+
 def test_daily_loads_in_any_order_and_again(spark, tmp_path):
     bets = Domain(Tables(spark, SF_SMALL)).bets
     root = str(tmp_path / "daily")
