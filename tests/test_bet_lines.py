@@ -51,3 +51,14 @@ def test_fact_is_dealt_and_sorted_before_its_columns_are_derived(spark, tmp_path
     plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("RebalancePartitions"):]
     assert not re.search(r"CLOSED|Premier League|AS (ggr|ngr|bet_id|bonus_total)", below)
+
+
+def test_line_and_supplier_are_moved_with_the_labels(spark):
+    types = "l_linenumber int, l_suppkey long"
+    given = [(n, s) for n in (None, 0, 1, 7, -1, -2**31, 2**31 - 1) for s in (None, 0, 1, 99, 100, 12345, -1, -99, -100, -12345)]
+    n = D.math.prod(D._label_codes(t) for t in D.BET_LABELS)
+    for label in (0, n - 1):
+        df = spark.createDataFrame(given, types).withColumn("labels", D._line_code() * n + label)
+        line, supp = D._line_of_code()
+        assert df.where(~(line.eqNullSafe(F.col("l_linenumber")) & supp.eqNullSafe(F.col("l_suppkey") % 100))).isEmpty()
+    assert not {"l_linenumber", "supp100"} & set(D.bet_lines(tables(spark)).columns)
