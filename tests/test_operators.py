@@ -1,11 +1,13 @@
 """Branch tests on small hand-made inputs (NULL semantics, ties, edges)."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import SF_SMALL, rows
 from kpiforge.functions.measures import guarded_ratio, num_diff, relative_lift
 from kpiforge.functions.predicates import valid_bet
 from kpiforge.operators import bets as B
@@ -14,6 +16,8 @@ from kpiforge.operators import campaigns as CA
 from kpiforge.operators import leagues as LG
 from kpiforge.operators.grained import Distinct, DistinctList, Plain, grained_agg
 from kpiforge.operators.latest import latest_per_key, top_n_per_key
+from kpiforge.sources.domain import Domain
+from kpiforge.sources.tables import Tables
 
 AS_OF = dt.date(2001, 8, 1)
 TS = dt.datetime
@@ -231,6 +235,33 @@ def test_enrolled_list_limits_can_be_crossed_and_lifted(spark):
     assert of() == full[:10000] and of(top_n=None, max_chars=None) == full
     assert of(max_chars=None) == full[:7 * 2000 - 1]
 
+def test_enrolled_list_without_limits_joins_days(spark):
+    """Nulls, empty ids, ties and a null customer: as one sort of all dispatches gives it."""
+    start, rng = dt.datetime(2024, 1, 1), random.Random(5)
+    ids = [None, "", "a", "b,c", "d"]
+    rows_ = [(rng.choice([None, 1, 2]), CA.DISPATCH, 1, i, rng.choice(ids), start + dt.timedelta(hours=7 * rng.randrange(60))) for i in range(400)]
+    rows_ += [(3, CA.DISPATCH, 1, 900 + i, None, start + dt.timedelta(days=i)) for i in range(3)]  # no id at all
+    rows_ += [(4, CA.DISPATCH, 1, 950, "x", start), (4, CA.DISPATCH, 1, 951, None, start + dt.timedelta(days=1)), (4, CA.DISPATCH, 1, 952, "y", start + dt.timedelta(days=2))]
+    df = spark.createDataFrame(rows_, "customer_uid long, subtype string, value int, event_id long, src_campaign_id string, message_timestamp timestamp_ntz")
+    want = {}
+    for r in sorted(rows_, key=lambda r: (r[5], r[3]), reverse=True):
+        want.setdefault(r[0], []).extend([] if r[4] is None else [r[4]])
+    got = CA.enrolled_list(df, dt.date(2024, 1, 31), top_n=None, max_chars=None).collect()
+    assert {r[0]: r[1] for r in got} == {k: ",".join(v) for k, v in want.items()} and len(got) == len(want)
+
+
+@pytest.mark.parametrize("table", ["kpi_batches"])
+def test_wide_tables_hold_every_campaign_of_the_look_back(spark, table):
+    """More dispatches and characters than the reference's limits."""
+    from kpiforge.plans import customer360 as K
+    t = Tables(spark, SF_SMALL)
+    uid = t["customer"].where("c_mktsegment != 'MACHINERY'").first().c_custkey
+    rows_ = [(i, uid, CA.DISPATCH, 1, f"c{i:05d}", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=7 * i)) for i in range(2500)]
+    d = Domain(t, {"bonus_activity": spark.createDataFrame(rows_, "event_id long, customer_uid long, subtype string, value int, src_campaign_id string, message_timestamp timestamp_ntz")})
+    wide = getattr(K, table)(d, dt.date(2001, 8, 1), dt.date(2024, 1, 31))
+    assert wide.where(F.col("customer_uid") == uid).first().enrolled_bonus_campaigns == ",".join(f"c{i:05d}" for i in reversed(range(2500)))
+
+
 def test_grained_agg_null_key_group(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (None, 2, "b"), (1, 1, "a")],
                                "k long, d long, s string")
