@@ -250,7 +250,7 @@ def test_enrolled_list_without_limits_joins_days(spark):
     assert {r[0]: r[1] for r in got} == {k: ",".join(v) for k, v in want.items()} and len(got) == len(want)
 
 
-@pytest.mark.parametrize("table", ["kpi_batches"])
+@pytest.mark.parametrize("table", ["kpi_batches", "kpi_combined"])
 def test_wide_tables_hold_every_campaign_of_the_look_back(spark, table):
     """More dispatches and characters than the reference's limits."""
     from kpiforge.plans import customer360 as K
