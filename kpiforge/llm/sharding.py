@@ -9,11 +9,13 @@ with room, group by group."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.common import global_rank, step, stored, unit_hash
+from kpiforge.llm.common import ascii_lower, global_rank, step, stored, unit_hash
+from kpiforge.llm.linededup import line_key
 from kpiforge.llm.mixing import mixed
 
 ROUNDS = 3
@@ -27,9 +29,10 @@ def _running(values: list[int]) -> list[int]:
     return out
 
 
-def propagate_labels(members: DataFrame, n_shards: int, capacity: int, rounds: int = ROUNDS) -> DataFrame:
+def propagate_labels(members: DataFrame, n_shards: int, capacity: int, rounds: int | None = ROUNDS) -> DataFrame:
     """(row, label) for the rows of ``members(row, hub)``: rows that share a hub
-    are neighbours. Labels start by hash of the row.
+    are neighbours. Labels start by hash of the row. ``rounds`` None: until no
+    round adds to the rows that are where they ask to be.
 
     In each round a hub names the label most of its rows have (as many labels,
     most frequent first, as its rows need at ``capacity`` each), each row asks
@@ -39,10 +42,11 @@ def propagate_labels(members: DataFrame, n_shards: int, capacity: int, rounds: i
     labels = members.select("row").distinct().select(
         "row", F.pmod(F.xxhash64(F.lit("start"), "row"), F.lit(n_shards)).cast("int").alias("label"))
     labels = stored(labels, "labels")
-    for turn in range(rounds):
-        count = members.join(labels, "row").groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
+    best, best_labels = -1, labels
+    for turn in count() if rounds is None else range(rounds):
+        counts = members.join(labels, "row").groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
         # at most n_shards entries a hub
-        tops = stored(count.groupBy("hub").agg(F.sum("n").alias("size"), F.sort_array(F.collect_list(
+        tops = stored(counts.groupBy("hub").agg(F.sum("n").alias("size"), F.sort_array(F.collect_list(
             F.struct((-F.col("n")).alias("n"), F.xxhash64("hub", "label").alias("tie"), "label"))).alias("ranked")).select(
                 "hub", "ranked", F.greatest(F.lit(1), F.ceil(F.col("size") / capacity)).cast("int").alias("wanted")), "tops")
         named = tops.select("hub", "wanted", F.explode(F.transform("ranked", lambda x, i: F.struct(
@@ -62,6 +66,9 @@ def propagate_labels(members: DataFrame, n_shards: int, capacity: int, rounds: i
                 load[r["label"]] += r["count"]
             else:
                 coming[r["target"]] += r["count"]
+        if rounds is None and sum(load) <= best:
+            return best_labels
+        best, best_labels = sum(load), labels
         share = [min(1.0, max(0, capacity - load[t]) / coming[t]) if coming[t] else 1.0 for t in range(n_shards)]
         accept = unit_hash(F.lit(turn), F.col("hub")) < F.element_at(F.array(*map(F.lit, share)), F.col("target") + 1)
         labels = stored(asked.select("row", F.when((F.col("label") == F.col("target")) | accept, F.col("target"))
@@ -81,14 +88,31 @@ def _together(placed: DataFrame, capacity: int) -> DataFrame:
                   .select("hub", "large", F.col("v.label").alias("label")), "together")
 
 
-def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None = None, rounds: int = ROUNDS,
-                    source: str | None = None, weights: dict | None = None, order: Sequence[str] = ()) -> DataFrame:
+def _groups(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(row, group): of a row's hubs the one that most rows of its label share."""
+    at = members.join(labels, "row")
+    counts = stored(at.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n")), "counts")
+    strongest = at.join(counts, ["hub", "label"]).groupBy("row").agg(F.max(F.struct("n", "hub")).alias("v"))
+    return stored(strongest.select("row", F.col("v.hub").alias("group")), "groups")
+
+
+def _lines(text: Column, min_chars: int) -> Column:
+    """The distinct keys of the lines of at least ``min_chars`` code points, by 128 bits
+    of hash; keys as in :func:`kpiforge.llm.linededup.dedup_lines`."""
+    long = F.filter(F.transform(F.split(text, "\n", -1), lambda x: ascii_lower(line_key(x))), lambda x: F.char_length(x) >= min_chars)
+    return F.array_distinct(F.transform(long, lambda x: F.concat_ws(":", F.lit("line"), F.xxhash64(x), F.xxhash64(F.lit(9), x))))
+
+
+def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None = None, rounds: int | None = ROUNDS,
+                    source: str | None = None, weights: dict | None = None, order: Sequence[str] = (),
+                    line_chars: int | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of
     ``docs(doc_id, text)``. Law ``rows``: counts of any two shards are at most
     one apart; slots run from 0 without gaps.
 
     Documents with equal texts are linked, and so are the documents of a row of
-    ``links(a, b)``, if given. As many as the quotas allow come to one shard; a
+    ``links(a, b)``, if given, and those with a line of at least ``line_chars``
+    characters in common, if given. As many as the quotas allow come to one shard; a
     group larger than a shard fills several. Of the others, only those that lie
     across the end of a shard's quota or room are split: fewer than 2 a shard.
 
@@ -106,8 +130,11 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
     base = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"),
         F.concat_ws(":", F.xxhash64(text), F.xxhash64(F.lit(3), text)).alias("hub"),
+        *([_lines(text, line_chars).alias("_lines")] if line_chars else []),
         *([F.col(source).alias("source")] if source else []), *[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)])
         .withColumn("row", F.monotonically_increasing_id()), "base")
+    lines = base.select("row", F.explode("_lines").alias("hub")) if line_chars else None
+    base = base.drop("_lines")
     dealt = []
     if order:
         by = [f"_order_{i}" for i in range(len(order))]
@@ -115,6 +142,8 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
         dealt = [F.pmod("_turn", F.lit(n_shards)), F.col("_turn")]
     total = base.count()
     members = base.select("row", "hub")
+    if lines is not None:
+        members = members.union(lines)
     if links is not None:
         # the two ends of a link share a hub of their own
         named = links.select("a", "b").distinct().withColumn("hub", F.concat_ws("-", "a", "b"))
@@ -124,14 +153,18 @@ def balanced_shards(docs: DataFrame, n_shards: int = 24, links: DataFrame | None
     members = stored(members.join(linked_hubs, "hub").select("row", "hub"), "members")
     capacity = max(1, total // n_shards)
     labels = propagate_labels(members, n_shards, capacity, rounds)
-    placed = stored(base.join(labels, "row", "left"), "labelled")
+    placed, group = base.join(labels, "row", "left"), "hub"
+    if line_chars:  # rows that give way to others move with those they stand with most
+        group = "group"
+        placed = placed.join(_groups(members, labels), "row", "left").withColumn(group, F.coalesce(group, "hub"))
+    placed = stored(placed, "labelled")
     placed = (placed.join(_together(placed, capacity).withColumn("_together", F.lit(True)), ["hub", "label"], "left")
               .withColumn("label", F.when(F.col("_together"), F.col("label")).otherwise(F.lit(n_shards))))
-    if order:  # a group of equal texts has the turn of its first row
-        first = base.groupBy("hub").agg(F.min("order").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("hub", "_first")
-        placed = placed.join(stored(first, "first"), "hub", "left").withColumn("_turn", F.coalesce("_first", "order"))
+    if order:  # a group has the turn of its first row
+        first = placed.groupBy(group).agg(F.min("order").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select(group, "_first")
+        placed = placed.join(stored(first, "first"), group, "left").withColumn("_turn", F.coalesce("_first", "order"))
     # a group beyond a shard keeps its shards; what gives way there moves as whole groups
-    placed = global_rank(placed, [F.col("label"), F.coalesce("large", F.lit(False)).desc(), *dealt, F.col("hub"), F.col("doc_id"), F.col("row")], "rank")
+    placed = global_rank(placed, [F.col("label"), F.coalesce("large", F.lit(False)).desc(), *dealt, *([F.col(group)] if line_chars else []), F.col("hub"), F.col("doc_id"), F.col("row")], "rank")
     held = [0] * (n_shards + 1)
     for r in placed.groupBy("label").count().collect():
         held[r["label"]] = r["count"]

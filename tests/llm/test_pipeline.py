@@ -139,6 +139,18 @@ def test_the_slots_of_each_shard_follow_the_target_weights(spark, monkeypatch):
                 assert all(abs(done[k] - t * counts[k] ** 0.5 / total) <= 32 for k in counts)
 
 
+def test_documents_with_a_long_line_in_common_come_to_one_shard(spark, tmp_path):
+    """Unequal texts, as the near-duplicate stage leaves them; lines differ in case and blanks."""
+    line = "the line number {} of these documents is a long one".format
+    rows = [(i, f"own {i}\n{line(i % 300)}" if i < 300 else f" {line(i % 300).upper()} \nother {i}\nshort", "s") for i in range(600)]
+    rows += [(i, f"text {i}\nshort" if i % 2 else None, "t") for i in range(600, 1800)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/mixed")
+    for docs in (spark.read.parquet(f"{tmp_path}/mixed"), spark.createDataFrame(rows, "doc_id long, text string, source string")):
+        got = {r.doc_id: r.shard for r in C.STAGES[-1][1](spark, docs, SF).collect()}
+        assert sum(got[i] == got[i + 300] for i in range(300)) >= 300 - 2 * C.N_SHARDS  # without links a pair meets by chance
+        assert {list(got.values()).count(k) for k in range(C.N_SHARDS)} == {75}
+
+
 def test_sharding_keeps_the_order_of_the_mix(spark, tmp_path):
     """The mix of two kinds of rows is read from the files as it was written."""
     counts = {"a": 1800, "b": 600}

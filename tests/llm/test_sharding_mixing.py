@@ -49,6 +49,14 @@ def test_links_bring_documents_together(spark, docs):
     assert max(Counter(got.values()).values()) - min(Counter(got.values()).values()) <= 1
 
 
+def test_propagation_without_a_number_of_rounds_ends_where_no_row_wants_to_move(spark):
+    members = spark.createDataFrame([(r, f"h{h}") for h in range(200) for r in (2 * h, 2 * h + 1, 2 * h + 2)], "row long, hub string")
+    label = {r.row: r.label for r in sharding.propagate_labels(members, 2, 400, rounds=None).collect()}
+    three = {r.row: r.label for r in sharding.propagate_labels(members, 2, 400).collect()}
+    def cut(x): return sum(len({x[2 * h], x[2 * h + 1], x[2 * h + 2]}) > 1 for h in range(200))
+    assert len(label) == 401 and cut(label) <= cut(three)
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 24, 49])
 def test_few_rows_nulls_repeats(docs, n):
     rows = [((None if i % 5 == 0 else i // 2), (None if i % 3 == 0 else "" if i % 3 == 1 else f"t{i // 6}")) for i in range(n)]
